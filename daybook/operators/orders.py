@@ -172,7 +172,10 @@ def payment_outcome(
     status: str = "payment_status",
     attempt: str = "payment_attempt_number",
 ) -> DataFrame:
-    """How paying an order ended: first_try, retried, cancelled, or open without a final attempt."""
+    """How paying an order ended: first_try, retried, cancelled, or open without a final attempt.
+
+    ``orders`` has one row per order, and so have the payments once they are counted.
+    """
     captured = F.col(status) == "captured"
     per_order = payments.groupBy(key).agg(
         F.min(F.when(captured, F.col(attempt))).alias("captured_attempt"),
@@ -187,7 +190,7 @@ def payment_outcome(
     )
     zero = {"failed_count": 0, "captured_count": 0}
     return (
-        join_unique(orders, per_order, [key], "left")
+        orders.join(per_order, key, "left")
         .fillna(zero)
         .withColumn("payment_outcome", outcome)
     )
@@ -227,7 +230,10 @@ def refund_class(
     amount: str = "refund_amount",
     status: str = "refund_status",
 ) -> DataFrame:
-    """Refund state of each order: none, rejected, partial or full."""
+    """Refund state of each order: none, rejected, partial or full.
+
+    ``orders`` has one row per order, and so have the refunds once they are summed.
+    """
     per_order = refunds.groupBy(key).agg(
         F.sum(F.when(F.col(status) == "processed", F.col(amount))).alias("refunded_amount"),
         F.count(F.lit(1)).alias("refund_count"),
@@ -239,7 +245,7 @@ def refund_class(
         .otherwise("full")
     )
     return (
-        join_unique(orders, per_order, [key], "left")
+        orders.join(per_order, key, "left")
         .withColumn("refund_class", state)
         .fillna({"refund_count": 0})
     )

@@ -88,21 +88,23 @@ def shipment_rules() -> dict[str, Column]:
 
 def check_rows(df: DataFrame, rules: Mapping[str, Column], name: str = "failed_rules") -> DataFrame:
     """Add the names of the rules each row breaks, all rules in one pass."""
-    hits = [F.when(broken, F.lit(rule)) for rule, broken in rules.items()]
-    return df.withColumn(name, F.array_compact(F.array(*hits)))
+    hits = [F.when(broken, F.lit(rule)).otherwise("") for rule, broken in rules.items()]
+    return df.withColumn(name, F.array_remove(F.array(*hits), ""))
 
 
-def report(checked: DataFrame, rules: Sequence[str], name: str = "failed_rules") -> DataFrame:
-    """One row per rule: rule, checked, failed."""
-    counts = [F.count_if(F.array_contains(name, r)).alias(f"f{i}") for i, r in enumerate(rules)]
+def report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """One row per rule: rule, checked, failed; all rules in one aggregation."""
+    counts = [F.count_if(broken).alias(f"f{i}") for i, broken in enumerate(rules.values())]
     lines = [
         F.struct(F.lit(r).alias("rule"), F.col("n").alias("checked"), F.col(f"f{i}").alias("failed"))
         for i, r in enumerate(rules)
     ]
-    return (
-        checked.agg(F.count(F.lit(1)).alias("n"), *counts)
-        .select(F.inline(F.array(*lines)))
-    )
+    return df.agg(F.count(F.lit(1)).alias("n"), *counts).select(F.inline(F.array(*lines)))
+
+
+def as_rules(names: Sequence[str], name: str = "failed_rules") -> dict[str, Column]:
+    """The rules of already checked rows, for a report on them."""
+    return {rule: F.array_contains(name, rule) for rule in names}
 
 
 def split(checked: DataFrame, name: str = "failed_rules") -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import count_of_share
-from daybook.operators.skew import PROBE, latest_per_key, ordered_columns
+from daybook.operators.skew import HOT_ROWS, PROBE, hot_keys, ordered_columns
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -56,37 +56,35 @@ def sample_share(
     seed: str = "",
     least: int = 0,
     digits: int = 4,
-    hot: DataFrame | str | None = PROBE,
 ) -> DataFrame:
     """A reproducible sample of exactly ``share`` of the rows, without replacement.
 
-    It is the rows with the lowest md5 of key and seed. The rows are counted per leading hex
-    ``digits`` (16^digits counts at most); whole groups below the cut are taken as they are and only
-    the one group the cut falls into is ranked, so no task orders the table.
+    It is the rows with the lowest md5 of key and seed. The rows are first counted per leading hex
+    ``digits``, at most 16^digits counts. The groups below the one the cut falls into are taken
+    whole and only that one group is ranked, so no task orders the table.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(seed))
     hashed = df.withColumn("__md5", F.md5(text)).withColumn("__head", F.substring("__md5", 1, digits))
-    everything = Window.partitionBy()
     up_to = Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    groups = (
+    wanted = count_of_share(F.sum("n").over(Window.partitionBy()), share, least)
+    cut = (
         hashed.groupBy("__head")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(
-            "__head",
-            "__n",
-            F.sum("__n").over(up_to).alias("__upto"),
-            count_of_share(F.sum("__n").over(everything), share, least).alias("__want"),
-        )
-        .filter(F.col("__upto") - F.col("__n") < F.col("__want"))
-        .select("__head", (F.col("__want") - F.col("__upto") + F.col("__n")).alias("__left"), "__n")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("__head", "n", F.sum("n").over(up_to).alias("upto"), wanted.alias("wanted"))
+        .filter("upto - n < wanted")
+        .orderBy(F.desc("__head"))
+        .limit(1)
+        .first()
     )
-    marked = hashed.join(F.broadcast(groups), "__head")
-    whole = marked.filter("__left >= __n")
-    cut = marked.filter("__left < __n")
+    if cut is None:
+        return df.limit(0)
+    below = hashed.filter(F.col("__head") < cut["__head"])
+    group = hashed.filter(F.col("__head") == cut["__head"])
     ranked = ordered_columns(
-        cut, ["__head"], ["__md5", *key], number="__rank", hot=hot
-    ).filter("__rank <= __left")
-    return whole.select(*df.columns).unionByName(ranked.select(*df.columns))
+        group, ["__head"], ["__md5", *key], number="__rank",
+        hot=hot_keys(group, ["__head"]) if cut["n"] > HOT_ROWS else None,
+    ).filter(F.col("__rank") <= cut["wanted"] - (cut["upto"] - cut["n"]))
+    return below.select(*df.columns).unionByName(ranked.select(*df.columns))
 
 
 def child_lists(
@@ -120,16 +118,3 @@ def child_lists(
 def rows_per_load_date(df: DataFrame, load_date: str = "load_date") -> DataFrame:
     return df.groupBy(load_date).agg(F.count(F.lit(1)).alias("row_count"))
 
-
-__all__ = [
-    "child_lists",
-    "distinct_and_quarter",
-    "drop_copies",
-    "duplicate_keys",
-    "fingerprint",
-    "first_per_key",
-    "latest_per_key",
-    "rows_per_load_date",
-    "sample_share",
-    "union_batches",
-]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators import dims, quality, skew, tables
@@ -117,7 +117,7 @@ def hash_sample(spark, folder):
 # --- row rules ---
 
 
-def _checked_lines(spark, folder) -> tuple[DataFrame, list[str]]:
+def _lines_and_rules(spark, folder) -> tuple[DataFrame, dict[str, Column]]:
     lines = table(spark, folder, "lineitem").withColumn("o_orderkey", F.col("l_orderkey"))
     headers = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     joined = skew.join_unique(lines, headers, ["o_orderkey"])
@@ -131,7 +131,7 @@ def _checked_lines(spark, folder) -> tuple[DataFrame, list[str]]:
         "ships_after_order": quality.before(F.col("l_shipdate"), F.col("o_orderdate")),
         "line_total": quality.wrong_line_total(unit, quantity, none, price),
     }
-    return quality.check_rows(joined, rules), list(rules)
+    return joined, rules
 
 
 BROKEN_SQL = """
@@ -155,8 +155,7 @@ BROKEN_SQL = """
     """,
 )
 def dq_report(spark, folder):
-    checked, rules = _checked_lines(spark, folder)
-    return quality.report(checked, rules)
+    return quality.report(*_lines_and_rules(spark, folder))
 
 
 @query(
@@ -170,8 +169,7 @@ def dq_report(spark, folder):
     """,
 )
 def dq_quarantine(spark, folder):
-    checked, _ = _checked_lines(spark, folder)
-    _, bad = quality.split(checked)
+    _, bad = quality.split(quality.check_rows(*_lines_and_rules(spark, folder)))
     return bad.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.array_join("failed_rules", ",").alias("failed_rules")
     )
@@ -182,8 +180,7 @@ def dq_quarantine(spark, folder):
     f"SELECT l_orderkey, l_linenumber, l_partkey FROM ({BROKEN_SQL}) WHERE NOT (b1 OR b2 OR b3 OR b4)",
 )
 def dq_clean(spark, folder):
-    checked, _ = _checked_lines(spark, folder)
-    good, _ = quality.split(checked)
+    good, _ = quality.split(quality.check_rows(*_lines_and_rules(spark, folder)))
     return good.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -204,7 +201,7 @@ def dq_clean(spark, folder):
     """,
 )
 def dq_domains(spark, folder):
-    def pick(values: list[str], number) -> F.Column:
+    def pick(values: list[str], number) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
 
     nation = F.col("c_nationkey")

@@ -30,7 +30,7 @@ def campaign_day(moment: Column) -> Column:
 def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     return orders.select(
-        day_text(F.col("o_orderdate")).alias("order_date"),
+        F.to_date("o_orderdate").alias("order_date"),
         money(F.col("o_totalprice")).alias("order_amount"),
     )
 
@@ -44,8 +44,11 @@ def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def daily_order_totals(spark, folder):
-    totals = daily_totals(_dated_orders(spark, folder))
-    return totals.withColumn("daily_order_amount", F.col("daily_order_amount").cast("double"))
+    return daily_totals(_dated_orders(spark, folder)).select(
+        day_text(F.col("order_date")).alias("order_date"),
+        "order_count",
+        F.col("daily_order_amount").cast("double").alias("daily_order_amount"),
+    )
 
 
 @query(
@@ -60,8 +63,11 @@ def daily_order_totals_sql(spark, folder):
     view = bronze.as_view(
         metadata.with_audit(_dated_orders(spark, folder), "orders"), "bronze_orders"
     )
-    totals = bronze.daily_totals_sql(spark, view)
-    return totals.withColumn("total_order_amount", F.col("total_order_amount").cast("double"))
+    return bronze.daily_totals_sql(spark, view).select(
+        day_text(F.col("order_date")).alias("order_date"),
+        "order_count",
+        F.col("total_order_amount").cast("double").alias("total_order_amount"),
+    )
 
 
 @query(

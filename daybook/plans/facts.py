@@ -278,7 +278,7 @@ def currency_convert(spark, folder):
                            WHEN 1 THEN (43200 * (985 + dayofyear(o_orderdate) % 31) + 500) // 1000
                            ELSE (1700 * (985 + dayofyear(o_orderdate) % 31) + 500) // 1000 END AS rate
                FROM orders JOIN customer ON c_custkey = o_custkey)
-    SELECT o_orderkey, currency, CAST(rate AS DOUBLE) / 10000 AS rate_to_pln,
+    SELECT o_orderkey, currency,
            CAST((cents * 20000 + rate) // (2 * rate) AS DOUBLE) / 100 AS net_amount
     FROM o
     """,
@@ -295,7 +295,8 @@ def currency_convert_daily(spark, folder):
     codes = F.explode(F.array(F.lit("PLN"), F.lit("EUR"), F.lit("CZK"))).alias("currency")
     base = base_rate_to_pln(F.col("currency"))
     rates = (
-        placed.select(F.col("order_date").alias("rate_date"))
+        table(spark, folder, "orders")
+        .select(F.to_date("o_orderdate").alias("rate_date"))
         .distinct()
         .select("rate_date", codes)
         .withColumn(
@@ -303,15 +304,8 @@ def currency_convert_daily(spark, folder):
             F.when(F.col("currency") == "PLN", base).otherwise(F.round(base * drift, 4)),
         )
     )
-    converted = orders.convert_from_pln(placed, ["net_amount"], rates=rates)
-    rated = converted.join(
-        rates.withColumnRenamed("rate_date", "order_date"), ["order_date", "currency"]
-    )
-    return rated.select(
-        "o_orderkey",
-        "currency",
-        F.col("rate_to_pln").cast("double").alias("rate_to_pln"),
-        F.col("net_amount").cast("double").alias("net_amount"),
+    return orders.convert_from_pln(placed, ["net_amount"], rates=rates).select(
+        "o_orderkey", "currency", F.col("net_amount").cast("double").alias("net_amount")
     )
 
 

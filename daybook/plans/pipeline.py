@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import orders as O
 from daybook.operators import quality as Q
+from daybook.operators.orders import shipment_outcome, with_delivery_delay
 from daybook.operators.skew import latest_per_key
-from daybook.operators.tables import drop_copies, union_batches
+from daybook.operators.state import item_prices, version_history
+from daybook.operators.tables import drop_copies, duplicate_keys, union_batches
 from daybook.schemas import KEYS, TABLES, VERSIONED
 from daybook.sources.bronze import load_bronze
 from daybook.sources.landing import CORRUPT
 
+# child, its key, parent, the parent's key
+REFERENCES = [
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("order_items", "order_id", "orders", "order_id"),
+    ("order_items", "product_id", "products", "product_id"),
+    ("payments", "order_id", "orders", "order_id"),
+    ("refunds", "payment_id", "payments", "payment_id"),
+]
+UNIQUE = {
+    "payments": ["payment_id"],
+    "web_events": ["event_id"],
+    "orders": ["order_id", "order_updated_at"],
+}
 AUDIT = ["_ingested_at", "_source_system", "_source_layer"]
 ROW_RULES = {
     "order_items": Q.item_rules,
@@ -26,18 +41,54 @@ def bronze_tables(spark: SparkSession, landing: str, bronze: str) -> dict[str, D
     return {t: load_bronze(spark, landing, bronze, t) for t in TABLES}
 
 
-def checked_tables(tables: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Each table without exact copies and with failed_rules, and one report over all row rules."""
-    checked, reports = {}, []
-    for name, rows in tables.items():
-        unique = drop_copies(rows.drop(*AUDIT))
-        rules = ROW_RULES[name]() if name in ROW_RULES else {}
-        rules["readable"] = F.col(CORRUPT).isNotNull()
-        checked[name] = Q.check_rows(unique, rules)
-        reports.append(
-            Q.report(checked[name], list(rules)).select(F.lit(name).alias("table_name"), "*")
+def row_rules(table: str) -> dict[str, Column]:
+    """The row rules of a table; every table has to have readable lines."""
+    rules = ROW_RULES[table]() if table in ROW_RULES else {}
+    return rules | {"line_readable": F.col(CORRUPT).isNotNull()}
+
+
+def checked_table(bronze: DataFrame, table: str) -> DataFrame:
+    """Bronze rows without exact copies, with the rules each one breaks."""
+    return Q.check_rows(drop_copies(bronze.drop(*AUDIT)), row_rules(table))
+
+
+def quality_report(
+    bronze: dict[str, DataFrame],
+    checked: dict[str, DataFrame],
+    clean: dict[str, DataFrame],
+    current: dict[str, DataFrame],
+) -> DataFrame:
+    """table_name, rule, checked, failed over row rules, copies, keys, references and amounts."""
+    row_reports = [
+        Q.report(rows, Q.as_rules(list(row_rules(t)))).select(F.lit(t).alias("table_name"), "*")
+        for t, rows in checked.items()
+    ]
+    failures = {
+        (child, f"{key}_exists"): Q.without_parent(clean[child], clean[parent], key, parent_key)
+        for child, key, parent, parent_key in REFERENCES
+    }
+    for t, keys in UNIQUE.items():
+        rows = bronze[t].drop(*AUDIT)
+        failures[t, "no_copies"] = duplicate_keys(rows, rows.columns)
+        failures[t, "unique_key"] = duplicate_keys(clean[t], keys)
+    failures["payments", "amount_of_order"] = Q.wrong_payment_amount(
+        clean["payments"], current["orders"]
+    )
+    failures["refunds", "within_order"] = Q.excessive_refund(clean["refunds"], current["orders"])
+
+    count = F.count(F.lit(1))
+    failed = [
+        rows.agg(count.alias("failed")).select(
+            F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), "failed"
         )
-    return checked, union_batches(*reports)
+        for (t, rule), rows in failures.items()
+    ]
+    sizes = [
+        clean[t].agg(count.alias("checked")).select(F.lit(t).alias("table_name"), "checked")
+        for t in dict.fromkeys(t for t, _ in failures)
+    ]
+    across = union_batches(*failed).join(union_batches(*sizes), "table_name")
+    return union_batches(*row_reports, across)
 
 
 def current_tables(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -63,21 +114,29 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, DataFram
         return spark.read.parquet(f"{base}/{name}")
 
     bronze = bronze_tables(spark, landing, f"{base}/bronze")
-    checked, quality = checked_tables(bronze)
-    checked = {t: stored(df, f"checked/{t}") for t, df in checked.items()}
+    checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
     pieces = {t: Q.split(df) for t, df in checked.items()}
     clean = {t: good.drop(CORRUPT) for t, (good, _) in pieces.items()}
-    current = current_tables(clean)
+    current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean).items()}
     facts = stored(
         O.order_facts(
             clean["orders"], current["order_items"], current["payments"], current["refunds"]
         ).withColumn("order_date", F.to_date("order_created_at")),
         "order_facts",
     )
-    totals = O.daily_totals(facts, "order_date", "net_amount")
+    prices = item_prices(current["order_items"], clean["products"])
+    outcomes = shipment_outcome(with_delivery_delay(clean["shipments"]))
+    history = version_history(
+        clean["customers"], ["customer_id"], ["updated_at", "loaded_at"],
+        ["country_code", "city", "customer_status", "marketing_consent"], strategy="check",
+    )
     return {
-        "quality_report": stored(quality, "quality_report"),
+        "quality_report": stored(quality_report(bronze, checked, clean, current), "quality_report"),
         "order_facts": facts,
-        "daily_totals": stored(totals, "daily_totals"),
+        "order_lifecycle": stored(O.lifecycle(clean["orders"]), "order_lifecycle"),
+        "item_prices": stored(prices, "item_prices"),
+        "shipment_outcome": stored(outcomes, "shipment_outcome"),
+        "customer_history": stored(history, "customer_history"),
+        "daily_totals": stored(O.daily_totals(facts, "order_date", "net_amount"), "daily_totals"),
         **{f"quarantine_{t}": bad for t, (_, bad) in pieces.items()},
     }

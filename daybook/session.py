@@ -7,12 +7,17 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-# Days are UTC days; a skewed join is split even where that costs one more shuffle.
+# Days are UTC days; a skewed join is split even where that costs one more shuffle; streaming state
+# lives in RocksDB, outside the heap, and is saved as changes.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
