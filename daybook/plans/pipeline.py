@@ -111,7 +111,7 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, DataFram
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     bronze = bronze_tables(spark, landing, f"{base}/bronze")
     checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}

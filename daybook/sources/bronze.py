@@ -17,15 +17,15 @@ def load_bronze(
     the raw files do not allow.
     """
     path = f"{bronze.rstrip('/')}/{table}"
+    rows = with_audit(read_table(spark, landing, table), source_system)
     (
-        with_audit(read_table(spark, landing, table), source_system)
-        .hint("rebalance", "load_date")
+        rows.hint("rebalance", "load_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_date")
         .parquet(path)
     )
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def as_view(df: DataFrame, name: str) -> str:
