@@ -6,13 +6,19 @@ With some, only those keys are split:
 
 * ordered columns: rows of a hot key go into consecutive chunks of its order, each chunk is a
   window partition of its own, and what has to cross a chunk border (counts, the last row, ...)
-  is carried over from a summary with one row per chunk;
+  is carried over from a summary with one row per chunk; where copies of one row are themselves too
+  many for a chunk, they are dealt out to several chunks in a row;
 * joins to a side that is unique per key: rows of a hot key are salted and the one matching row
   is repeated per salt.
 
 The look-up is a pruned, sampled scan with map-side counts and returns at most ``MAX_HOT_KEYS`` rows.
 A key outside that list is either below ``HOT_ROWS`` rows or has less than 1/10,000 of the table.
-Which keys are listed never changes a result, only how the work is spread.
+Which keys are listed never changes a result, only how the work is spread. It runs when the plan
+is built: pass ``hot=None`` where keys are known to be small, or the result of ``hot_keys`` where
+several steps share it.
+
+What is broadcast has a bound that does not grow with the data: ``MAX_HOT_KEYS`` keys, about
+``MAX_ALL_PARTS`` chunk borders, and one summary row per chunk.
 """
 
 from __future__ import annotations
@@ -25,14 +31,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.session import checkpointed
+
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
 MAX_PARTS = 4_096
+MAX_ALL_PARTS = 200_000
 PROBE = "probe"
 
 _BLOCK = 64
 _HASH_RANGE = 1 << 30
-_ROWS, _PARTS, _CHUNK, _SALT = "__rows", "__parts", "__chunk", "__salt"
+_ROWS, _PARTS, _CHUNK, _DEAL, _SALT = "__rows", "__parts", "__chunk", "__deal", "__salt"
 
 
 def hot_keys(
@@ -52,11 +61,13 @@ def hot_keys(
     )
     if not found:
         return None
-    rows = []
-    for row in found:
-        estimate = ceil(row[_ROWS] / sample)
-        parts = min(MAX_PARTS, max(2, ceil(4 * estimate / hot_rows)))
-        rows.append((*row[:-1], estimate, parts))
+    estimates = [ceil(row[_ROWS] / sample) for row in found]
+    # What is broadcast later has a row per part, so the sum of the parts is bounded as well.
+    rows_per_part = max(hot_rows / 16, sum(estimates) / MAX_ALL_PARTS)
+    rows = [
+        (*row[:-1], estimate, min(MAX_PARTS, max(2, ceil(estimate / rows_per_part))))
+        for row, estimate in zip(found, estimates)
+    ]
     schema = T.StructType(
         [*df.select(*keys).schema.fields]
         + [T.StructField(_ROWS, T.LongType()), T.StructField(_PARTS, T.IntegerType())]
@@ -76,18 +87,31 @@ def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> D
 
 
 def _with_chunks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: DataFrame,
+    ties: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of hot keys by chunk, ascending with ``order``; NULL for all other rows.
 
     Chunk borders are rows picked by a hash of their values: every evaluation of the plan picks
     the same ones, so a lost executor cannot move a border. There are about ``parts`` of them per key.
+
+    Each of the ``ties``, which are orders that very many rows share, opens a chunk. Its rows are
+    dealt out by map partition and come before the rest of the chunk. That assignment depends on
+    how the rows are laid out, so it is written to the checkpoint folder before it is used.
     """
     share = F.col(_PARTS) / F.col(_ROWS) * _HASH_RANGE
-    borders = (
+    picked = (
         _attach(df.select(*keys, *order), hot, keys, "inner")
         .filter(F.pmod(F.xxhash64(*keys, *order), F.lit(_HASH_RANGE)) < share)
-        .groupBy(*keys)
+        .select(*keys, *order)
+    )
+    if ties is not None:
+        picked = picked.unionByName(ties.select(*keys, *order))
+    borders = (
+        picked.groupBy(*keys)
         .agg(F.array_sort(F.collect_set(F.struct(*order))).alias("__borders"))
         .withColumn(
             "__block_ends", F.filter("__borders", lambda _, i: i % _BLOCK == _BLOCK - 1)
@@ -97,12 +121,17 @@ def _with_chunks(
     block = F.size(F.filter("__block_ends", lambda end: end <= here))
     rest = F.slice("__borders", F.col("__block") * _BLOCK + 1, _BLOCK)
     chunk = F.col("__block") * _BLOCK + F.size(F.filter(rest, lambda border: border <= here))
-    return (
+    chunked = (
         _attach(df, borders, keys, "left")
         .withColumn("__block", F.when(F.col("__borders").isNotNull(), block))
         .withColumn(_CHUNK, F.when(F.col("__borders").isNotNull(), chunk))
         .drop("__borders", "__block_ends", "__block")
     )
+    if ties is None:
+        return chunked.withColumn(_DEAL, F.lit(0))
+    dealt = _attach(chunked, ties.select(*keys, *order, _PARTS), [*keys, *order], "left")
+    deal = F.coalesce(F.spark_partition_id() % F.col(_PARTS), F.lit(MAX_PARTS))
+    return checkpointed(dealt.withColumn(_DEAL, deal).drop(_PARTS))
 
 
 def ordered_columns(
@@ -116,21 +145,25 @@ def ordered_columns(
     latest: Mapping[str, Column] | None = None,
     running: Mapping[str, Column] | None = None,
     hot: DataFrame | str | None = PROBE,
+    ties: DataFrame | str | None = PROBE,
 ) -> DataFrame:
     """Add columns that depend on the rows of the same key, taken in ascending ``order``.
 
     ``number`` is the 1-based position, ``previous`` and ``following`` read the neighbouring row,
     ``latest`` is the last non-NULL value up to this row and ``running`` the sum up to this row.
-    ``order`` should identify a row within its key.
+    ``order`` should identify a row within its key, or else rows it does not tell apart come in
+    any order. ``ties`` are the orders, with their key, that very many rows share; they are looked
+    up only when there are hot keys.
     """
     previous, following = previous or {}, following or {}
     latest, running = latest or {}, running or {}
+    order = [c for c in order if c not in keys]
     hot = _resolve(df, keys, hot)
 
     def in_window(parts: Sequence[str]) -> dict[str, Column]:
         w = Window.partitionBy(*parts).orderBy(*order)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        columns = {number: F.row_number().over(w)} if number else {}
+        columns = {number: F.row_number().over(w).cast("bigint")} if number else {}
         columns |= {name: F.lag(value).over(w) for name, value in previous.items()}
         columns |= {name: F.lead(value).over(w) for name, value in following.items()}
         columns |= {name: F.last(v, ignorenulls=True).over(so_far) for name, v in latest.items()}
@@ -140,8 +173,8 @@ def ordered_columns(
     if hot is None:
         return df.withColumns(in_window(keys))
 
-    chunked = _with_chunks(df, keys, order, hot)
-    parts = [*keys, _CHUNK]
+    chunked = _with_chunks(df, keys, order, hot, _resolve(df, [*keys, *order], ties))
+    parts = [*keys, _CHUNK, _DEAL]
     w = Window.partitionBy(*parts).orderBy(*order)
     inside = chunked.withColumns(
         in_window(parts)
@@ -161,7 +194,7 @@ def ordered_columns(
     ]
     per_chunk += [F.sum(v).alias(f"__r_{n}") for n, v in running.items()]
 
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
+    across = Window.partitionBy(*keys).orderBy(_CHUNK, _DEAL)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum("__count").over(earlier).alias("__count")]
     carried += [F.lag(f"__p_{n}").over(across).alias(f"__p_{n}") for n in previous]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from daybook.operators.skew import PROBE, hot_keys, latest_per_key, ordered_columns
 
-# A version table within both bounds is broadcast to the facts; a larger one is merged by time.
+# A version table within all bounds is broadcast to the facts; a larger one is merged by time.
 BROADCAST_VERSIONS = 200_000
+BROADCAST_BYTES = 32 << 20
 BROADCAST_PER_KEY = 64
 
 
@@ -87,13 +88,7 @@ def at_point_in_time(
     a fact among those of the same key and time.
     """
     if broadcast is None:
-        size = (
-            versions.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.sum("n").alias("total"), F.max("n").alias("most"))
-            .first()
-        )
-        broadcast = (size.total or 0) <= BROADCAST_VERSIONS and (size.most or 0) <= BROADCAST_PER_KEY
+        broadcast = _is_small(versions, keys, values)
     tie = F.struct(*version_tie) if version_tie else F.lit(0)
     known = versions.groupBy(*keys, F.col(version_time).alias("__at")).agg(
         F.max_by(F.struct(*values), tie).alias("__version")
@@ -114,6 +109,22 @@ def at_point_in_time(
     )
 
 
+def _is_small(versions: DataFrame, keys: Sequence[str], values: Sequence[str]) -> bool:
+    """Whether a version table is within the broadcast bounds."""
+    width = F.octet_length(F.to_json(F.struct(*keys, *values)))
+    size = (
+        versions.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+        .agg(F.sum("n").alias("total"), F.sum("bytes").alias("bytes"), F.max("n").alias("most"))
+        .first()
+    )
+    return (
+        (size.total or 0) <= BROADCAST_VERSIONS
+        and (size.bytes or 0) <= BROADCAST_BYTES
+        and (size.most or 0) <= BROADCAST_PER_KEY
+    )
+
+
 def _join_versions(
     facts: DataFrame, known: DataFrame, keys: Sequence[str], fact_time: str, values: Sequence[str]
 ) -> DataFrame:

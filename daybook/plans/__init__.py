@@ -1 +1 @@
-"""Whole plans: the landing-to-totals pipeline and the registered queries."""
+"""Whole plans: the landing-to-totals warehouse and the registered queries."""

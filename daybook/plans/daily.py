@@ -347,18 +347,16 @@ def _landed_orders(spark: SparkSession, folder: str) -> tuple[str, str]:
     return root, metadata.without_internal(rows).schema
 
 
-@query(
-    "landing_roundtrip",
-    """
+LANDED_SQL = """
     SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
            CAST(o_totalprice AS DOUBLE) AS net_amount,
            CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '-' END AS priority,
            strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date
     FROM orders
-    """,
-)
-def landing_roundtrip(spark, folder):
-    root, schema = _landed_orders(spark, folder)
+"""
+
+
+def _read_landed(spark: SparkSession, root: str, schema) -> DataFrame:
     rows = landing.read_table(spark, root, "orders", schema, load_date_in_file=False)
     return rows.select(
         "o_orderkey",
@@ -370,6 +368,19 @@ def landing_roundtrip(spark, folder):
     )
 
 
+@query("landing_roundtrip", LANDED_SQL)
+def landing_roundtrip(spark, folder):
+    return _read_landed(spark, *_landed_orders(spark, folder))
+
+
+@query("landing_copy", LANDED_SQL)
+def landing_copy(spark, folder):
+    root, schema = _landed_orders(spark, folder)
+    lake = shared_folder(spark, "lake")
+    landing.land_files(spark, root, lake)
+    return _read_landed(spark, f"{lake}/bronze/landing", schema)
+
+
 @query(
     "landing_manifest",
     """

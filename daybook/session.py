@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Days are UTC days; a skewed join is split even where that costs one more shuffle; streaming state
 # lives in RocksDB, outside the heap, and is saved as changes.
@@ -28,8 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the folder that ``spark.checkpoint.dir`` names.
+def _base_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     A local session without that setting gets a temporary folder; a cluster session
     without it is refused, because a machine's own folder is lost with the machine.
@@ -40,4 +40,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="daybook-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{_base_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as written to the shared folder, with no plan behind them."""
+    _base_folder(df.sparkSession)
+    return df.checkpoint()

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,9 +119,50 @@ def in_path_order(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
 
 
+def _copy_file(source: str, target: str) -> int:
+    """Copy one file in pieces and return its size; a repeated copy replaces the first."""
+
+    def located(uri: str) -> tuple[fs.FileSystem, str]:
+        uri = re.sub("^s3[an]:", "s3:", uri)
+        local = re.match("^file:/+(.*)", uri)
+        path = f"/{local[1]}" if local else uri
+        return fs.FileSystem.from_uri(path)
+
+    (from_fs, from_path), (to_fs, to_path) = located(source), located(target)
+    to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
+    size = 0
+    with from_fs.open_input_stream(from_path) as read, to_fs.open_output_stream(to_path) as write:
+        while piece := read.read(8 << 20):
+            write.write(piece)
+            size += len(piece)
+    return size
+
+
+def land_files(
+    spark: SparkSession, root: str, target: str, prefix: str = "bronze/landing"
+) -> int:
+    """Copy every CSV file below the root to ``<target>/<prefix>/<relative path>``, byte for byte.
+
+    Earlier copies are replaced and the number of files is returned. The files are dealt out to the
+    tasks and each is streamed, so neither their number nor their size is one machine's work.
+    """
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [_copy_file(f["source_path"], f["target"]) for f in batch.to_pylist()]
+            yield pa.RecordBatch.from_pydict({"file_length": pa.array(sizes, pa.int64())})
+
+    files = manifest(spark, root, prefix).select(
+        "source_path", landing_path(target, F.col("target_path")).alias("target")
+    )
+    copied = files.repartition("source_path").mapInArrow(copy, "file_length long")
+    return copied.agg(F.count("file_length")).first()[0]
+
+
 def land_table(spark: SparkSession, root: str, table: str, target: str) -> None:
-    """Copy a table's landed rows to another landing root, replacing what is there.
+    """Write a table's landed rows to another landing root, replacing what is there.
 
-    Folders are kept, file names are Spark's.
+    Day folders are kept, file names are Spark's and cells that do not parse are lost:
+    ``land_files`` keeps files as they are.
     """
     write_table(read_table(spark, root, table).drop(CORRUPT), target, table)

@@ -131,6 +131,25 @@ def test_manifest_without_csv_is_empty(spark, tmp_path):
     assert landing.manifest(spark, str(tmp_path)).count() == 0
 
 
+def test_land_files_copies_bytes_and_replaces(spark, tmp_path):
+    raw, lake = tmp_path / "raw", tmp_path / "lake"
+    put(raw / "customers.csv", "customer_id\n1\n")
+    put(raw / "orders" / "2026" / "orders.csv", 'order_id,note\n100,"a ""b"", c\n')
+    put(raw / "ignore.txt", "x")
+    put(lake / "bronze" / "landing" / "customers.csv", "an older and longer file\n" * 9)
+    assert landing.land_files(spark, str(raw), str(lake), prefix="bronze/landing/") == 2
+    copies = {str(f.relative_to(lake)): f.read_bytes() for f in lake.rglob("*") if f.is_file()}
+    assert copies == {
+        "bronze/landing/customers.csv": (raw / "customers.csv").read_bytes(),
+        "bronze/landing/orders/2026/orders.csv": (raw / "orders" / "2026" / "orders.csv").read_bytes(),
+    }
+
+
+def test_land_files_without_csv(spark, tmp_path):
+    put(tmp_path / "readme.txt", "x")
+    assert landing.land_files(spark, str(tmp_path), str(tmp_path / "lake")) == 0
+
+
 def test_land_table_keeps_days(spark, raw, tmp_path):
     target = str(tmp_path / "lake" / "landing")
     landing.land_table(spark, raw, "orders", target)

@@ -6,7 +6,7 @@ import csv
 
 import pytest
 
-from daybook.plans import pipeline
+from daybook.plans import warehouse
 from daybook.schemas import TABLES
 
 D1, D2 = "2026-01-02", "2026-01-03"
@@ -102,7 +102,7 @@ LANDED = {
 
 @pytest.fixture(scope="module")
 def result(spark, tmp_path_factory):
-    root = tmp_path_factory.mktemp("pipeline")
+    root = tmp_path_factory.mktemp("landed")
     for load_date, tables in LANDED.items():
         for table, ddl in TABLES.items():
             folder = root / "raw" / table / f"load_date={load_date}"
@@ -116,7 +116,7 @@ def result(spark, tmp_path_factory):
                 writer = csv.DictWriter(out, names, extrasaction="ignore", lineterminator="\n")
                 writer.writeheader()
                 writer.writerows(rows)
-    return pipeline.run(spark, str(root / "raw"), str(root / "warehouse"))
+    return warehouse.run(spark, str(root / "raw"), str(root / "warehouse"))
 
 
 def test_report_finds_every_fault(result):
