@@ -11,6 +11,9 @@ from daybook.functions.scalars import base_rate_to_pln, from_pln
 from daybook.operators.skew import PROBE, join_unique, latest_per_key, ordered_columns
 from daybook.schemas import ORDER_STATUSES, ORDER_TRANSITIONS
 
+# Campaign days up to this number are broadcast.
+BROADCAST_CAMPAIGN_DAYS = 500_000
+
 
 def daily_totals(orders: DataFrame, day: str = "order_date", amount: str = "order_amount") -> DataFrame:
     """Order count and amount per day, in day order."""
@@ -85,18 +88,25 @@ def with_campaigns(
     """Left join to the campaigns that run on an order's day.
 
     Campaigns are expanded to their days, which makes the range look-up an equi-join. Mode "all"
-    returns a row per running campaign, "one" a single row with the lowest campaign_id.
+    returns a row per running campaign, "one" a single row with the lowest campaign_id. Up to
+    ``BROADCAST_CAMPAIGN_DAYS`` the days are sent to the orders, beyond that both sides are shuffled.
     """
     if mode not in ("all", "one"):
         raise ValueError(f"unknown mode {mode!r}")
-    days = campaigns.filter(F.col("start_date") <= F.col("end_date")).select(
+    valid = campaigns.filter(F.col("start_date") <= F.col("end_date"))
+    length = F.sum(F.datediff("end_date", "start_date") + 1)
+    small = (valid.agg(length).first()[0] or 0) <= BROADCAST_CAMPAIGN_DAYS
+    days = valid.select(
         F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias(day),
         "campaign_id",
     )
     if mode == "one":
         days = days.groupBy(day).agg(F.min("campaign_id").alias("campaign_id"))
+    if small:
+        return orders.join(F.broadcast(days), day, "left")
+    if mode == "one":
         return join_unique(orders, days, [day], "left")
-    return orders.join(days, day, "left")
+    return orders.join(days.hint("merge"), day, "left")
 
 
 def with_channel(orders: DataFrame, campaigns: DataFrame, fallback: Column) -> DataFrame:

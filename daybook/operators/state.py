@@ -76,7 +76,7 @@ def at_point_in_time(
     values: Sequence[str],
     version_tie: Sequence[str] = (),
     fact_tie: Sequence[str] = (),
-    broadcast: bool | None = None,
+    merge: bool = False,
     hot: DataFrame | str | None = PROBE,
 ) -> DataFrame:
     """Add to each fact the ``values`` of the latest version at or before the fact's time.
@@ -85,15 +85,13 @@ def at_point_in_time(
     them. Otherwise versions and facts are merged in time order per key, so the work is linear in
     both and no pair of a fact and a wrong version is ever formed. Facts without a version get NULLs.
     Of versions at the same time the last in ``version_tie`` order counts; ``fact_tie`` identifies
-    a fact among those of the same key and time.
+    a fact among those of the same key and time. ``merge`` goes by time without measuring.
     """
-    if broadcast is None:
-        broadcast = _is_small(versions, keys, values)
     tie = F.struct(*version_tie) if version_tie else F.lit(0)
     known = versions.groupBy(*keys, F.col(version_time).alias("__at")).agg(
         F.max_by(F.struct(*values), tie).alias("__version")
     )
-    if broadcast:
+    if not merge and _is_small(versions, keys, values):
         return _join_versions(facts, known, keys, fact_time, values)
 
     fact_rows = facts.withColumns(

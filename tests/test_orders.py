@@ -114,9 +114,9 @@ def test_active_masters(spark, customers):
     assert [r.product_id for r in state.active_products(products).collect()] == ["p2"]
 
 
-@pytest.mark.parametrize("broadcast", [None, True, False])
+@pytest.mark.parametrize("merge", [False, True])
 @pytest.mark.parametrize("split", [False, True])
-def test_price_by_load_date(spark, broadcast, split, monkeypatch):
+def test_price_by_load_date(spark, merge, split, monkeypatch):
     """A price changed at 18:00 applies to all orders loaded that day, not to the day before."""
     products = spark.createDataFrame(
         [("p1", Decimal("10.00"), day("2026-01-01"), at("2026-01-01 09:00:00")),
@@ -132,7 +132,7 @@ def test_price_by_load_date(spark, broadcast, split, monkeypatch):
     listed = products.withColumnRenamed("unit_price", "list_price")
     found = state.at_point_in_time(
         items, listed, ["product_id"], "load_date", "load_date", ["list_price"],
-        ["updated_at"], ["order_item_id"], broadcast, hot,
+        ["updated_at"], ["order_item_id"], merge, hot,
     )
     prices = {r.order_item_id: r.list_price and float(r.list_price) for r in found.collect()}
     assert prices == {"i0": None, "i1": 10.0, "i2": 12.0, "i3": 12.0, "i4": None}
@@ -178,7 +178,9 @@ def test_conversion_by_base_and_daily_rate(spark):
     }
 
 
-def test_campaigns_overlap_and_fall_back(spark):
+@pytest.mark.parametrize("broadcast_days", [500_000, 1])
+def test_campaigns_overlap_and_fall_back(spark, broadcast_days, monkeypatch):
+    monkeypatch.setattr(orders, "BROADCAST_CAMPAIGN_DAYS", broadcast_days)
     rows = spark.createDataFrame(
         [("o1", day("2026-01-15")), ("o2", day("2026-06-01"))], "order_id string, order_date date"
     )
