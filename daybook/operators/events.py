@@ -106,7 +106,8 @@ def next_in_interval(
         | {f"__tie{i}": F.col(c) for i, c in enumerate(early_tie)}
     )
     targets = (
-        late.groupBy(*keys, _micros(F.col(late_time)).alias("__late"))
+        late.dropna(subset=list(keys))  # a NULL key matches nothing, as in a join
+        .groupBy(*keys, _micros(F.col(late_time)).alias("__late"))
         .agg(F.min_by(F.struct(*values), F.struct(*late_tie)).alias("__values"))
         .select(
             *keys,

@@ -88,7 +88,8 @@ def at_point_in_time(
     a fact among those of the same key and time. ``merge`` goes by time without measuring.
     """
     tie = F.struct(*version_tie) if version_tie else F.lit(0)
-    known = versions.groupBy(*keys, F.col(version_time).alias("__at")).agg(
+    # A NULL key matches nothing, as in a join.
+    known = versions.dropna(subset=list(keys)).groupBy(*keys, F.col(version_time).alias("__at")).agg(
         F.max_by(F.struct(*values), tie).alias("__version")
     )
     if not merge and _is_small(versions, keys, values):

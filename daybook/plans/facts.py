@@ -713,7 +713,7 @@ def collect_children(spark, folder):
          p AS (SELECT l_orderkey AS k, MIN(l_linenumber) FILTER (l_returnflag = 'N') AS c,
                       COUNT(*) FILTER (l_returnflag = 'A') AS f
                FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey)
-    SELECT o_orderkey AS order_id, CAST(gross - discount AS DOUBLE) AS items_net_pln,
+    SELECT o_orderkey AS order_id, COALESCE(CAST(gross - discount AS DOUBLE), 0) AS items_net_pln,
            CASE WHEN c = 1 THEN 'first_try' WHEN c > 1 THEN 'retried'
                 WHEN COALESCE(f, 0) > 0 THEN 'cancelled' ELSE 'open' END AS payment_outcome,
            CASE WHEN n IS NULL THEN 'none' WHEN a IS NULL THEN 'rejected'
@@ -748,7 +748,7 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
     return orders.order_facts(feed, items, payments, refunds).select(
         "order_id",
-        F.col("items_net_pln").cast("double").alias("items_net_pln"),
+        F.coalesce(F.col("items_net_pln").cast("double"), F.lit(0.0)).alias("items_net_pln"),
         "payment_outcome",
         "refund_class",
     )

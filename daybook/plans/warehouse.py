@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,10 @@ ROW_RULES = {
 }
 
 
-def bronze_tables(spark: SparkSession, landing: str, bronze: str) -> dict[str, DataFrame]:
-    return {t: load_bronze(spark, landing, bronze, t) for t in TABLES}
+def bronze_tables(
+    spark: SparkSession, landing: str, bronze: str, days: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    return {t: load_bronze(spark, landing, bronze, t, days=days) for t in TABLES}
 
 
 def row_rules(table: str) -> dict[str, Column]:
@@ -101,9 +105,13 @@ def current_tables(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return current
 
 
-def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, landing: str, warehouse: str, days: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
     """Build the warehouse below ``warehouse`` and return its result tables.
 
+    With ``days`` only those days are taken from the landing zone; earlier ones are in bronze already.
+
     Every step that feeds several others is a written table, so a lost executor repeats a
     task and not the chain before it.
     """
@@ -113,7 +121,7 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, DataFram
         df.write.mode("overwrite").parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
-    bronze = bronze_tables(spark, landing, f"{base}/bronze")
+    bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
     checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
     pieces = {t: Q.split(df) for t, df in checked.items()}
     clean = {t: good.drop(CORRUPT) for t, (good, _) in pieces.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.metadata import with_audit
@@ -9,15 +11,20 @@ from daybook.sources.landing import read_table
 
 
 def load_bronze(
-    spark: SparkSession, landing: str, bronze: str, table: str, source_system: str = "landing"
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    table: str,
+    source_system: str = "landing",
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rewrite a landed table as Parquet by load date and return it.
+    """Rewrite a landed table as Parquet by load date and return all of it.
 
-    Only days found in the landing zone are replaced. Later readers skip days and columns, which
+    With ``days`` only those days are read. Only days found are replaced, others stay. Later readers skip days and columns, which
     the raw files do not allow.
     """
     path = f"{bronze.rstrip('/')}/{table}"
-    rows = with_audit(read_table(spark, landing, table), source_system)
+    rows = with_audit(read_table(spark, landing, table, days=days), source_system)
     (
         rows.hint("rebalance", "load_date")
         .write.mode("overwrite")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
@@ -48,17 +48,24 @@ def read_table(
     table: str,
     schema: T.StructType | None = None,
     load_date_in_file: bool = True,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
     """All landed files of a table; blank files have no rows, a missing table is empty.
 
+    With ``days`` (ISO dates) only those days' folders are listed and read.
+
     Cells that do not parse are NULL and the line is kept in ``_corrupt_record``. Files written by
     ``write_table`` have load_date in the folder name only: read them with
     ``load_date_in_file=False``, which also lets a filter on load_date skip folders.
     """
     schema = schema or landed_schema(table)
     options = READ_OPTIONS | {"recursiveFileLookup": str(load_date_in_file).lower()}
+    path = f"{root.rstrip('/')}/{table}"
+    if days is not None:
+        path += f"/load_date={{{','.join(days)}}}"
+        options["basePath"] = f"{root.rstrip('/')}/{table}"
     try:
-        return spark.read.schema(schema).options(**options).csv(f"{root.rstrip('/')}/{table}")
+        return spark.read.schema(schema).options(**options).csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

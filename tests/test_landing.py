@@ -69,6 +69,16 @@ def test_missing_table_and_blank_file_are_empty(spark, raw, tmp_path):
     assert landing.read_table(spark, raw, "refunds").count() == 0
 
 
+def test_single_days(spark, raw, tmp_path):
+    one = landing.read_table(spark, raw, "orders", days=["2026-01-03", "2026-01-09"])
+    assert [r.order_id for r in one.collect()] == ["ord_1"]
+    assert one.first().load_date == day("2026-01-03")
+    assert landing.read_table(spark, raw, "orders", days=["2026-01-09"]).count() == 0
+    target = str(tmp_path / "bronze")
+    bronze.load_bronze(spark, raw, target, "orders", days=["2026-01-02"])
+    assert bronze.load_bronze(spark, raw, target, "orders", days=["2026-01-03"]).count() == 2
+
+
 def test_unreadable_cell_is_null_and_its_line_is_kept(spark, tmp_path):
     line = ORDER.format(n=1, d="2026-01-02").replace("94.5", "abc")
     put(tmp_path / "orders" / "load_date=2026-01-02" / "orders.csv", f"{ORDER_HEADER}\n{line}\n")
