@@ -234,6 +234,9 @@ def join_unique(
 ) -> DataFrame:
     """Join many rows to a side with at most one row per key, spreading hot keys of the left side.
 
+    This is for a right side that is computed on the spot, e.g. grouped by the key: its grouping
+    takes the place of the shuffle that adaptive execution would need to split a skewed join. For
+    two stored tables adaptive execution does that, so pass ``hot=None`` or join them plainly.
     ``how`` is inner, left, left_semi or left_anti. The salt is the map partition, which a re-run
     task keeps, so copies of a row spread as well and a lost executor changes nothing.
     """

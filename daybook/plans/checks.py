@@ -120,7 +120,7 @@ def hash_sample(spark, folder):
 def _lines_and_rules(spark, folder) -> tuple[DataFrame, dict[str, Column]]:
     lines = table(spark, folder, "lineitem").withColumn("o_orderkey", F.col("l_orderkey"))
     headers = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    joined = skew.join_unique(lines, headers, ["o_orderkey"])
+    joined = lines.join(headers, "o_orderkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     quantity = F.col("l_quantity").cast("decimal(6,0)")
     unit = F.round(price / quantity, 2).cast("decimal(12,2)")
@@ -288,7 +288,9 @@ def payment_amounts(spark, folder):
         F.when(flag == "N", "captured").when(flag == "A", "failed").otherwise("refunded")
         .alias("payment_status"),
     )
-    wrong = quality.wrong_payment_amount(payments, _net_amounts(spark, folder), tolerance="20000")
+    wrong = quality.wrong_payment_amount(
+        payments, _net_amounts(spark, folder), tolerance="20000", hot=None
+    )
     return wrong.select("order_id", "l_linenumber", "payment_status")
 
 
@@ -319,7 +321,7 @@ def excessive_refunds(spark, folder):
             F.col("l_extendedprice").cast("decimal(12,2)").alias("refund_amount"),
         )
     )
-    wrong = quality.excessive_refund(refunds, _net_amounts(spark, folder))
+    wrong = quality.excessive_refund(refunds, _net_amounts(spark, folder), hot=None)
     return wrong.select("order_id", "l_linenumber", "l_partkey")
 
 

@@ -203,7 +203,9 @@ def items_with_order(spark, folder):
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey"
     )
     headers = table(spark, folder, "orders")
-    return orders.with_order(lines, headers, ["o_custkey", "o_orderpriority"], "o_orderkey")
+    return orders.with_order(
+        lines, headers, ["o_custkey", "o_orderpriority"], "o_orderkey", hot=None
+    )
 
 
 @query(
@@ -230,7 +232,7 @@ def _orders_with_country(spark, folder) -> DataFrame:
     )
     codes = F.array(F.lit("PL"), F.lit("DE"), F.lit("CZ"))
     country = F.element_at(codes, (F.col("c_nationkey") % 3 + 1).cast("int"))
-    return skew.join_unique(headers, customers, ["o_custkey"]).withColumn("country_code", country)
+    return headers.join(customers, "o_custkey").withColumn("country_code", country)
 
 
 @query(
@@ -573,9 +575,8 @@ def late_delivery(spark, folder):
     headers = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
-    shipped = orders.with_order(lines, headers, ["o_orderdate"], "l_orderkey").withColumn(
-        "estimated", F.col("o_orderdate") + F.expr("interval 30 days")
-    )
+    placed = orders.with_order(lines, headers, ["o_orderdate"], "l_orderkey", hot=None)
+    shipped = placed.withColumn("estimated", F.col("o_orderdate") + F.expr("interval 30 days"))
     delayed = orders.with_delivery_delay(shipped, "l_shipdate", "estimated")
     return delayed.select("l_orderkey", "l_linenumber", "is_late", "days_late")
 

@@ -185,6 +185,31 @@ def test_salted_join_spreads_the_hot_key(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_adaptive_execution_splits_a_join_of_two_stored_tables(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    rows.write.parquet(str(tmp_path / "left"))
+    rows.select("k").distinct().write.parquet(str(tmp_path / "right"))
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    for name, value in low.items():
+        spark.conf.set(name, value)
+    try:
+        left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
+        joined = skew.join_unique(left, right, ["k"], hot=None)
+        assert len(joined.collect()) == 400_000
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for name in low:
+            spark.conf.unset(name)
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark, small):
     orders = spark.read.parquet(f"{small}/orders.parquet")
     plan = plan_of(skew.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
