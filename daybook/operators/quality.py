@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,11 +109,22 @@ def as_rules(names: Sequence[str], name: str = "failed_rules") -> dict[str, Colu
     return {rule: F.array_contains(name, rule) for rule in names}
 
 
-def split(checked: DataFrame, name: str = "failed_rules") -> tuple[DataFrame, DataFrame]:
-    """Clean rows without the rule column, and quarantined rows with it."""
+def split_checked(checked: DataFrame, name: str = "failed_rules") -> tuple[DataFrame, DataFrame]:
+    """Clean rows without the rule column, and quarantined rows with it, of stored checked rows."""
     return checked.filter(F.size(name) == 0).drop(name), checked.filter(F.size(name) > 0)
 
 
+def split(
+    df: DataFrame, rules: Mapping[str, Column], name: str = "failed_rules"
+) -> tuple[DataFrame, DataFrame]:
+    """Clean rows, and quarantined rows with the names of the rules they break.
+
+    A row is tested up to the first rule it breaks; only quarantined rows get the list.
+    """
+    broken = reduce(or_, [F.coalesce(b, F.lit(False)) for b in rules.values()])
+    return df.filter(~broken), check_rows(df.filter(broken), rules, name)
+
+
 # --- checks against another table ---
 
 

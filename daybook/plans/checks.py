@@ -169,7 +169,7 @@ def dq_report(spark, folder):
     """,
 )
 def dq_quarantine(spark, folder):
-    _, bad = quality.split(quality.check_rows(*_lines_and_rules(spark, folder)))
+    _, bad = quality.split(*_lines_and_rules(spark, folder))
     return bad.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.array_join("failed_rules", ",").alias("failed_rules")
     )
@@ -180,7 +180,7 @@ def dq_quarantine(spark, folder):
     f"SELECT l_orderkey, l_linenumber, l_partkey FROM ({BROKEN_SQL}) WHERE NOT (b1 OR b2 OR b3 OR b4)",
 )
 def dq_clean(spark, folder):
-    good, _ = quality.split(quality.check_rows(*_lines_and_rules(spark, folder)))
+    good, _ = quality.split(*_lines_and_rules(spark, folder))
     return good.select("l_orderkey", "l_linenumber", "l_partkey")
 
 

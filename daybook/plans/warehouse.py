@@ -123,7 +123,7 @@ def run(
 
     bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
     checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
-    pieces = {t: Q.split(df) for t, df in checked.items()}
+    pieces = {t: Q.split_checked(df) for t, df in checked.items()}
     clean = {t: good.drop(CORRUPT) for t, (good, _) in pieces.items()}
     current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean).items()}
     facts = stored(

@@ -10,11 +10,13 @@ from tests.conftest import at, day
 
 
 def failing(df, rules):
-    checked = quality.check_rows(df, rules)
-    good, bad = quality.split(checked)
-    assert good.count() + bad.count() == df.count()
-    assert "failed_rules" not in good.columns
-    return {r.id: sorted(r.failed_rules) for r in bad.collect()}
+    found = []
+    for good, bad in (quality.split(df, rules), quality.split_checked(quality.check_rows(df, rules))):
+        assert good.count() + bad.count() == df.count()
+        assert "failed_rules" not in good.columns
+        found.append({r.id: sorted(r.failed_rules) for r in bad.collect()})
+    assert found[0] == found[1]
+    return found[0]
 
 
 def test_item_rules(spark):
