@@ -63,7 +63,7 @@ def land_deferred(due: DataFrame, day: Column, event_time: str = "source_event_a
 
 def with_lateness(
     df: DataFrame,
-    grace_days: int = 1,
+    grace_days: int | Column = 1,
     load_date: str = "load_date",
     event_time: str = "source_event_at",
 ) -> DataFrame:
@@ -76,6 +76,18 @@ def with_lateness(
     return df.withColumns({"lag_days": lag, "is_late": lag > grace_days})
 
 
+def usual_grace(table: str) -> Column:
+    """Days a table's on-time rows may trail their event.
+
+    Web events and first payments land on their day; status rows, and the payment rows that follow
+    from another event, are scheduled for the next load.
+    """
+    if table == "payments":
+        scheduled = F.col("payment_status").isin("authorized", "refunded")
+        return F.when(scheduled, 1).otherwise(0)
+    return F.lit(1 if table in ("orders", "shipments", "refunds") else 0)
+
+
 def lateness_by_day(df: DataFrame, load_date: str = "load_date") -> DataFrame:
     """Rows, late rows and the longest lag per load date."""
     return df.groupBy(load_date).agg(

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from daybook.operators import orders as O
 from daybook.operators import quality as Q
+from daybook.operators.dims import days_spanned
+from daybook.operators.metadata import lateness_by_day, usual_grace, with_lateness
 from daybook.operators.orders import shipment_outcome, with_delivery_delay
 from daybook.operators.skew import latest_per_key
 from daybook.operators.state import item_prices, version_history
 from daybook.operators.tables import drop_copies, duplicate_keys, union_batches
-from daybook.schemas import KEYS, TABLES, VERSIONED
+from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
 from daybook.sources.bronze import load_bronze
 from daybook.sources.landing import CORRUPT
 
@@ -30,6 +32,9 @@ UNIQUE = {
     "web_events": ["event_id"],
     "orders": ["order_id", "order_updated_at"],
 }
+FACTS = ["orders", "order_items", "payments", "shipments", "refunds", "web_events"]
+# Campaigns come with the first load only.
+DAILY = [t for t in TABLES if t != "marketing_campaigns"]
 AUDIT = ["_ingested_at", "_source_system", "_source_layer"]
 ROW_RULES = {
     "order_items": Q.item_rules,
@@ -95,6 +100,33 @@ def quality_report(
     return union_batches(*row_reports, across)
 
 
+def lateness_report(clean: dict[str, DataFrame]) -> DataFrame:
+    """Rows, late rows and longest lag per fact table and load date."""
+    return union_batches(
+        *[
+            lateness_by_day(with_lateness(clean[t], usual_grace(t))).withColumn("table_name", F.lit(t))
+            for t in FACTS
+        ]
+    )
+
+
+def column_report(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Required columns of each table that has some, with the table's row count."""
+    return union_batches(*[Q.column_report(bronze[t], t, names) for t, names in REQUIRED.items()])
+
+
+def missing_days(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Days between the first and the last load on which a daily table has no rows."""
+    found = union_batches(
+        *[
+            bronze[t].select("load_date").distinct().withColumn("table_name", F.lit(t))
+            for t in DAILY
+        ]
+    )
+    days = days_spanned(found, F.col("load_date"), "load_date")
+    return Q.missing_days(found, days, DAILY, "table_name", "load_date")
+
+
 def current_tables(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """One row per natural key: the latest version, or the first landing of a single-version row."""
     current = dict(clean)
@@ -139,7 +171,10 @@ def run(
         ["country_code", "city", "customer_status", "marketing_consent"], strategy="check",
     )
     return {
+        "column_report": stored(column_report(bronze), "column_report"),
+        "missing_days": stored(missing_days(bronze), "missing_days"),
         "quality_report": stored(quality_report(bronze, checked, clean, current), "quality_report"),
+        "lateness_report": stored(lateness_report(clean), "lateness_report"),
         "order_facts": facts,
         "order_lifecycle": stored(O.lifecycle(clean["orders"]), "order_lifecycle"),
         "item_prices": stored(prices, "item_prices"),

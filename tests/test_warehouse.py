@@ -161,3 +161,17 @@ def test_other_tables(result):
     assert [r.is_current for r in result["customer_history"].collect()] == [True]
     life = {r.order_id: r for r in result["order_lifecycle"].collect()}
     assert life["o1"].current_status == "paid" and life["o2"].paid_at is None
+
+
+def test_columns_days_and_lateness(result):
+    assert all(r.is_present and r.row_count > 0 for r in result["column_report"].collect())
+    missing = {(r.table_name, str(r.load_date)) for r in result["missing_days"].collect()}
+    assert ("shipments", D1) in missing and ("order_items", D2) in missing
+    assert not {t for t, _ in missing} & {"orders", "payments", "customers", "marketing_campaigns"}
+    late = {
+        (r.table_name, str(r.load_date)): (r.row_count, r.late_count, r.max_lag_days)
+        for r in result["lateness_report"].collect()
+    }
+    assert late["orders", D2] == (1, 0, 1)  # a status row of the day before
+    assert late["payments", D1] == (3, 0, 0) and late["payments", D2] == (1, 1, 1)
+    assert late["shipments", D2] == (2, 0, 1)
