@@ -22,6 +22,11 @@ def drop_copies(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def count_copies(df: DataFrame, name: str = "copy_count") -> DataFrame:
+    """Distinct rows with how often each occurs, at the cost of ``drop_copies``."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row of each key in ``order`` (limited per key before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -14,7 +14,7 @@ from daybook.operators.metadata import lateness_by_day, usual_grace, with_latene
 from daybook.operators.orders import shipment_outcome, with_delivery_delay
 from daybook.operators.skew import latest_per_key
 from daybook.operators.state import item_prices, version_history
-from daybook.operators.tables import drop_copies, duplicate_keys, union_batches
+from daybook.operators.tables import count_copies, duplicate_keys, first_per_key, union_batches
 from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
 from daybook.sources.bronze import load_bronze
 from daybook.sources.landing import CORRUPT
@@ -57,28 +57,27 @@ def row_rules(table: str) -> dict[str, Column]:
 
 
 def checked_table(bronze: DataFrame, table: str) -> DataFrame:
-    """Bronze rows without exact copies, with the rules each one breaks."""
-    return Q.check_rows(drop_copies(bronze.drop(*AUDIT)), row_rules(table))
+    """Distinct bronze rows with copy_count and the rules each one breaks."""
+    return Q.check_rows(count_copies(bronze.drop(*AUDIT)), row_rules(table))
 
 
 def quality_report(
-    bronze: dict[str, DataFrame],
-    checked: dict[str, DataFrame],
-    clean: dict[str, DataFrame],
-    current: dict[str, DataFrame],
+    checked: dict[str, DataFrame], clean: dict[str, DataFrame], current: dict[str, DataFrame]
 ) -> DataFrame:
     """table_name, rule, checked, failed over row rules, copies, keys, references and amounts."""
+    no_copies = {"no_copies": F.col("copy_count") > 1}
     row_reports = [
-        Q.report(rows, Q.as_rules(list(row_rules(t)))).select(F.lit(t).alias("table_name"), "*")
+        Q.report(rows, Q.as_rules(list(row_rules(t))) | no_copies).select(
+            F.lit(t).alias("table_name"), "*"
+        )
         for t, rows in checked.items()
     ]
+    # A parent in quarantine is still a parent.
     failures = {
-        (child, f"{key}_exists"): Q.without_parent(clean[child], clean[parent], key, parent_key)
+        (child, f"{key}_exists"): Q.without_parent(clean[child], checked[parent], key, parent_key)
         for child, key, parent, parent_key in REFERENCES
     }
     for t, keys in UNIQUE.items():
-        rows = bronze[t].drop(*AUDIT)
-        failures[t, "no_copies"] = duplicate_keys(rows, rows.columns)
         failures[t, "unique_key"] = duplicate_keys(clean[t], keys)
     failures["payments", "amount_of_order"] = Q.wrong_payment_amount(
         clean["payments"], current["orders"]
@@ -133,7 +132,7 @@ def current_tables(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for name, (keys, version) in VERSIONED.items():
         current[name] = latest_per_key(clean[name], keys, version)
     for name, keys in KEYS.items():
-        current[name] = clean[name].dropDuplicates(keys)
+        current[name] = first_per_key(clean[name], keys, ["load_date", "loaded_at"])
     return current
 
 
@@ -156,7 +155,7 @@ def run(
     bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
     checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
     pieces = {t: Q.split_checked(df) for t, df in checked.items()}
-    clean = {t: good.drop(CORRUPT) for t, (good, _) in pieces.items()}
+    clean = {t: good.drop(CORRUPT, "copy_count") for t, (good, _) in pieces.items()}
     current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean).items()}
     facts = stored(
         O.order_facts(
@@ -173,7 +172,7 @@ def run(
     return {
         "column_report": stored(column_report(bronze), "column_report"),
         "missing_days": stored(missing_days(bronze), "missing_days"),
-        "quality_report": stored(quality_report(bronze, checked, clean, current), "quality_report"),
+        "quality_report": stored(quality_report(checked, clean, current), "quality_report"),
         "lateness_report": stored(lateness_report(clean), "lateness_report"),
         "order_facts": facts,
         "order_lifecycle": stored(O.lifecycle(clean["orders"]), "order_lifecycle"),

@@ -342,6 +342,7 @@ def test_union_dedupe_and_keys(spark):
     both = tables.union_batches(a, b)
     assert both.count() == 5 and both.filter("v is null").count() == 2
     assert tables.drop_copies(both).count() == 4
+    assert sorted(r.copy_count for r in tables.count_copies(both).collect()) == [1, 1, 1, 2]
     assert {(r.k, r.row_count) for r in tables.duplicate_keys(both, ["k"]).collect()} == {(1, 2), (2, 2)}
     assert {(r.k, r.v) for r in tables.first_per_key(both, ["k"], ["v"]).collect()} == {
         (1, "x"), (2, None), (3, None),

@@ -85,7 +85,8 @@ LANDED = {
             order(5, country_code="XX"),
         ],
         "order_items": [item(1), item(2), item(3, quantity=-1)],
-        "payments": [payment("p1", 1), payment("p2", 2, "failed"), payment("p3", 3, amount="150.00")],
+        "payments": [payment("p1", 1), payment("p2", 2, "failed"), payment("p3", 3, amount="150.00"),
+                     payment("p5", 5)],  # of an order in quarantine
     },
     D2: {
         "customers": [customer(1, "Praha", f"{D2} 09:00:00")],  # not a town of the list
@@ -173,5 +174,5 @@ def test_columns_days_and_lateness(result):
         for r in result["lateness_report"].collect()
     }
     assert late["orders", D2] == (1, 0, 1)  # a status row of the day before
-    assert late["payments", D1] == (3, 0, 0) and late["payments", D2] == (1, 1, 1)
+    assert late["payments", D1] == (4, 0, 0) and late["payments", D2] == (1, 1, 1)
     assert late["shipments", D2] == (2, 0, 1)
