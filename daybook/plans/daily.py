@@ -381,6 +381,79 @@ def landing_copy(spark, folder):
     return _read_landed(spark, f"{lake}/bronze/landing", schema)
 
 
+@query(
+    "landing_keep_days",
+    f"""
+    SELECT * REPLACE (CASE WHEN load_date >= '1998-01-01' THEN 'again' ELSE priority END AS priority)
+    FROM ({LANDED_SQL})
+    """,
+)
+def landing_keep_days(spark, folder):
+    root, schema = _landed_orders(spark, folder)
+    rows = landing.read_table(spark, root, "orders", schema, load_date_in_file=False)
+    again = rows.filter("load_date >= '1998-01-01'").withColumn("priority", F.lit("again"))
+    target = shared_folder(spark, "landing")
+    landing.write_table(rows, target, "orders")
+    landing.write_table(again, target, "orders", clean=False)
+    return _read_landed(spark, target, schema)
+
+
+@query(
+    "bronze_orders",
+    """
+    SELECT 'ord_' || o_orderkey AS order_id, 'cust_' || o_custkey AS customer_id,
+           strftime(o_orderdate + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS source_event_at,
+           CAST(o_totalprice AS DOUBLE) AS net_amount,
+           COALESCE(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END, '') AS campaign_id,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date,
+           'landing' AS _source_system, TRUE AS is_readable
+    FROM orders
+    """,
+)
+def bronze_orders(spark, folder):
+    """Raw order files that carry load_date themselves, taken to bronze Parquet."""
+    moment = shifted(F.col("o_orderdate").cast("timestamp"), minutes=90)
+    amount = money(F.col("o_totalprice"))
+    values = {
+        "order_id": F.concat(F.lit("ord_"), F.col("o_orderkey").cast("string")),
+        "customer_id": F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")),
+        "order_status": F.lit("created"),
+        "order_created_at": moment,
+        "order_updated_at": moment,
+        "country_code": F.lit("PL"),
+        "currency": F.lit("PLN"),
+        "gross_amount": amount,
+        "discount_amount": amount - amount,
+        "net_amount": amount,
+        "source_channel": F.lit("direct"),
+        "campaign_id": F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")),
+        "load_date": F.trunc("o_orderdate", "MM"),
+        "loaded_at": moment,
+        "source_event_at": moment,
+    }
+    rows = table(spark, folder, "orders").select(*[v.alias(name) for name, v in values.items()])
+    root = shared_folder(spark, "raw")
+    (
+        rows.withColumn("day", F.col("load_date"))
+        .hint("rebalance", "day")
+        .write.partitionBy("day")
+        .option("header", True)
+        .option("timestampFormat", landing.TIMESTAMP_FORMAT)
+        .csv(f"{root}/orders")
+    )
+    loaded = bronze.load_bronze(spark, root, shared_folder(spark, "bronze"), "orders")
+    return loaded.select(
+        "order_id",
+        "customer_id",
+        time_text(F.col("source_event_at")).alias("source_event_at"),
+        F.col("net_amount").cast("double").alias("net_amount"),
+        F.coalesce("campaign_id", F.lit("")).alias("campaign_id"),
+        day_text(F.col("load_date")).alias("load_date"),
+        "_source_system",
+        F.col(landing.CORRUPT).isNull().alias("is_readable"),
+    )
+
+
 @query(
     "landing_manifest",
     """
