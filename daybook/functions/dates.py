@@ -54,8 +54,12 @@ def calendar_columns(day: Column) -> dict[str, Column]:
     }
 
 
-def demand_factor(day: Column) -> Column:
-    """Expected order volume of a day relative to a plain weekday (product of fixed factors)."""
+def within(day: Column, start: Column, end: Column) -> Column:
+    """Whether a day lies in a range, both ends included."""
+    return day.between(start, end)
+
+
+def _demand(day: Column) -> Column:
     one = F.lit("1").cast("decimal(6,4)")
 
     def factor(applies: Column, value: str) -> Column:
@@ -68,4 +72,14 @@ def demand_factor(day: Column) -> Column:
         * factor((month == 2) & (date <= 16), "1.10")
         * factor(month == 3, "1.20")
         * factor(iso_text(day).isin("2026-01-01", "2026-01-06"), "0.65")
-    ).cast("double")
+    )
+
+
+def demand_factor(day: Column) -> Column:
+    """Expected order volume of a day relative to a plain weekday (product of fixed factors)."""
+    return _demand(day).cast("double")
+
+
+def expected_orders(day: Column, average: int) -> Column:
+    """Whole number of orders expected on a day, from the average of a plain weekday."""
+    return F.greatest(F.lit(0), (F.lit(average).cast("decimal(4,0)") * _demand(day)).cast("int"))

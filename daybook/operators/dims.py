@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import calendar_columns
+from daybook.functions.dates import calendar_columns, within
 from daybook.schemas import CAMPAIGNS
 
 
@@ -32,3 +32,8 @@ def campaigns(spark: SparkSession) -> DataFrame:
         {c: F.col(c).cast("date") for c in ("start_date", "end_date")}
         | {"currency": F.lit("PLN"), "is_active": F.lit(True)}
     )
+
+
+def active_on(campaigns: DataFrame, day: Column) -> DataFrame:
+    """Campaigns that run on a day."""
+    return campaigns.filter(within(day, F.col("start_date"), F.col("end_date")))

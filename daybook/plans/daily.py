@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import arrival_date, calendar_columns, demand_factor, shifted
+from daybook.functions.dates import arrival_date, calendar_columns, demand_factor, expected_orders, shifted
 from daybook.functions.scalars import (
     landing_path,
     money,
@@ -234,15 +234,18 @@ def calendar_dim(spark, folder):
 @query(
     "demand_factor",
     """
-    WITH o AS (SELECT CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) AS d FROM orders)
+    WITH o AS (SELECT CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) AS d FROM orders), f AS (
     SELECT strftime(d, '%Y-%m-%d') AS order_date, COUNT(*) AS order_count,
-           CAST(CAST(CASE WHEN isodow(d) >= 5 THEN 1.35 ELSE 1 END AS DECIMAL(6,4))
+             (CAST(CASE WHEN isodow(d) >= 5 THEN 1.35 ELSE 1 END AS DECIMAL(6,4))
               * CAST(CASE WHEN month(d) = 1 AND day(d) <= 21 THEN 1.15 ELSE 1 END AS DECIMAL(6,4))
               * CAST(CASE WHEN month(d) = 2 AND day(d) <= 16 THEN 1.10 ELSE 1 END AS DECIMAL(6,4))
               * CAST(CASE WHEN month(d) = 3 THEN 1.20 ELSE 1 END AS DECIMAL(6,4))
               * CAST(CASE WHEN d IN (DATE '2026-01-01', DATE '2026-01-06') THEN 0.65 ELSE 1 END
-                     AS DECIMAL(6,4)) AS DOUBLE) AS factor
-    FROM o GROUP BY d
+                     AS DECIMAL(6,4))) AS factor
+    FROM o GROUP BY d)
+    SELECT order_date, order_count, CAST(factor AS DOUBLE) AS factor,
+           CAST(floor(80 * factor) AS INTEGER) AS expected_orders
+    FROM f
     """,
 )
 def demand_by_day(spark, folder):
@@ -254,6 +257,7 @@ def demand_by_day(spark, folder):
         day_text(F.col("d")).alias("order_date"),
         "order_count",
         demand_factor(F.col("d")).alias("factor"),
+        expected_orders(F.col("d"), 80).alias("expected_orders"),
     )
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import arrival_date, demand_factor, shifted
+from daybook.functions.dates import arrival_date, demand_factor, expected_orders, shifted
 from daybook.functions.scalars import (
     blank,
     city_in_country,
@@ -132,6 +132,13 @@ def test_demand_factor(spark, when, want):
     assert one(spark, demand_factor(F.lit(when).cast("date"))) == pytest.approx(want)
 
 
+def test_expected_orders_and_active_campaigns(spark):
+    assert one(spark, expected_orders(F.lit("2026-01-06").cast("date"), 80)) == 59  # 59.8
+    assert one(spark, expected_orders(F.lit("2026-06-05").cast("date"), 80)) == 108
+    found = dims.active_on(dims.campaigns(spark), F.lit("2026-02-16").cast("date"))
+    assert {r.campaign_id for r in found.collect()} == {"cmp_valentine", "cmp_retention"}
+
+
 def test_scalars(spark):
     assert one(spark, padded_key("prod_", F.lit(42))) == "prod_00042"
     assert one(spark, padded_key("prod_", F.lit(1234567))) == "prod_1234567"
