@@ -11,8 +11,9 @@ from daybook.functions.scalars import base_rate_to_pln, from_pln
 from daybook.operators.skew import PROBE, join_unique, latest_per_key, ordered_columns
 from daybook.schemas import ORDER_STATUSES, ORDER_TRANSITIONS
 
-# Campaign days up to this number are broadcast.
+# Campaign days and daily rates, narrow rows both, are broadcast up to these numbers.
 BROADCAST_CAMPAIGN_DAYS = 500_000
+BROADCAST_RATES = 500_000
 
 
 def daily_totals(orders: DataFrame, day: str = "order_date", amount: str = "order_amount") -> DataFrame:
@@ -64,22 +65,23 @@ def convert_from_pln(
 ) -> DataFrame:
     """Convert PLN amounts to each row's currency, two places.
 
-    Fixed base rates by default; with ``rates`` (rate_date, currency, rate_to_pln) that day's rate.
+    Fixed base rates by default; with ``rates`` (rate_date, currency, rate_to_pln; one row per day
+    and currency) that day's rate. Up to ``BROADCAST_RATES`` rates are sent to the orders.
     """
     if rates is None:
         rate = base_rate_to_pln(F.col(currency))
         return orders.withColumns({a: from_pln(F.col(a), rate) for a in amounts})
     daily = rates.select(
-        F.col("rate_date").alias("__day"),
-        F.col("currency").alias("__currency"),
+        F.col("rate_date").alias(day),
+        F.col("currency").alias(currency),
         F.col("rate_to_pln").alias("__rate"),
     )
-    match = (F.col(day) == F.col("__day")) & (F.col(currency) == F.col("__currency"))
-    return (
-        orders.join(daily, match, "left")
-        .withColumns({a: from_pln(F.col(a), F.col("__rate")) for a in amounts})
-        .drop("__day", "__currency", "__rate")
-    )
+    if daily.limit(BROADCAST_RATES + 1).count() <= BROADCAST_RATES:
+        rated = orders.join(F.broadcast(daily), [day, currency], "left")
+    else:
+        rated = join_unique(orders, daily, [day, currency], "left")
+    converted = {a: from_pln(F.col(a), F.col("__rate")) for a in amounts}
+    return rated.withColumns(converted).select(*orders.columns)
 
 
 def with_campaigns(

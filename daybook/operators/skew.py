@@ -40,7 +40,7 @@ MAX_ALL_PARTS = 200_000
 PROBE = "probe"
 
 _BLOCK = 64
-_HASH_RANGE = 1 << 30
+_HASH_RANGE = 1 << 40
 _ROWS, _PARTS, _CHUNK, _DEAL, _SALT = "__rows", "__parts", "__chunk", "__deal", "__salt"
 
 
@@ -220,7 +220,8 @@ def ordered_columns(
         result[name] = F.coalesce(F.col(name), F.col(f"__l_{name}.v"))
     for name in running:
         before = F.col(f"__r_{name}")
-        result[name] = F.coalesce(F.col(name) + before, F.col(name), before)
+        summed = F.coalesce(F.col(name) + before, F.col(name), before)
+        result[name] = summed.cast(inside.schema[name].dataType)
     helpers = [c for c in joined.columns if c.startswith("__") and c not in df.columns]
     return joined.withColumns(result).drop(*[c for c in helpers if c not in result])
 

@@ -20,14 +20,14 @@ def load_bronze(
 ) -> DataFrame:
     """Rewrite a landed table as Parquet by load date and return all of it.
 
-    With ``days`` only those days are read. Only days found are replaced, others stay. Later readers skip days and columns, which
-    the raw files do not allow.
+    With ``days`` only those days are read. Only days found are replaced, others stay. A landed
+    file holds one day, so a task writes the days of the files it read and nothing is shuffled.
+    Later readers skip days and columns, which the raw files do not allow.
     """
     path = f"{bronze.rstrip('/')}/{table}"
     rows = with_audit(read_table(spark, landing, table, days=days), source_system)
     (
-        rows.hint("rebalance", "load_date")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_date")
         .parquet(path)

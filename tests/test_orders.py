@@ -159,7 +159,9 @@ def test_order_totals_round_half_up_on_decimals(spark):
     assert {r.order_item_id for r in numbered} == {"o1_1", "o1_2", "o2_1"}
 
 
-def test_conversion_by_base_and_daily_rate(spark):
+@pytest.mark.parametrize("broadcast_rates", [500_000, 1])
+def test_conversion_by_base_and_daily_rate(spark, broadcast_rates, monkeypatch):
+    monkeypatch.setattr(orders, "BROADCAST_RATES", broadcast_rates)
     rows = spark.createDataFrame(
         [("o1", "EUR", day("2026-01-01"), *amounts("432.00")),
          ("o2", "CZK", day("2026-01-01"), *amounts("17.00")),

@@ -32,7 +32,7 @@ def brute_force(rows):
         groups[row[0]].append(row)
     result = []
     for group in groups.values():
-        group.sort(key=lambda r: (r[1], r[2]))
+        group.sort(key=lambda r: (r[1] is not None, r[1], r[2]))
         seen, total = None, 0
         for n, (k, t, i, v) in enumerate(group):
             seen = v if v is not None else seen
@@ -66,11 +66,22 @@ def test_ordered_columns_equal_brute_force(spark, hot_rows):
     assert found.schema == with_all_columns(df, None).schema
 
 
+def test_running_decimals_keep_their_type(spark):
+    df = spark.createDataFrame(skewed_rows(), SCHEMA).withColumn("m", F.col("i").cast("decimal(12,2)"))
+    hot = skew.hot_keys(df, ["k"], 50, sample=1.0)
+    plain, split = (
+        skew.ordered_columns(df, ["k"], ["t", "i"], running={"total": F.col("m")}, hot=h)
+        for h in (None, hot)
+    )
+    assert plain.schema == split.schema
+    assert rows_of(plain) == rows_of(split)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(
-            st.sampled_from([None, "x", "y"]), st.integers(0, 5), st.sampled_from([None, 4, 5])
+            st.sampled_from([None, "x", "y"]), st.sampled_from([None, 0, 1, 2]), st.sampled_from([None, 4, 5])
         ),
         min_size=1, max_size=60,
     )
