@@ -126,37 +126,34 @@ def in_path_order(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
 
 
-def _copy_file(source: str, target: str) -> int:
-    """Copy one file in pieces and return its size; a repeated copy replaces the first."""
-
-    def located(uri: str) -> tuple[fs.FileSystem, str]:
-        uri = re.sub("^s3[an]:", "s3:", uri)
-        local = re.match("^file:/+(.*)", uri)
-        path = f"/{local[1]}" if local else uri
-        return fs.FileSystem.from_uri(path)
-
-    (from_fs, from_path), (to_fs, to_path) = located(source), located(target)
-    to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
-    size = 0
-    with from_fs.open_input_stream(from_path) as read, to_fs.open_output_stream(to_path) as write:
-        while piece := read.read(8 << 20):
-            write.write(piece)
-            size += len(piece)
-    return size
-
-
 def land_files(
     spark: SparkSession, root: str, target: str, prefix: str = "bronze/landing"
 ) -> int:
     """Copy every CSV file below the root to ``<target>/<prefix>/<relative path>``, byte for byte.
 
     Earlier copies are replaced and the number of files is returned. The files are dealt out to the
-    tasks and each is streamed, so neither their number nor their size is one machine's work.
+    tasks and each is streamed, so neither their number nor their size is one machine's work. What
+    the tasks run is defined in here, so that they do without this package.
     """
 
+    def located(uri: str) -> tuple[fs.FileSystem, str]:
+        uri = re.sub("^s3[an]:", "s3:", uri)
+        local = re.match("^file:/+(.*)", uri)
+        return fs.FileSystem.from_uri(f"/{local[1]}" if local else uri)
+
+    def copy_file(source: str, copied: str) -> int:
+        (from_fs, from_path), (to_fs, to_path) = located(source), located(copied)
+        to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
+        size = 0
+        with from_fs.open_input_stream(from_path) as read, to_fs.open_output_stream(to_path) as out:
+            while piece := read.read(8 << 20):
+                out.write(piece)
+                size += len(piece)
+        return size
+
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [_copy_file(f["source_path"], f["target"]) for f in batch.to_pylist()]
+            sizes = [copy_file(f["source_path"], f["target"]) for f in batch.to_pylist()]
             yield pa.RecordBatch.from_pydict({"file_length": pa.array(sizes, pa.int64())})
 
     files = manifest(spark, root, prefix).select(
