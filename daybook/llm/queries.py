@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
-from daybook.llm import packing
+from daybook.llm import html_text, langid, mixing, packing, pii, weighted_sampling
 from daybook.llm.common import WORD_TOKENIZER
 from daybook.llm.registry import QUERIES, SQL, query  # noqa: F401
 from daybook.plans.registry import table
+from daybook.session import checkpointed
 
 
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), WORD_TOKENIZER)
+
+
+@query("op5_language_codes")
+def op5_language_codes(spark, folder):
+    return langid.predict(table(spark, folder, "documents"))
+
+
+@query("op1_source_mixing", mixing.mix_sql())
+def op1_source_mixing(spark, folder):
+    measured = checkpointed(mixing.leaf_columns(table(spark, folder, "documents")))
+    return mixing.mix(measured, mixing.TREE)
+
+
+@query("op4_contextual_pii")
+def op4_contextual_pii(spark, folder):
+    return pii.found(table(spark, folder, "documents"))
+
+
+@query("op6_weighted_sampling")
+def op6_weighted_sampling(spark, folder):
+    return weighted_sampling.compared(table(spark, folder, "documents"))
+
+
+@query("op8_block_tree_html")
+def op8_block_tree_html(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
