@@ -10,9 +10,12 @@ bins per bucket, out of the thousands a bucket fills, and nothing is collected b
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +25,35 @@ from daybook.session import checkpointed
 TOKENS_PER_SEQUENCE = 4096
 END_ID = 1
 PIECES_PER_BUCKET = 16_384
-CACHED_WORDS = 400_000  # per task, about 120 bytes each
+CACHED_WORDS = 500_000  # per task, about 200 bytes each
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, __row long"
 
 
+_LETTER = "a-z\xdf-\xf6\xf8-\xff"
+_ENDED = re.compile(f"(?<=[{_LETTER}])([.,])(?=[ \n])")
+_OTHERWISE = re.compile(f"[^{_LETTER}][.,][ \n]")
+
+
+def _apart(text: str) -> str:
+    """The text with a space before each single full stop or comma that ends a word of letters.
+
+    Between a letter and white space it is a token of its own, next to other punctuation it is not.
+    """
+    if _OTHERWISE.search(text):
+        return _ENDED.sub(r" \1", text)
+    for mark, space in product(".,", " \n"):
+        text = text.replace(mark + space, f" {mark}{space}")
+    return text
+
+
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit bytes, encoding each distinct word once.
 
     A word is what stands between plain spaces or line feeds. The tokenizer drops white space and
-    never joins across it, so the ids of a text are those of its words in order.
+    never joins across it, so the ids of a text are those of its words in order. It also puts all in
+    lower case and parts letters from punctuation: words of Latin-1 letters are looked up in lower
+    case, without a full stop or comma at their end, and new ones are encoded in one go.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
@@ -39,20 +61,59 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.known[""] = b""
 
     def __call__(self, text: str) -> bytes:
+        latin = text.isascii() or _is_latin(text)
+        if latin:
+            text = _apart(text.lower())
         words = text.replace("\n", " ").split(" ")
-        new = list({w for w in words if w not in self.known})
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self.known = {"": b""}
-                new = list(set(words) - {""})
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            for word, found in zip(new, encoded):
-                ids = found.ids
-                self.known[word] = b"".join([i.to_bytes(4, "little") for i in ids])
-        return b"".join([self.known[w] for w in words])
+        known = self.known
+        ids = list(map(known.get, words))
+        if None in ids:
+            missing = [k for k, found in enumerate(ids) if found is None]
+            new = {words[k] for k in missing}
+            if len(known) + len(new) > self.most:
+                self.forget()
+            letters = [w for w in new if latin and w.isalpha()]
+            other = [w for w in new if not (latin and w.isalpha())]
+            known.update(zip(letters, self.encoded_letters(letters)))
+            known.update(zip(other, self.encoded(other)))
+            for k in missing:
+                ids[k] = known[words[k]]
+        return b"".join(ids)
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False) if words else []
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+    def encoded_letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only, encoded as one text and cut where a word ends."""
+        if not words:
+            return []
+        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            return self.encoded(words)
+        raw = ids.tobytes()
+        return [raw[4 * start : 4 * end] for start, end in zip([0, *ends], ends)]
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def token_pieces(
