@@ -5,9 +5,10 @@ scatters the shingles over a ring of positions, the second ranks the positions,
 the least rank after k steps around the ring. Bands of the signature propose pairs, and only pairs
 whose full sets reach the similarity become links.
 
-Pairs of a band are never listed in full. Equal sets are one node from the start. In each band bucket
-all nodes are first compared with one centre of the bucket; what is linked is merged, and only nodes
-of one bucket that are still in different groups are compared further.
+Pairs of a band bucket are not listed in full. Equal sets are one node from the start. All nodes of a
+bucket are first compared with one of them, the centre, and what is linked is merged. Only
+nodes of a bucket that are still in different groups are compared further: as pairs where the bucket
+is small, else block by block as matrices, where only links that join two groups leave a task.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from daybook.session import checkpointed
 BANDS, ROWS = 24, 4  # a pair of similarity 0.8 is missed by all bands once in 300,000
 RING = 1 << 20
 BROADCAST_NODES = 500_000  # ids of 8 bytes
+SMALL_BUCKET = 24  # nodes whose pairs are listed; larger buckets are compared in blocks
+BLOCK = 512
+VOCABULARY = 8192  # shingles that a block comparison takes at a time
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD))
 
@@ -160,6 +164,10 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, perc
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
+def _larger_first(a: Column, b: Column) -> list[Column]:
+    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and label, the least node it is connected with, for every node of links (a, b).
 
@@ -184,3 +192,162 @@ def components(links: DataFrame) -> DataFrame:
                 stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
             )
         before = now
+
+
+def _joining(sets: list[np.ndarray], groups: list[int], blocks: list[int], percent: int) -> list[tuple[int, int]]:
+    """Pairs of places whose sets are similar, one for each two groups that they join.
+
+    Within one block all places are compared, of two blocks each place of one with each of the other.
+    """
+    left = [k for k, block in enumerate(blocks) if block == min(blocks)]
+    right = [k for k, block in enumerate(blocks) if block == max(blocks)]
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    words, place, times = np.unique(every, return_inverse=True, return_counts=True)
+    common = np.full(len(words), -1)
+    common[times > 1] = np.arange((times > 1).sum())
+    column = common[place]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int((times > 1).sum()), VOCABULARY):
+        here = (column >= start) & (column < start + VOCABULARY)
+        has = np.zeros((len(sets), VOCABULARY), np.float32)
+        has[owner[here], column[here] - start] = 1
+        shared += has[left] @ has[right].T
+    sizes, group = np.array([len(s) for s in sets]), np.array(groups)
+    both = sizes[left][:, None] + sizes[right][None, :]
+    similar = 100 * shared.astype(np.int64) >= percent * (both - shared.astype(np.int64))
+    similar &= group[left][:, None] != group[right][None, :]
+    rows, columns = np.nonzero(similar)
+    # One pair for each two groups is enough, and of those only the ones that join anything.
+    ends = np.stack([group[left][rows], group[right][columns]], axis=1)
+    _, first = np.unique(ends, axis=0, return_index=True)
+    parent: dict[int, int] = {}
+
+    def root(g: int) -> int:
+        while parent.get(g, g) != g:
+            g = parent[g]
+        return g
+
+    kept = []
+    for k in first:
+        a, b = left[rows[k]], right[columns[k]]
+        one, other = root(groups[a]), root(groups[b])
+        if one != other:
+            parent[max(one, other)] = min(one, other)
+            kept.append((a, b))
+    return kept
+
+
+def _joined_by_blocks(
+    docs: DataFrame, reps: DataFrame, members: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between nodes of different labels in the same bucket.
+
+    ``members`` has key, node, label and n, the nodes of the bucket. A node goes to as many tasks as its
+    bucket has blocks of ``BLOCK`` nodes, and no task sees more than two blocks.
+    """
+    texts = _texts_of(docs, reps, members.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = members.withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = blocks.select("key", low, high, "block", "node", "label").join(texts, "node")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        nodes, groups, blocks, sets = [], [], [], []
+        seen: set[int] = set()
+        columns = [rows[c].to_pylist() for c in ("node", "label", "block")]
+        for node, label, block, text in zip(*columns, rows["text"]):
+            found = shingles(text.as_py(), size)
+            if node not in seen and node_of(found) == node:
+                seen.add(node)
+                nodes.append(node)
+                groups.append(label)
+                blocks.append(block)
+                sets.append(found)
+        pairs = _joining(sets, groups, blocks, percent) if len(sets) > 1 else []
+        ends = [[nodes[pair[side]] for pair in pairs] for side in (0, 1)]
+        return pa.table({name: pa.array(end, pa.int64()) for name, end in zip("ab", ends)})
+
+    return (
+        dealt.select("key", "low", "high", "block", "node", "label", "text")
+        .groupBy("key", "low", "high")
+        .applyInArrow(compare, "a long, b long")
+    )
+
+
+def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of docs.
+
+    Documents are linked when their sets of ``size``-word shingles have a Jaccard similarity of
+    ``percent`` or more. ``component_id`` is the least doc_id that can be reached, ``kept`` whether it is
+    the row's own. A NULL, empty or wordless text is linked with nothing. A row without doc_id is
+    linked with nothing and kept, its component_id is NULL. Rows with the same text and doc_id give equal
+    rows. Columns other than doc_id and text are left out; an empty table gives no rows.
+    """
+    signed = checkpointed(signatures(docs, size))
+    named = signed.filter("node IS NOT NULL AND doc_id IS NOT NULL")
+    reps = named.groupBy("node").agg(F.min("doc_id").alias("rep"))
+    rows = named.select("node", F.explode("bands").alias("key"))
+    ends = rows.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
+    centres = ends.filter("centre < other").select("key", "centre")
+    shared = checkpointed(rows.join(centres, "key").distinct())
+
+    stars = checkpointed(
+        shared.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    )
+    links = checkpointed(verified(docs, reps, stars, size, percent))
+    labels = components(links)
+
+    spread = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    spread = checkpointed(spread)
+    still = spread.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    open_rows = checkpointed(spread.join(still.filter("low < high").select("key", "n"), "key"))
+
+    small = open_rows.filter(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
+    other = small.select("key", F.col("node").alias("node_2"), F.col("label").alias("label_2"))
+    pairs = small.join(other, "key").filter("label < label_2")
+    pairs = pairs.select(*_larger_first(F.col("node"), F.col("node_2"))).distinct()
+    pairs = checkpointed(pairs.join(stars, ["a", "b"], "left_anti"))
+    more = verified(docs, reps, pairs, size, percent)
+    large = open_rows.filter(F.col("n") > SMALL_BUCKET)
+    if not large.isEmpty():
+        more = more.union(_joined_by_blocks(docs, reps, large, size, percent))
+    ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    labels = components(ends.union(more))
+
+    own = reps.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+    least = own.groupBy("label").agg(F.min("rep").alias("component"))
+    component = own.join(least, "label").select("node", "component")
+    result = signed.select("doc_id", "n_shingles", "node").join(component, "node", "left")
+    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return result.select(
+        "doc_id",
+        "n_shingles",
+        component_id.alias("component_id"),
+        F.coalesce(component_id == F.col("doc_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def without_near_dups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns as they are, that are kept: one document of each group.
+
+    Of rows with the same doc_id one stays. Rows without doc_id stay.
+    """
+    found = grouped(docs, size, percent)
+    ids = checkpointed(
+        found.filter("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+        .filter("NOT kept OR n > 1")
+    )
+    gone, repeated = ids.filter("NOT kept").select("doc_id"), ids.filter("kept")
+    if ids.count() <= BROADCAST_NODES:
+        gone = F.broadcast(gone)
+    left = docs.join(gone.withColumnRenamed("doc_id", "__gone"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    if repeated.isEmpty():
+        return left
+    named = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return named.union(left.filter("doc_id IS NULL"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import html_text, langid, mixing, packing, pii, weighted_sampling
+from daybook.llm import html_text, langid, mixing, near_dups, packing, pii, weighted_sampling
 from daybook.llm.common import WORD_TOKENIZER
 from daybook.llm.registry import QUERIES, SQL, query  # noqa: F401
 from daybook.plans.registry import table
@@ -38,3 +38,8 @@ def op6_weighted_sampling(spark, folder):
 @query("op8_block_tree_html")
 def op8_block_tree_html(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op10_circulant_minhash")
+def op10_circulant_minhash(spark, folder):
+    return near_dups.grouped(table(spark, folder, "documents"), size=3, percent=85)
