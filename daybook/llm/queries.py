@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from daybook.llm import html_text, langid, mixing, near_dups, packing, pii, weighted_sampling
+from pyspark.sql import functions as F
+
+from daybook.llm import (
+    html_text,
+    langid,
+    licenses,
+    mixing,
+    near_dups,
+    packing,
+    pii,
+    posting_lists,
+    quality,
+    weighted_sampling,
+)
 from daybook.llm.common import WORD_TOKENIZER
 from daybook.llm.registry import QUERIES, SQL, query  # noqa: F401
 from daybook.plans.registry import table
@@ -25,6 +38,12 @@ def op1_source_mixing(spark, folder):
     return mixing.mix(measured, mixing.TREE)
 
 
+@query("op3_posting_lists")
+def op3_posting_lists(spark, folder):
+    embeddings = table(spark, folder, "embeddings")
+    return posting_lists.nearest(embeddings, F.col("vec_id") % 100 == 0)
+
+
 @query("op4_contextual_pii")
 def op4_contextual_pii(spark, folder):
     return pii.found(table(spark, folder, "documents"))
@@ -43,3 +62,14 @@ def op8_block_tree_html(spark, folder):
 @query("op10_circulant_minhash")
 def op10_circulant_minhash(spark, folder):
     return near_dups.grouped(table(spark, folder, "documents"), size=3, percent=85)
+
+
+@query("op2_license_digests", licenses.scan_sql())
+def op2_license_digests(spark, folder):
+    return licenses.scanned(table(spark, folder, "documents"))
+
+
+@query("op7_site_quality")
+def op7_site_quality(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.rated(docs, labels, host=F.col("source"), path=F.col("lang"))
