@@ -204,8 +204,8 @@ TREE = (
 def domain_of(source: Column) -> Column:
     """Sources ``src<n>`` go to the domains in turn; any other one is ``other``."""
     number = F.regexp_extract(source, "^src([0-9]{1,9})$", 1)
-    place = F.when(number != "", number.cast("int") % len(DOMAINS) + 1)
-    return F.coalesce(F.element_at(F.array(*map(F.lit, DOMAINS)), place), F.lit("other"))
+    place = F.when(number == "", len(DOMAINS)).otherwise(F.try_to_number(number, F.lit("999999999")) % len(DOMAINS))
+    return F.element_at(F.array(*map(F.lit, (*DOMAINS, "other"))), place.cast("int") + 1)
 
 
 def leaf_columns(docs: DataFrame, *more: Column) -> DataFrame:

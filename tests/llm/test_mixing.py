@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import duckdb
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm import mixing
+from daybook.llm.mixing import Level
+from tests.llm.conftest import ODD
+
+
+def test_what_a_child_lacks_goes_to_its_siblings_first(spark):
+    leaves = spark.createDataFrame(
+        [("a", "x", 10), ("a", "y", 1000), ("b", "x", 1000), ("b", "y", 1000), ("c", "x", 0)],
+        "domain string, lang string, tokens long",
+    )
+    levels = (Level("domain", {"a": 1, "b": 1, "c": 2}), Level("lang"))
+    got = {(r.domain, r.lang): r.budget for r in mixing.budgets(leaves, levels, 400, 1).collect()}
+    # c has nothing, so a and b share 400; x of a has 10, so y of a gets what x lacks.
+    assert got == {("a", "x"): 10, ("a", "y"): 190, ("b", "x"): 100, ("b", "y"): 100, ("c", "x"): 0}
+
+
+def test_what_a_subtree_lacks_goes_to_the_next_one(spark):
+    leaves = spark.createDataFrame(
+        [("a", "x", 10), ("a", "y", 20), ("b", "x", 1000)], "domain string, lang string, tokens long"
+    )
+    levels = (Level("domain", {"a": 3}), Level("lang"))
+    got = {(r.domain, r.lang): r.budget for r in mixing.budgets(leaves, levels, 101, 1).collect()}
+    assert got == {("a", "x"): 10, ("a", "y"): 20, ("b", "x"): 71}
+
+
+def test_budgets_add_up_and_never_exceed_a_leaf(spark):
+    rng = random.Random(6)
+    rows = [(f"d{k % 4}", f"s{k}", rng.choice([0, 1, 7, rng.randrange(10**6)])) for k in range(60)]
+    leaves = spark.createDataFrame(rows, "domain string, source string, tokens long")
+    levels = (Level("domain", {"d0": 5, "d1": 3}), Level("source", {"s4": 9}, other=2))
+    have = 3 * sum(r[2] for r in rows)
+    for total in (0, 1, 999, have // 2, have, have + 5):
+        got = mixing.budgets(leaves, levels, total, 3).collect()
+        assert sum(r.budget for r in got) == min(total, have)
+        assert all(0 <= r.budget <= 3 * r.tokens for r in got)
+
+
+@pytest.mark.parametrize("total, epochs", [(None, 4), (37, 4), (5000, 4), (10**6, 2)])
+def test_each_leaf_gives_its_budget_to_the_token(spark, total, epochs):
+    rng = random.Random(8)
+    rows = [(k, rng.choice("ab"), rng.choice(["x", "x", "x", "y", "z"]), rng.randrange(0, 30)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, domain string, lang string, n_tokens long")
+    got = mixing.mix(docs, (Level("domain", {"a": 4}), Level("lang")), total, epochs, seed=3).collect()
+    assert len(got) == len(rows)
+    given, budget, cut = Counter(), {}, Counter()
+    for r in got:
+        leaf = r.domain, r.lang
+        given[leaf] += r.epochs * r.n_tokens + r.prefix_tokens
+        budget[leaf] = r.budget
+        cut[leaf] += 0 < r.prefix_tokens < r.n_tokens
+        assert 0 <= r.prefix_tokens <= r.n_tokens
+    assert given == Counter(budget)
+    assert max(cut.values()) <= 1
+
+
+def test_rows_equal_sql(documents, sentence):
+    rng = random.Random(5)
+    rows = [
+        (k, sentence(rng.randrange(1, 30)), rng.choice(["en", "de", None, "xx"]), rng.choice(["src0", "src1", "src21", "y", None]))
+        for k in range(200)
+    ] + ODD
+    docs = documents(rows)
+    got = mixing.mix(mixing.leaf_columns(docs), mixing.TREE)
+    db = duckdb.connect()
+    table = docs.select("doc_id", "text", "lang", "source").toArrow()
+    db.register("documents", table.cast(pa.schema([(f.name, f.type) for f in table.schema])))
+    want = db.execute(mixing.mix_sql()).fetchall()
+    names = [d[0] for d in db.description]
+    # At the cut, rows with one id share what is left.
+    assert Counter(map(tuple, got.select(*names).collect())) == Counter(want)
+
+
+def test_documents_repeat_or_leave_whole(documents, sentence):
+    rows = [(k, sentence(10), "en", "src0") for k in range(40)] + [(100 + k, sentence(10), "en", "src1") for k in range(4)]
+    docs = documents(rows)
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    times = Counter(r.doc_id for r in got.collect())
+    # The weights ask for 3 parts of books and 4 of web; four epochs of four books are less.
+    assert all(times[100 + k] == 4 for k in range(4))
+    assert sum(times[k] for k in range(40)) == 440 // 10 - 16
+    assert {r.text for r in got.collect()} <= {r[1] for r in rows}
+
+
+def test_empty_table(documents):
+    assert mixing.mix(mixing.leaf_columns(documents([])), mixing.TREE).collect() == []
+    assert mixing.mixed(documents([])).collect() == []
+
+
+def test_domains(spark):
+    rows = spark.createDataFrame([("src0",), ("src7",), ("srcx",), (None,)], "source string")
+    assert [r[0] for r in rows.select(mixing.domain_of(F.col("source"))).collect()] == ["web", "forum", "other", "other"]
