@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+from daybook.llm import html_text
+from daybook.llm.html_text import ARTICLE, BESIDE, LABELLED, UNMARKED
+
+TREE = html_text.grow(LABELLED)
+
+
+def text(page):
+    return html_text.main_text(page, TREE)
+
+
+def test_tree_answers_its_own_table():
+    assert all(html_text.answer_of(TREE, row[:-1]) == row[-1] for row in LABELLED)
+
+
+def test_article_without_all_beside_it():
+    page = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head>
+    <body><header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></li><li><a href=/b>B</a></ul></nav>
+    <!-- ad <p>no</p> --><div class="ad">Buy this now, it is cheap.</div><div id="cookie-notice"><p>We use cookies.</div>
+    <article><h1>Title &amp; more</h1><p>One <b>bo</b>ld,<br>two&nbsp;three   &lt;four&gt; &#233;&#x1F600;.<p>Short.
+    <aside><p>Related <a href="x">links</a></aside><div class="advert banner"><p>Buy</p></div>
+    <form><input name=q><p>Search</p></form><ul><li>First<li>Second</ul><blockquote>Said 1 < 2 & 3</blockquote></article>
+    <section id="comments"><p>First comment, quite long and without a link, like any other paragraph.</p></section>
+    <div class="sidebar"><p>Side</p></div><footer>&copy; us</footer></body></html>"""
+    assert text(page) == "\n".join(
+        ["Title & more", "One bold, two three <four> é\U0001f600.", "Short.", "First", "Second", "Said 1 < 2 & 3"]
+    )
+
+
+def test_pages_that_break_off_or_close_too_much():
+    assert text("<article><p>One<p>Two <b>three") == "One\nTwo three"
+    assert text("</div></p><article><p>One</p></section></article></article><footer>no") == "One"
+    assert text("<article><p>One<script>var x = 1;") == "One"
+    assert text("<article><p>One <!-- never closed <p>no") == "One"
+    assert text('<div class="ad">no<article><p>One</article>no') == "One"
+    assert text("<article><p>One<a href='x'") == "One"
+
+
+def test_long_articles_keep_every_block():
+    blocks = [f"word{k}" * (1 + k % 5) + " x" * (k % 90) for k in range(3000)]
+    page = "<nav><a href=x>no</a></nav><article>" + "".join(f"<p>{b}" for b in blocks) + "</article>"
+    assert text(page) == "\n".join(blocks)
+
+
+def test_pages_without_marks():
+    body = "<p>" + "a long paragraph of many words " * 8 + "</p>"
+    page = f"<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul><h2>Heading of it</h2>{body}{body}<p><a href=z>More of this</a></p>"
+    want = " ".join(("a long paragraph of many words " * 8).split())
+    assert text(page) == f"Heading of it\n{want}\n{want}"
+
+
+def test_marks():
+    blocks = html_text.blocks('<main><p>a<nav><p>b</nav><p>c</main><p>d <a href=x>e</a>')
+    assert [(b[0], b[1]) for b in blocks] == [("a", ARTICLE), ("b", BESIDE), ("c", ARTICLE), ("d e", UNMARKED)]
+    assert blocks[-1][2] == 0.5
+
+
+def test_rows_of_pages(spark):
+    schema = "page_id long, url string, html string, text string, n_chars int"
+    rows = [
+        (1, "u", None, "x", 1),
+        (2, None, "", "x", 1),
+        (None, "u", "<article>\U0001f600 é</article>", "x", 1),
+        (4, "u", "<article>a</article>", "x", 1),
+        (4, "u", "<article>a</article>", "x", 1),
+        (5, "u", "no markup at all", "x", 1),
+    ]
+    got = html_text.extract(spark.createDataFrame(rows, schema)).collect()
+    key = lambda r: (r[0] or 0, r[1] or "", r[2])
+    want = [(1, "u", "", 0), (2, None, "", 0), (None, "u", "\U0001f600 é", 3), (4, "u", "a", 1), (4, "u", "a", 1)]
+    assert sorted(map(tuple, got), key=key) == sorted([*want, (5, "u", "no markup at all", 16)], key=key)
+    assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
