@@ -24,10 +24,16 @@ def padded_key(prefix: str, number: Column, width: int = 5) -> Column:
     return F.format_string(f"{prefix}%0{width}d", number)
 
 
-def surrogate_key(prefix: str, *natural_key: Column, length: int = 12) -> Column:
-    """Reproducible hex key of a natural key. Use ``length=32`` beyond some millions of rows."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in natural_key])
-    return F.concat(F.lit(prefix), F.substring(F.md5(text), 1, length))
+def joined_text(*values: Column) -> Column:
+    """Values as one text that no other values share: each with its length in front, NULL as a dash."""
+    texts = [value.cast("string") for value in values]
+    parts = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
+    return F.concat(*[F.coalesce(part, F.lit("-")) for part in parts])
+
+
+def surrogate_key(prefix: str, *natural_key: Column, length: int = 32) -> Column:
+    """Reproducible hex key of a natural key. A shorter ``length`` is for small tables only."""
+    return F.concat(F.lit(prefix), F.substring(F.md5(joined_text(*natural_key)), 1, length))
 
 
 def product_name(brand: Column, category: Column, word: Column) -> Column:

@@ -14,6 +14,7 @@ from daybook.schemas import ORDER_STATUSES, ORDER_TRANSITIONS
 # Campaign days and daily rates, narrow rows both, are broadcast up to these numbers.
 BROADCAST_CAMPAIGN_DAYS = 500_000
 BROADCAST_RATES = 500_000
+BROADCAST_CAMPAIGNS = 100_000
 
 
 def daily_totals(orders: DataFrame, day: str = "order_date", amount: str = "order_amount") -> DataFrame:
@@ -114,11 +115,12 @@ def with_campaigns(
 def with_channel(orders: DataFrame, campaigns: DataFrame, fallback: Column) -> DataFrame:
     """Channel of the order's campaign, or ``fallback`` where there is no such campaign."""
     channels = campaigns.select("campaign_id", F.col("source_channel").alias("__channel"))
-    return (
-        orders.join(channels, "campaign_id", "left")
-        .withColumn("source_channel", F.coalesce(F.col("__channel"), fallback))
-        .drop("__channel")
-    )
+    # Few ids for all orders: up to ``BROADCAST_CAMPAIGNS`` no order is moved, beyond that hot ids are split.
+    if channels.limit(BROADCAST_CAMPAIGNS + 1).count() <= BROADCAST_CAMPAIGNS:
+        found = orders.join(F.broadcast(channels), "campaign_id", "left")
+    else:
+        found = join_unique(orders, channels, ["campaign_id"], "left")
+    return found.withColumn("source_channel", F.coalesce(F.col("__channel"), fallback)).drop("__channel")
 
 
 def numbered_lines(

@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from daybook.operators.skew import PROBE, hot_keys, latest_per_key, ordered_columns
 
-# A version table within all bounds is broadcast to the facts; a larger one is merged by time.
-BROADCAST_VERSIONS = 200_000
-BROADCAST_BYTES = 32 << 20
-BROADCAST_PER_KEY = 64
-
 
 def current_state(
     feed: DataFrame, keys: Sequence[str], version: Sequence[str], keep: Column | None = None
@@ -43,7 +38,7 @@ def version_history(
     strategy: str = "timestamp",
     hot: DataFrame | str | None = PROBE,
 ) -> DataFrame:
-    """One row per version with valid_from, valid_to (NULL while current) and is_current.
+    """One row per version with valid_from, valid_to and is_current, which only the last one of a key is.
 
     ``version`` starts with the time a version begins; further columns break ties. The
     "timestamp" strategy keeps every feed row, "check" only rows that change an attribute.
@@ -60,9 +55,10 @@ def version_history(
             .filter(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(now))
             .drop("__before")
         )
+    following = {"valid_to": F.col(version[0]), "__next": F.lit(True)}
     return (
-        ordered_columns(rows, keys, version, following={"valid_to": F.col(version[0])}, hot=hot)
-        .withColumns({"valid_from": F.col(version[0]), "is_current": F.col("valid_to").isNull()})
+        ordered_columns(rows, keys, version, following=following, hot=hot)
+        .withColumns({"valid_from": F.col(version[0]), "is_current": F.col("__next").isNull()})
         .select(*keys, *attributes, "valid_from", "valid_to", "is_current")
     )
 
@@ -76,25 +72,22 @@ def at_point_in_time(
     values: Sequence[str],
     version_tie: Sequence[str] = (),
     fact_tie: Sequence[str] = (),
-    merge: bool = False,
     hot: DataFrame | str | None = PROBE,
 ) -> DataFrame:
     """Add to each fact the ``values`` of the latest version at or before the fact's time.
 
-    A small version table with few versions per key is joined where the facts are, without moving
-    them. Otherwise versions and facts are merged in time order per key, so the work is linear in
-    both and no pair of a fact and a wrong version is ever formed. Facts without a version get NULLs.
-    Of versions at the same time the last in ``version_tie`` order counts; ``fact_tie`` identifies
-    a fact among those of the same key and time. ``merge`` goes by time without measuring.
+    Versions and facts are merged in time order per key, so the work is linear in both and no pair of
+    a fact and a wrong version is ever formed. Facts without a version get NULLs, and so do facts
+    without a time; a version without a time is never valid. Of versions at the same time the last
+    in ``version_tie`` order counts; ``fact_tie`` identifies a fact among those of the same key and time.
     """
     tie = F.struct(*version_tie) if version_tie else F.lit(0)
     # A NULL key matches nothing, as in a join.
-    known = versions.dropna(subset=list(keys)).groupBy(*keys, F.col(version_time).alias("__at")).agg(
-        F.max_by(F.struct(*values), tie).alias("__version")
+    known = (
+        versions.dropna(subset=[*keys, version_time])
+        .groupBy(*keys, F.col(version_time).alias("__at"))
+        .agg(F.max_by(F.struct(*values), tie).alias("__version"))
     )
-    if not merge and _is_small(versions, keys, values):
-        return _join_versions(facts, known, keys, fact_time, values)
-
     fact_rows = facts.withColumns(
         {"__at": F.col(fact_time), "__fact": F.lit(1)}
         | {f"__tie{i}": F.col(c) for i, c in enumerate(fact_tie)}
@@ -108,40 +101,6 @@ def at_point_in_time(
     )
 
 
-def _is_small(versions: DataFrame, keys: Sequence[str], values: Sequence[str]) -> bool:
-    """Whether a version table is within the broadcast bounds."""
-    width = F.octet_length(F.to_json(F.struct(*keys, *values)))
-    size = (
-        versions.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-        .agg(F.sum("n").alias("total"), F.sum("bytes").alias("bytes"), F.max("n").alias("most"))
-        .first()
-    )
-    return (
-        (size.total or 0) <= BROADCAST_VERSIONS
-        and (size.bytes or 0) <= BROADCAST_BYTES
-        and (size.most or 0) <= BROADCAST_PER_KEY
-    )
-
-
-def _join_versions(
-    facts: DataFrame, known: DataFrame, keys: Sequence[str], fact_time: str, values: Sequence[str]
-) -> DataFrame:
-    """Equi-join on the key with the validity interval as a residual condition."""
-    spans = (
-        ordered_columns(known, keys, ["__at"], following={"__until": F.col("__at")}, hot=None)
-        .withColumnsRenamed({k: f"__on_{k}" for k in keys})
-    )
-    inside = (F.col("__at") <= F.col(fact_time)) & (
-        F.col("__until").isNull() | (F.col(fact_time) < F.col("__until"))
-    )
-    for key in keys:
-        inside = inside & (F.col(key) == F.col(f"__on_{key}"))
-    return facts.join(F.broadcast(spans), inside, "left").select(
-        *facts.columns, *[F.col(f"__version.{c}").alias(c) for c in values]
-    )
-
-
 def item_prices(
     items: DataFrame, products: DataFrame, hot: DataFrame | str | None = PROBE
 ) -> DataFrame:

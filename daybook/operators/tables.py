@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions.scalars import count_of_share
+from daybook.functions.scalars import count_of_share, joined_text
 from daybook.operators.skew import HOT_ROWS, PROBE, hot_keys, ordered_columns
 
 
@@ -40,8 +40,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Row count and sum of a 60-bit row hash: equal for equal data in any order or file layout."""
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)]
-    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *named)), 1, 15), 16, 10)
+    text = joined_text(*[F.col(c) for c in sorted(df.columns)])
+    row_hash = F.conv(F.substring(F.md5(text), 1, 15), 16, 10)
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum(row_hash.cast("decimal(20,0)")).alias("hash_sum"),
@@ -102,7 +102,9 @@ def child_lists(
 ) -> DataFrame:
     """Child values of each key as ordered lists of at most ``per_list``.
 
-    A key with more children gets further rows (list_no 1, 2, ...), so no single cell grows with it.
+    There is one row per key **and list_no** (1, 2, ...): a key with more children than ``per_list`` gets
+    further rows, so no single cell grows with it. Join on both, or on the rows of ``list_no = 1``;
+    a join on the key alone repeats its other side per list.
     """
     numbered = ordered_columns(
         df.select(key, *[c for c in order if c != key], value.alias("__value")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.scalars import money
 from daybook.operators import dims, quality, skew, tables
 from daybook.plans.registry import day_text, query, table
 
@@ -74,16 +75,22 @@ def duplicate_keys(spark, folder):
 @query(
     "fingerprint",
     """
+    WITH parts AS (
+      SELECT o_orderstatus, [CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'),
+             CAST(o_orderkey AS VARCHAR), o_orderpriority, o_orderstatus,
+             CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)] AS p
+      FROM orders)
     SELECT o_orderstatus, COUNT(*) AS row_count,
-           CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', CAST(o_custkey AS VARCHAR),
-                strftime(o_orderdate, '%Y-%m-%d'), CAST(o_orderkey AS VARCHAR), o_orderpriority,
-                o_orderstatus)), 1, 15) AS BIGINT)) AS VARCHAR) AS hash_sum
-    FROM orders GROUP BY o_orderstatus
+           CAST(SUM(CAST('0x' || substr(md5(array_to_string(list_transform(p,
+                lambda x: COALESCE(length(x) || ':' || x, '-')), '')), 1, 15) AS BIGINT)) AS VARCHAR)
+             AS hash_sum
+    FROM parts GROUP BY o_orderstatus
     """,
 )
 def fingerprint(spark, folder):
-    rows = table(spark, folder, "orders").drop("o_totalprice")
-    rows = rows.withColumn("o_orderdate", day_text(F.col("o_orderdate")))
+    rows = table(spark, folder, "orders").withColumns(
+        {"o_orderdate": day_text(F.col("o_orderdate")), "o_totalprice": money(F.col("o_totalprice"))}
+    )
     return tables.fingerprint(rows, ["o_orderstatus"]).withColumn(
         "hash_sum", F.col("hash_sum").cast("string")
     )

@@ -315,19 +315,21 @@ def product_keys(spark, folder):
 @query(
     "surrogate_keys",
     """
-    SELECT o_orderkey, 'ord_' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 12) AS order_id,
-           'evt_' || substr(md5(CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus), 1, 16) AS event_id,
-           md5(CAST(o_orderkey AS VARCHAR)) AS full_id
-    FROM orders
+    WITH o AS (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c FROM orders)
+    SELECT o_orderkey, 'ord_' || substr(md5(length(k) || ':' || k), 1, 12) AS order_id,
+           'evt_' || substr(md5(length(c) || ':' || c || length(o_orderstatus) || ':' || o_orderstatus), 1, 16)
+             AS event_id,
+           md5(length(k) || ':' || k) AS full_id
+    FROM o
     """,
 )
 def surrogate_keys(spark, folder):
     key = F.col("o_orderkey")
     return table(spark, folder, "orders").select(
         "o_orderkey",
-        surrogate_key("ord_", key).alias("order_id"),
+        surrogate_key("ord_", key, length=12).alias("order_id"),
         surrogate_key("evt_", F.col("o_custkey"), F.col("o_orderstatus"), length=16).alias("event_id"),
-        surrogate_key("", key, length=32).alias("full_id"),
+        surrogate_key("", key).alias("full_id"),
     )
 
 
@@ -402,20 +404,8 @@ def landing_keep_days(spark, folder):
     return _read_landed(spark, target, schema)
 
 
-@query(
-    "bronze_orders",
-    """
-    SELECT 'ord_' || o_orderkey AS order_id, 'cust_' || o_custkey AS customer_id,
-           strftime(o_orderdate + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS source_event_at,
-           CAST(o_totalprice AS DOUBLE) AS net_amount,
-           COALESCE(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END, '') AS campaign_id,
-           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date,
-           'landing' AS _source_system, TRUE AS is_readable
-    FROM orders
-    """,
-)
-def bronze_orders(spark, folder):
-    """Raw order files that carry load_date themselves, taken to bronze Parquet."""
+def _raw_orders(spark: SparkSession, folder: str) -> str:
+    """Write the orders as raw files by month, which carry load_date themselves, and return their root."""
     moment = shifted(F.col("o_orderdate").cast("timestamp"), minutes=90)
     amount = money(F.col("o_totalprice"))
     values = {
@@ -445,6 +435,24 @@ def bronze_orders(spark, folder):
         .option("timestampFormat", landing.TIMESTAMP_FORMAT)
         .csv(f"{root}/orders")
     )
+    return root
+
+
+@query(
+    "bronze_orders",
+    """
+    SELECT 'ord_' || o_orderkey AS order_id, 'cust_' || o_custkey AS customer_id,
+           strftime(o_orderdate + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS source_event_at,
+           CAST(o_totalprice AS DOUBLE) AS net_amount,
+           COALESCE(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END, '') AS campaign_id,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date,
+           'landing' AS _source_system, TRUE AS is_readable
+    FROM orders
+    """,
+)
+def bronze_orders(spark, folder):
+    """Raw order files that carry load_date themselves, taken to bronze Parquet."""
+    root = _raw_orders(spark, folder)
     loaded = bronze.load_bronze(spark, root, shared_folder(spark, "bronze"), "orders")
     return loaded.select(
         "order_id",
@@ -490,15 +498,13 @@ def landing_paths(spark, folder):
 # --- streams: each reads the events table as a file stream until it is caught up ---
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1000)
-        .parquet(folder)
-    )
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+def _event_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """The events table as a stream of its files, be it one file or a folder of them."""
+    # A stream takes a folder or a pattern, not the path of a file.
+    path = f"{folder.rstrip('/')}/events.parque[t]"
+    stream = spark.readStream.schema(table(spark, folder, "events").schema)
+    rows = stream.option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("load_date", F.to_date("ts"))
 
 
 @query(
@@ -511,7 +517,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_ingest(spark, folder):
     base = shared_folder(spark, "stream-ingest")
-    stream = _event_stream(spark, folder).withColumn("load_date", F.to_date("ts"))
+    stream = _event_stream(spark, folder)
     feeds.ingest(stream, f"{base}/table", f"{base}/checkpoint", "event_system").awaitTermination()
     return spark.read.parquet(f"{base}/table").select(
         "event_id",
@@ -531,10 +537,7 @@ def stream_dedupe(spark, folder):
     stream = _event_stream(spark, folder)
     copies = F.when(F.col("event_id") % 10 == 0, 3).otherwise(1)
     repeated = stream.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__copy")
-    unique = feeds.without_repeats(repeated, ["event_id"], "ts")
-    feeds.ingest(
-        unique.withColumn("load_date", F.to_date("ts")), f"{base}/table", f"{base}/checkpoint"
-    ).awaitTermination()
+    feeds.without_repeats(repeated, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     rows = spark.read.parquet(f"{base}/table")
     return rows.select("event_id", "user_id", "event_type", time_text(F.col("ts")).alias("ts"))
 
@@ -550,9 +553,8 @@ def stream_dedupe(spark, folder):
 def stream_daily(spark, folder):
     base = shared_folder(spark, "stream-daily")
     stream = _event_stream(spark, folder).withColumn("value", money(F.col("value")))
-    totals = feeds.daily_totals(stream, "ts", "value")
-    feeds.keep_totals(totals, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/table").select(
+    feeds.daily_totals(stream, "ts", "value", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return feeds.totals(spark, f"{base}/table").select(
         day_text(F.col("order_date")).alias("order_date"),
         "row_count",
         F.col("total_amount").cast("double").alias("total_amount"),
@@ -572,12 +574,84 @@ def stream_daily(spark, folder):
 def stream_closed_days(spark, folder):
     base = shared_folder(spark, "stream-closed")
     stream = _event_stream(spark, folder).withColumn("value", money(F.col("value")))
-    totals = feeds.daily_totals(stream, "ts", "value")
-    feeds.append_closed_days(totals, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/table").select(
+    feeds.daily_totals(stream, "ts", "value", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return feeds.closed_days(spark, f"{base}/table").select(
         day_text(F.col("order_date")).alias("order_date"),
         "row_count",
         F.col("total_amount").cast("double").alias("total_amount"),
     )
 
 
+@query(
+    "stream_landing",
+    """
+    SELECT 'ord_' || o_orderkey AS order_id, CAST(o_totalprice AS DOUBLE) AS net_amount,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date, 'bronze' AS _source_layer
+    FROM orders
+    """,
+)
+def stream_landing(spark, folder):
+    """Landed CSV files, some of them per batch, ingested once each."""
+    base = shared_folder(spark, "stream-landing")
+    stream = feeds.landing_stream(spark, _raw_orders(spark, folder), "orders", files_per_batch=20)
+    feeds.ingest(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select(
+        "order_id",
+        F.col("net_amount").cast("double").alias("net_amount"),
+        day_text(F.col("load_date")).alias("load_date"),
+        "_source_layer",
+    )
+
+
+@query(
+    "landing_file_count",
+    """
+    SELECT count(DISTINCT date_trunc('month', o_orderdate)) AS files_found,
+           count(DISTINCT date_trunc('month', o_orderdate)) AS files_landed
+    FROM orders
+    """,
+)
+def landing_file_count(spark, folder):
+    """How many files the landing copy finds and lands; each month is written by one task as one file."""
+    orders = table(spark, folder, "orders").withColumn("load_date", F.trunc("o_orderdate", "MM"))
+    root = shared_folder(spark, "landing")
+    orders.repartition("load_date").write.partitionBy("load_date").option("header", True).csv(f"{root}/orders")
+    landed = landing.land_files(spark, root, shared_folder(spark, "lake"))
+    found = landing.manifest(spark, root).agg(F.count(F.lit(1)).alias("files_found"))
+    return found.withColumn("files_landed", F.lit(landed).cast("bigint"))
+
+
+@query(
+    "bronze_reload",
+    """
+    SELECT o_orderkey AS line, CASE WHEN o_orderkey % 2 = 0 THEN '2026-01-02' ELSE '2026-01-03' END AS landed_day,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'none'
+                WHEN (o_orderkey % 7 = 1) = (o_orderkey % 2 = 0) THEN '2026-01-03' ELSE '2026-01-02' END AS load_date,
+           o_orderkey % 7 = 0 AS is_broken
+    FROM orders
+    """,
+)
+def bronze_reload(spark, folder):
+    """Two days loaded one after the other, each with broken lines and with lines of the other day."""
+    root, target = shared_folder(spark, "raw"), shared_folder(spark, "bronze")
+    orders = table(spark, folder, "orders").select("o_orderkey")
+    key, days = F.col("o_orderkey"), ("2026-01-02", "2026-01-03")
+    for rest, day in enumerate(days):
+        said = F.when(key % 7 == 0, "broken").when(key % 7 == 1, days[1 - rest]).otherwise(day)
+        cells = {
+            "rate_date": F.lit(day),
+            "currency": F.lit("EUR"),
+            "rate_to_pln": F.lit("4.3200"),
+            "source": key.cast("string"),
+            "load_date": said,
+            "loaded_at": F.lit(f"{day} 01:00:00"),
+        }
+        lines = orders.filter(key % 2 == rest).select(*[cell.alias(name) for name, cell in cells.items()])
+        lines.write.option("header", True).csv(f"{root}/exchange_rates/load_date={day}")
+        loaded = bronze.load_bronze(spark, root, target, "exchange_rates", days=[day])
+    return loaded.select(
+        F.col("source").cast("bigint").alias("line"),
+        day_text(F.col("landed_day")).alias("landed_day"),
+        F.coalesce(day_text(F.col("load_date")), F.lit("none")).alias("load_date"),
+        F.col(landing.CORRUPT).isNotNull().alias("is_broken"),
+    )

@@ -92,7 +92,7 @@ POINT_SQL = """
 """
 
 
-def _point_in_time(spark, folder, merge=False, hot_rows=None) -> DataFrame:
+def _point_in_time(spark, folder, hot_rows=None) -> DataFrame:
     facts = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
     )
@@ -102,7 +102,7 @@ def _point_in_time(spark, folder, merge=False, hot_rows=None) -> DataFrame:
     found = state.at_point_in_time(
         facts, versions, keys, "l_shipdate", "o_orderdate", ["o_orderkey", "o_orderstatus"],
         version_tie=["o_orderkey"], fact_tie=["l_orderkey", "l_linenumber", "l_partkey"],
-        merge=merge, hot=hot,
+        hot=hot,
     )
     return found.select(
         "l_orderkey",
@@ -121,12 +121,12 @@ def point_in_time(spark, folder):
 
 @query("point_in_time_merge", POINT_SQL)
 def point_in_time_merge(spark, folder):
-    return _point_in_time(spark, folder, merge=True)
+    return _point_in_time(spark, folder)
 
 
 @query("point_in_time_split", POINT_SQL)
 def point_in_time_split(spark, folder):
-    return _point_in_time(spark, folder, merge=True, hot_rows=200)
+    return _point_in_time(spark, folder, hot_rows=200)
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Bronze tables: landed rows as typed Parquet by load date, with audit columns."""
+"""Bronze tables: landed rows as typed Parquet by the day they landed on, with audit columns."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.metadata import with_audit
-from daybook.sources.landing import read_table
+from daybook.sources.landing import LANDED_DAY, read_table
 
 
 def load_bronze(
@@ -18,18 +18,20 @@ def load_bronze(
     source_system: str = "landing",
     days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rewrite a landed table as Parquet by load date and return all of it.
+    """Rewrite a landed table as Parquet by ``landed_day`` and return all of it.
 
-    With ``days`` only those days are read. Only days found are replaced, others stay. A landed
-    file holds one day, so a task writes the days of the files it read and nothing is shuffled.
-    Later readers skip days and columns, which the raw files do not allow.
+    With ``days`` only those days are read. A day is the folder a file lies in; the cell ``load_date``
+    stays a column, so a broken or stray line is replaced with its own file and never with another
+    day's. Only days found are replaced, others stay. A landed file holds one day, so a task writes
+    the days of the files it read and nothing is shuffled. Later readers skip days and columns, which
+    the raw files do not allow.
     """
     path = f"{bronze.rstrip('/')}/{table}"
-    rows = with_audit(read_table(spark, landing, table, days=days), source_system)
+    rows = with_audit(read_table(spark, landing, table, days=days, with_landed_day=True), source_system)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date")
+        .partitionBy(LANDED_DAY)
         .parquet(path)
     )
     return spark.read.schema(rows.schema).parquet(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from math import ceil
+from uuid import uuid4
 
 import pyarrow as pa
 from pyarrow import fs
@@ -30,6 +32,9 @@ READ_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
 }
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+LANDED_DAY = "landed_day"
+FILES_PER_TASK = 50
+BYTES_PER_TASK = 256 << 20
 
 
 def landed_schema(table: str) -> T.StructType:
@@ -49,10 +54,12 @@ def read_table(
     schema: T.StructType | None = None,
     load_date_in_file: bool = True,
     days: Sequence[str] | None = None,
+    with_landed_day: bool = False,
 ) -> DataFrame:
     """All landed files of a table; blank files have no rows, a missing table is empty.
 
-    With ``days`` (ISO dates) only those days' folders are listed and read.
+    With ``days`` (ISO dates) only those days' folders are listed and read. ``with_landed_day`` adds the
+    day of the folder a file lies in, which the cell ``load_date`` of a broken line does not tell.
 
     Cells that do not parse are NULL and the line is kept in ``_corrupt_record``. Files written by
     ``write_table`` have load_date in the folder name only: read them with
@@ -65,11 +72,16 @@ def read_table(
         path += f"/load_date={{{','.join(days)}}}"
         options["basePath"] = f"{root.rstrip('/')}/{table}"
     try:
-        return spark.read.schema(schema).options(**options).csv(path)
+        rows = spark.read.schema(schema).options(**options).csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        rows = spark.createDataFrame([], schema)
+        return rows.withColumn(LANDED_DAY, F.lit(None).cast("date")) if with_landed_day else rows
+    if with_landed_day:
+        folder = F.regexp_extract("_metadata.file_path", "=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]*$", 1)
+        rows = rows.withColumn(LANDED_DAY, F.try_to_date(folder))
+    return rows
 
 
 def write_table(df: DataFrame, root: str, table: str, clean: bool = True) -> None:
@@ -95,14 +107,22 @@ def _below(path: Column, root: str) -> Column:
     """Path relative to the root, without scheme and host."""
     plain = r"^[^/:]+:(//[^/]*)?"
     base = re.sub(plain, "", root).rstrip("/")
-    return F.substring(F.regexp_replace(path, plain, ""), len(base) + 2, 1 << 20)
+    return F.substr(F.regexp_replace(path, plain, ""), F.lit(len(base) + 2))
+
+
+def _whole_path(spark: SparkSession, root: str) -> str:
+    """The root with its scheme and all folders above it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def manifest(spark: SparkSession, root: str, prefix: str = "bronze/landing") -> DataFrame:
     """Every CSV file below the root: source_path, file_length, target_path. Other files are ignored.
 
-    File contents are not read. Its count is the number of files to land.
+    File contents are not read. Its count is the number of files to land. A relative root is taken
+    from the session's default folder, as every Spark reader takes it.
     """
+    root = _whole_path(spark, root)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -131,10 +151,13 @@ def land_files(
 ) -> int:
     """Copy every CSV file below the root to ``<target>/<prefix>/<relative path>``, byte for byte.
 
-    Earlier copies are replaced and the number of files is returned. The files are dealt out to the
-    tasks and each is streamed, so neither their number nor their size is one machine's work. What
-    the tasks run is defined in here, so that they do without this package.
+    Earlier copies are replaced and the number of files is returned. The files are dealt out to tasks
+    of about ``BYTES_PER_TASK`` or ``FILES_PER_TASK``, a number that adaptive execution does not merge,
+    and each file is streamed. A copy is written aside and renamed, so that a task that is run twice
+    or breaks off leaves no mixed file. What the tasks run is defined in here, so that they do without
+    this package.
     """
+    target = _whole_path(spark, target)
 
     def located(uri: str) -> tuple[fs.FileSystem, str]:
         uri = re.sub("^s3[an]:", "s3:", uri)
@@ -143,23 +166,29 @@ def land_files(
 
     def copy_file(source: str, copied: str) -> int:
         (from_fs, from_path), (to_fs, to_path) = located(source), located(copied)
-        to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
+        folder, _, name = to_path.rpartition("/")
+        aside = f"{folder}/.{name}.{uuid4().hex}"
+        to_fs.create_dir(folder, recursive=True)
         size = 0
-        with from_fs.open_input_stream(from_path) as read, to_fs.open_output_stream(to_path) as out:
+        with from_fs.open_input_stream(from_path) as read, to_fs.open_output_stream(aside) as out:
             while piece := read.read(8 << 20):
                 out.write(piece)
                 size += len(piece)
+        to_fs.move(aside, to_path)
         return size
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [copy_file(f["source_path"], f["target"]) for f in batch.to_pylist()]
+            files = zip(batch.column("source_path").to_pylist(), batch.column("target").to_pylist())
+            sizes = [copy_file(source, copied) for source, copied in files]
             yield pa.RecordBatch.from_pydict({"file_length": pa.array(sizes, pa.int64())})
 
     files = manifest(spark, root, prefix).select(
-        "source_path", landing_path(target, F.col("target_path")).alias("target")
+        "source_path", "file_length", landing_path(target, F.col("target_path")).alias("target")
     )
-    copied = files.repartition("source_path").mapInArrow(copy, "file_length long")
+    size = files.agg(F.count(F.lit(1)).alias("files"), F.sum("file_length").alias("bytes")).first()
+    tasks = max(1, ceil(size["files"] / FILES_PER_TASK), ceil((size["bytes"] or 0) / BYTES_PER_TASK))
+    copied = files.repartition(tasks, "source_path").mapInArrow(copy, "file_length long")
     return copied.agg(F.count("file_length")).first()[0]
 
 

@@ -2,22 +2,27 @@
 
 Every query runs with the availableNow trigger: it takes what has landed since its checkpoint, in
 bounded batches, and stops. Checkpoints and outputs belong in storage all executors share.
+
+No row is lost, and what the tables hold does not depend on how files fall into batches. Each batch
+writes a folder of its own, so a batch that is run again replaces what it wrote. Lateness is a
+property of a row, the days between its event and its load, and late rows go to a table of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.operators.metadata import with_audit
 from daybook.sources.landing import READ_OPTIONS, landed_schema
 
-# A late row is at most 4 calendar days behind the day it is loaded on.
-LATE_BOUND = "4 days"
-DEDUPE_SALTS = 16
+# A row is late when it is loaded more than 4 calendar days after its event.
+LATE_BOUND = 4
+BATCH = "batch"
 
 
 def landing_stream(
@@ -51,65 +56,110 @@ def ingest(
     )
 
 
+def _written_before(spark: SparkSession, target: str, batch: int | None = None) -> DataFrame | None:
+    """Rows of the batches below ``batch``, or of all; None where nothing was written yet."""
+    try:
+        rows = spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return rows if batch is None else rows.filter(F.col(BATCH) < batch)
+
+
+def _by_batch(stream: DataFrame, write, checkpoint: str) -> StreamingQuery:
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _put(rows: DataFrame, target: str, batch: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH}={batch}")
+
+
 def without_repeats(
-    stream: DataFrame,
-    key: Sequence[str] = ("event_id",),
-    event_time: str = "source_event_at",
-    bound: str = LATE_BOUND,
-    salts: int = DEDUPE_SALTS,
-) -> DataFrame:
-    """Drop rows whose key was seen within the late bound.
+    stream: DataFrame, target: str, checkpoint: str, key: Sequence[str] = ("event_id",)
+) -> StreamingQuery:
+    """Append to ``target`` the rows whose key it does not hold yet, one row per key.
 
-    State is kept for the bound only. With ``salts`` above 1 the copies of one key are first reduced in
-    that many tasks, so a key with a third of the stream is not one task's work.
+    The table itself is the memory: a batch reads its key columns, whatever time has passed. Copies
+    within a batch collapse in the map tasks, so a key with a third of the rows is no single
+    task's work. Rows without a whole key are all kept.
     """
-    marked = stream.withWatermark(event_time, bound)
-    if salts > 1:
-        salt = F.spark_partition_id() % salts
-        marked = (
-            marked.withColumn("__salt", salt)
-            .dropDuplicatesWithinWatermark([*key, "__salt"])
-            .drop("__salt")
-        )
-    return marked.dropDuplicatesWithinWatermark([*key])
+    key = list(key)
+
+    def take(batch: DataFrame, number: int) -> None:
+        whole = F.lit(True)
+        for name in key:
+            whole = whole & F.col(name).isNotNull()
+        new = batch.filter(whole).dropDuplicates(key)
+        known = _written_before(batch.sparkSession, target, number)
+        if known is not None:
+            new = new.join(known.select(*key), key, "left_anti").select(*batch.columns)
+        _put(new.unionByName(batch.filter(~whole)), target, number)
+
+    return _by_batch(stream, take, checkpoint)
+
+
+def is_late(event_time: str, load_date: str, bound: int = LATE_BOUND) -> Column:
+    """Whether a row is loaded more than ``bound`` days after its event; NULL dates are not late."""
+    return F.coalesce(F.datediff(F.col(load_date), F.to_date(event_time)) > bound, F.lit(False))
 
 
 def daily_totals(
-    stream: DataFrame, event_time: str, amount: str, bound: str = LATE_BOUND
-) -> DataFrame:
-    """Row count and amount per day. State is one row per day; map tasks combine before the shuffle."""
-    return (
-        stream.withWatermark(event_time, bound)
-        .groupBy(F.window(event_time, "1 day").alias("day_window"))
-        .agg(F.count(F.lit(1)).alias("row_count"), F.sum(amount).alias("total_amount"))
-        .select(
-            F.to_date("day_window.start").alias("order_date"), "row_count", "total_amount"
+    stream: DataFrame,
+    event_time: str,
+    amount: str,
+    target: str,
+    checkpoint: str,
+    load_date: str = "load_date",
+    bound: int = LATE_BOUND,
+) -> StreamingQuery:
+    """Keep row count and amount per event day in ``target``, and late rows in ``target_late``.
+
+    A batch adds its own sums, one row per day; ``totals`` adds them up. Late rows are kept as they are
+    and are no part of the sums.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        marked = batch.withColumn("__late", is_late(event_time, load_date, bound))
+        sums = marked.groupBy(F.to_date(event_time).alias("order_date")).agg(
+            F.count(F.when(~F.col("__late"), 1)).alias("row_count"),
+            F.sum(F.when(~F.col("__late"), F.col(amount))).alias("total_amount"),
+            F.count(F.when(F.col("__late"), 1)).alias("late_count"),
+            F.max(load_date).alias("last_load"),
         )
-    )
+        _put(sums, target, number)
+        _put(marked.filter("__late").drop("__late"), late_target(target), number)
+
+    return _by_batch(stream, take, checkpoint)
 
 
-def keep_totals(totals: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keep a table of all days current: each batch rewrites the small totals table."""
+def late_target(target: str) -> str:
+    return f"{target.rstrip('/')}_late"
 
-    def rewrite(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(target)
 
+def totals(spark: SparkSession, target: str) -> DataFrame:
+    """order_date, row_count, total_amount and late_count over all batches so far."""
     return (
-        totals.writeStream.foreachBatch(rewrite)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
+        spark.read.parquet(target)
+        .groupBy("order_date")
+        .agg(
+            F.sum("row_count").alias("row_count"),
+            F.sum("total_amount").alias("total_amount"),
+            F.sum("late_count").alias("late_count"),
+        )
     )
 
 
-def append_closed_days(totals: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append each day once, when the watermark has passed its end."""
-    return (
-        totals.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def closed_days(spark: SparkSession, target: str, bound: int = LATE_BOUND) -> DataFrame:
+    """The totals of days that later loads can add late rows to only.
+
+    A day is closed when something has been loaded more than ``bound`` days after it.
+    """
+    last = spark.read.parquet(target).agg(F.max("last_load")).first()[0]
+    closed = F.date_add("order_date", bound) < F.lit(last).cast("date")
+    return totals(spark, target).filter(closed & (F.col("row_count") > 0))

@@ -179,7 +179,7 @@ def test_bronze_is_partitioned_and_stamped(spark, raw, tmp_path):
     row = table.orderBy("order_id").first()
     assert (row._source_system, row._source_layer) == ("landing", "bronze")
     assert isinstance(row._ingested_at, dt.datetime)
-    assert (tmp_path / "bronze" / "orders" / "load_date=2026-01-03").is_dir()
+    assert (tmp_path / "bronze" / "orders" / "landed_day=2026-01-03").is_dir()
     again = bronze.load_bronze(spark, raw, str(tmp_path / "bronze"), "orders")
     assert again.count() == 2
 

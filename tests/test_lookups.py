@@ -37,9 +37,9 @@ def test_as_of(spark, facts, versions):
         for k, e, e_at in early
     )
     left, right = sides(spark, early, late)
-    for merge, hot in ((False, None), (True, None), (True, skew.hot_keys(left, ["k"], 1, sample=1.0))):
+    for hot in (None, skew.hot_keys(left, ["k"], 1, sample=1.0)):
         found = state.at_point_in_time(
-            left, right, ["k"], "e_at", "o_at", ["o"], ["o"], ["e"], merge=merge, hot=hot
+            left, right, ["k"], "e_at", "o_at", ["o"], ["o"], ["e"], hot=hot
         )
         assert Counter((r.k, r.e, r.o) for r in found.collect()) == want
 
@@ -70,11 +70,24 @@ def test_interval(spark, early_rows, late_rows, span):
         assert {r.e: r.o for r in found.collect()} == first
 
 
-@pytest.mark.parametrize("merge", [False, True])
-def test_as_of_keeps_facts_with_a_null_key(spark, merge):
-    left, right = sides(spark, [(None, 1, START), ("a", 2, START)], [(None, 7, START), ("a", 8, START)])
-    found = state.at_point_in_time(left, right, ["k"], "e_at", "o_at", ["o"], merge=merge)
-    assert {(r.e, r.o) for r in found.collect()} == {(1, None), (2, 8)}
+@pytest.mark.parametrize("split", [False, True])
+def test_as_of_with_null_keys_and_times(spark, split):
+    left, right = sides(
+        spark,
+        [(None, 1, START), ("a", 2, START), ("a", 3, None), ("b", 4, START), ("b", 5, None)],
+        [(None, 7, START), ("a", 8, START), ("a", 9, None), ("b", 10, None)],
+    )
+    hot = skew.hot_keys(left, ["k"], 1, sample=1.0) if split else None
+    found = state.at_point_in_time(left, right, ["k"], "e_at", "o_at", ["o"], fact_tie=["e"], hot=hot)
+    assert {(r.e, r.o) for r in found.collect()} == {(1, None), (2, 8), (3, None), (4, None), (5, None)}
+
+
+def test_only_the_last_version_is_current(spark):
+    rows = spark.createDataFrame(
+        [("k", None, "x"), ("k", None, "y"), ("k", START, "z")], "k string, at timestamp, v string"
+    )
+    history = state.version_history(rows, ["k"], ["at", "v"], ["v"])
+    assert {(r.v, r.is_current) for r in history.collect()} == {("x", False), ("y", False), ("z", True)}
 
 
 def test_next_match_of_a_null_key(spark):

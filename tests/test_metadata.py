@@ -143,7 +143,10 @@ def test_scalars(spark):
     assert one(spark, padded_key("prod_", F.lit(42))) == "prod_00042"
     assert one(spark, padded_key("prod_", F.lit(1234567))) == "prod_1234567"
     key = one(spark, surrogate_key("ord_", F.lit("a"), F.lit(1)))
-    assert key.startswith("ord_") and len(key) == 16
+    assert key.startswith("ord_") and len(key) == 36
+    parts = [("a|b", "c"), ("a", "b|c"), ("a", None), ("a", ""), (None, "a"), ("1:a", "")]
+    keys = [one(spark, surrogate_key("", *[F.lit(p).cast("string") for p in pair])) for pair in parts]
+    assert len(set(keys)) == len(parts)
     assert key == one(spark, surrogate_key("ord_", F.lit("a"), F.lit(1)))
     assert one(spark, line_total(F.lit("10.01").cast("decimal(12,2)"), F.lit(3), F.lit("1.50").cast("decimal(12,2)"))) * 100 == 2853
     assert [one(spark, count_of_share(F.lit(n).cast("bigint"), 0.03, 1)) for n in (0, 5, 100, 1000)] == [0, 1, 3, 30]

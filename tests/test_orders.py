@@ -114,9 +114,8 @@ def test_active_masters(spark, customers):
     assert [r.product_id for r in state.active_products(products).collect()] == ["p2"]
 
 
-@pytest.mark.parametrize("merge", [False, True])
 @pytest.mark.parametrize("split", [False, True])
-def test_price_by_load_date(spark, merge, split, monkeypatch):
+def test_price_by_load_date(spark, split):
     """A price changed at 18:00 applies to all orders loaded that day, not to the day before."""
     products = spark.createDataFrame(
         [("p1", Decimal("10.00"), day("2026-01-01"), at("2026-01-01 09:00:00")),
@@ -132,12 +131,11 @@ def test_price_by_load_date(spark, merge, split, monkeypatch):
     listed = products.withColumnRenamed("unit_price", "list_price")
     found = state.at_point_in_time(
         items, listed, ["product_id"], "load_date", "load_date", ["list_price"],
-        ["updated_at"], ["order_item_id"], merge, hot,
+        ["updated_at"], ["order_item_id"], hot,
     )
     prices = {r.order_item_id: r.list_price and float(r.list_price) for r in found.collect()}
     assert prices == {"i0": None, "i1": 10.0, "i2": 12.0, "i3": 12.0, "i4": None}
     assert state.item_prices(items, products).count() == 5
-    monkeypatch.setattr(state, "BROADCAST_VERSIONS", 1)
     assert state.item_prices(items, products).filter("list_price = 12").count() == 2
 
 

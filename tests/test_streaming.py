@@ -1,8 +1,7 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pytest
 
-from daybook.sources import landing
 from daybook.streaming import feeds
 
 HEADER = (
@@ -46,61 +45,74 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert row._source_layer == "bronze"
 
 
-def test_repeats_are_dropped_across_batches_and_late_rows_kept(spark, tmp_path):
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_repeats_are_dropped_and_nothing_else(spark, tmp_path, files_per_batch):
+    """Files out of day order, a key again after weeks, rows without a key: the same for any batches."""
     raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "t"), str(tmp_path / "c")
 
     def run():
-        stream = feeds.landing_stream(spark, str(raw), "payments", files_per_batch=1)
-        unique = feeds.without_repeats(stream, ["payment_id"])
-        feeds.ingest(unique, target, checkpoint).awaitTermination()
+        stream = feeds.landing_stream(spark, str(raw), "payments", files_per_batch)
+        feeds.without_repeats(stream, target, checkpoint, ["payment_id"]).awaitTermination()
+        return ids_of(spark, target)
 
-    put_day(raw, "2026-01-02", ["p1"] * 50 + ["p2"])
-    run()
+    put_day(raw, "2026-03-02", ["p1"] * 50 + ["p2"])
     put_day(raw, "2026-01-05", ["p3", "p2"])
-    run()
-    put_day(raw, "2026-01-06", ["p4", "p1"], event_day="2026-01-02")  # four days late
-    run()
-    assert ids_of(spark, target) == ["p1", "p2", "p3", "p4"]
-
-
-def test_stream_totals_equal_batch_totals(spark, tmp_path):
-    raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "t"), str(tmp_path / "c")
-
-    def totals():
-        return feeds.daily_totals(
-            feeds.landing_stream(spark, str(raw), "payments"), "source_event_at", "amount"
-        )
-
-    def table():
-        return {(str(r.order_date), r.row_count, str(r.total_amount)) for r in spark.read.parquet(target).collect()}
-
-    put_day(raw, "2026-01-02", ["p1", "p2"])
-    feeds.keep_totals(totals(), target, checkpoint).awaitTermination()
-    assert table() == {("2026-01-02", 2, "21.00")}
-    put_day(raw, "2026-01-03", ["p3"], event_day="2026-01-02")
-    put_day(raw, "2026-01-04", ["p4"])
-    feeds.keep_totals(totals(), target, checkpoint).awaitTermination()
-    batch = (
-        landing.read_table(spark, str(raw), "payments")
-        .groupBy(F.to_date("source_event_at").alias("d"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("a"))
-    )
-    assert table() == {(str(r.d), r.n, str(r.a)) for r in batch.collect()}
-
-
-def test_closed_days_are_appended_once(spark, tmp_path):
+    put_day(raw, "2026-02-06", ["p4", "p1"], event_day="2026-02-02")
+    assert run() == ["p1", "p2", "p3", "p4"]
+    put_day(raw, "2025-12-01", ["p0", "p4"])
+    assert run() == ["p0", "p1", "p2", "p3", "p4"]
+    put_day(raw, "2026-01-06", ["", ""])
+    assert spark.read.parquet(target).count() == 5
+    run_again = feeds.landing_stream(spark, str(raw), "payments", files_per_batch)
+    feeds.without_repeats(run_again, target, checkpoint, ["payment_id"]).awaitTermination()
+    assert spark.read.parquet(target).filter("payment_id IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_totals_and_late_rows_for_any_batches(spark, tmp_path, files_per_batch):
     raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "t"), str(tmp_path / "c")
 
     def run():
-        stream = feeds.landing_stream(spark, str(raw), "payments")
-        totals = feeds.daily_totals(stream, "source_event_at", "amount")
-        feeds.append_closed_days(totals, target, checkpoint).awaitTermination()
-        return sorted(str(r.order_date) for r in spark.read.parquet(target).collect())
-
+        stream = feeds.landing_stream(spark, str(raw), "payments", files_per_batch)
+        feeds.daily_totals(stream, "source_event_at", "amount", target, checkpoint).awaitTermination()
+        return {
+            (str(r.order_date), r.row_count, r.total_amount and str(r.total_amount), r.late_count)
+            for r in feeds.totals(spark, target).collect()
+        }
+
+    put_day(raw, "2026-01-20", ["p5"], event_day="2026-01-16")
     put_day(raw, "2026-01-02", ["p1", "p2"])
-    put_day(raw, "2026-01-04", ["p3"])
-    assert run() == []
-    put_day(raw, "2026-01-08", ["p4"])
-    assert run() == ["2026-01-02"]
-    put_day(raw, "2026-01-20", ["p5"])
-    assert run() == ["2026-01-02", "2026-01-04", "2026-01-08"]
+    put_day(raw, "2026-01-09", ["p6", "p7"], event_day="2026-01-02")
+    put_day(raw, "2026-01-06", ["p3"], event_day="2026-01-02")
+    first = {("2026-01-16", 1, "10.50", 0), ("2026-01-02", 3, "31.50", 2)}
+    assert run() == first
+    assert run() == first
+    late = spark.read.parquet(feeds.late_target(target))
+    assert sorted(r.payment_id for r in late.collect()) == ["p6", "p7"]
+    closed = feeds.closed_days(spark, target).collect()
+    assert [(str(r.order_date), r.row_count) for r in closed] == [("2026-01-02", 3)]
+    put_day(raw, "2026-01-21", ["p8"])
+    assert run() == first | {("2026-01-21", 1, "10.50", 0)}
+    closed = feeds.closed_days(spark, target).collect()
+    assert sorted(str(r.order_date) for r in closed) == ["2026-01-02", "2026-01-16"]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    for _ in range(2):
+        feeds._put(rows, target, 0)
+    assert spark.read.parquet(target).count() == 2
+    assert feeds._written_before(spark, target, 0).count() == 0
+    assert feeds._written_before(spark, target + "-none") is None
+
+
+def test_a_table_of_several_files_is_a_stream(spark, tmp_path, small):
+    import daybook.plans.daily  # noqa: F401  (registers its queries)
+    from daybook.plans.registry import QUERIES
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_ingest", "stream_dedupe", "stream_daily", "stream_closed_days"):
+        one, several = (sorted(map(tuple, QUERIES[name](spark, f).collect())) for f in (small, str(tmp_path)))
+        assert one == several and one
