@@ -17,12 +17,14 @@ BROADCAST_RATES = 500_000
 BROADCAST_CAMPAIGNS = 100_000
 
 
-def daily_totals(orders: DataFrame, day: str = "order_date", amount: str = "order_amount") -> DataFrame:
-    """Order count and amount per day, in day order."""
+def daily_totals(
+    orders: DataFrame, day: str = "order_date", amount: str = "order_amount", by: Sequence[str] = ()
+) -> DataFrame:
+    """Order count and amount per day, in day order; also per ``by``, such as the amount's currency."""
     return (
-        orders.groupBy(day)
+        orders.groupBy(day, *by)
         .agg(F.count(F.lit(1)).alias("order_count"), F.sum(amount).alias("daily_order_amount"))
-        .orderBy(day)
+        .orderBy(day, *by)
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from daybook.operators.state import item_prices, version_history
 from daybook.operators.tables import count_copies, duplicate_keys, first_per_key, union_batches
 from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
 from daybook.sources.bronze import load_bronze
-from daybook.sources.landing import CORRUPT
+from daybook.sources.landing import CORRUPT, LANDED_DAY
 
 # child, its key, parent, the parent's key
 REFERENCES = [
@@ -36,6 +37,11 @@ FACTS = ["orders", "order_items", "payments", "shipments", "refunds", "web_event
 # Campaigns come with the first load only.
 DAILY = [t for t in TABLES if t != "marketing_campaigns"]
 AUDIT = ["_ingested_at", "_source_system", "_source_layer"]
+# Attributes whose changes open a new version.
+HISTORY = {
+    "customers": ["country_code", "city", "customer_status", "marketing_consent"],
+    "products": ["product_name", "category", "brand", "unit_price", "currency", "is_active"],
+}
 ROW_RULES = {
     "order_items": Q.item_rules,
     "orders": Q.order_rules,
@@ -53,7 +59,8 @@ def bronze_tables(
 def row_rules(table: str) -> dict[str, Column]:
     """The row rules of a table; every table has to have readable lines."""
     rules = ROW_RULES[table]() if table in ROW_RULES else {}
-    return rules | {"line_readable": F.col(CORRUPT).isNotNull()}
+    other_day = F.coalesce(F.col("load_date") != F.col(LANDED_DAY), F.lit(False))
+    return rules | {"line_readable": F.col(CORRUPT).isNotNull(), "load_date_of_folder": other_day}
 
 
 def checked_table(bronze: DataFrame, table: str) -> DataFrame:
@@ -61,10 +68,12 @@ def checked_table(bronze: DataFrame, table: str) -> DataFrame:
     return Q.check_rows(count_copies(bronze.drop(*AUDIT)), row_rules(table))
 
 
-def quality_report(
-    checked: dict[str, DataFrame], clean: dict[str, DataFrame], current: dict[str, DataFrame]
-) -> DataFrame:
-    """table_name, rule, checked, failed over row rules, copies, keys, references and amounts."""
+def quality_report(checked: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFrame:
+    """table_name, rule, checked, failed over row rules, copies, keys, references and amounts.
+
+    Payments and refunds are compared with the latest version of their order, be it in quarantine or
+    not; those of an order that was never landed count as not comparable.
+    """
     no_copies = {"no_copies": F.col("copy_count") > 1}
     row_reports = [
         Q.report(rows, Q.as_rules(list(row_rules(t))) | no_copies).select(
@@ -77,23 +86,24 @@ def quality_report(
         (child, f"{key}_exists"): Q.without_parent(clean[child], checked[parent], key, parent_key)
         for child, key, parent, parent_key in REFERENCES
     }
-    for t, keys in UNIQUE.items():
-        failures[t, "unique_key"] = duplicate_keys(clean[t], keys)
-    failures["payments", "amount_of_order"] = Q.wrong_payment_amount(
-        clean["payments"], current["orders"]
-    )
-    failures["refunds", "within_order"] = Q.excessive_refund(clean["refunds"], current["orders"])
+    landed_orders = latest_per_key(checked["orders"], *VERSIONED["orders"])
+    failures["payments", "amount_of_order"] = Q.wrong_payment_amount(clean["payments"], landed_orders)
+    failures["refunds", "within_order"] = Q.excessive_refund(clean["refunds"], landed_orders)
+    for t in ("payments", "refunds"):
+        failures[t, "order_comparable"] = Q.without_parent(clean[t], landed_orders, "order_id", "order_id")
 
     count = F.count(F.lit(1))
+    counted = {key: rows.agg(count.alias("failed")) for key, rows in failures.items()}
+    for t, keys in UNIQUE.items():
+        rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("failed")
+        counted[t, "unique_key"] = duplicate_keys(clean[t], keys).agg(rows)
     failed = [
-        rows.agg(count.alias("failed")).select(
-            F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), "failed"
-        )
-        for (t, rule), rows in failures.items()
+        rows.select(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), "failed")
+        for (t, rule), rows in counted.items()
     ]
     sizes = [
         clean[t].agg(count.alias("checked")).select(F.lit(t).alias("table_name"), "checked")
-        for t in dict.fromkeys(t for t, _ in failures)
+        for t in dict.fromkeys(t for t, _ in counted)
     ]
     across = union_batches(*failed).join(union_batches(*sizes), "table_name")
     return union_batches(*row_reports, across)
@@ -114,34 +124,53 @@ def column_report(bronze: dict[str, DataFrame]) -> DataFrame:
     return union_batches(*[Q.column_report(bronze[t], t, names) for t, names in REQUIRED.items()])
 
 
-def missing_days(bronze: dict[str, DataFrame]) -> DataFrame:
-    """Days between the first and the last load on which a daily table has no rows."""
+def missing_days(bronze: dict[str, DataFrame], expected: Sequence[str] | None = None) -> DataFrame:
+    """Expected days on which a daily table has no rows.
+
+    ``expected`` lists the days (ISO dates) that should have landed. Without it they are those from the
+    first to the last day found, which cannot tell that the last one is missing.
+    """
     found = union_batches(
         *[
-            bronze[t].select("load_date").distinct().withColumn("table_name", F.lit(t))
+            bronze[t].select(F.col(LANDED_DAY).alias("load_date")).distinct().withColumn("table_name", F.lit(t))
             for t in DAILY
         ]
     )
-    days = days_spanned(found, F.col("load_date"), "load_date")
+    if expected is None:
+        days = days_spanned(found, F.col("load_date"), "load_date")
+    else:
+        listed = found.sparkSession.createDataFrame([(day,) for day in expected], "load_date string")
+        days = listed.select(F.col("load_date").cast("date"))
     return Q.missing_days(found, days, DAILY, "table_name", "load_date")
 
 
-def current_tables(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """One row per natural key: the latest version, or the first landing of a single-version row."""
+def current_tables(clean: dict[str, DataFrame], checked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One row per natural key: the latest version, or the first landing of a single-version row.
+
+    ``newer_in_quarantine`` tells of a versioned row that a later version of its key was held back.
+    """
     current = dict(clean)
     for name, (keys, version) in VERSIONED.items():
-        current[name] = latest_per_key(clean[name], keys, version)
+        landed = latest_per_key(checked[name].select(*keys, *version, "failed_rules"), keys, version)
+        held_back = landed.select(*keys, (F.size("failed_rules") > 0).alias("newer_in_quarantine"))
+        current[name] = latest_per_key(clean[name], keys, version).join(held_back, keys)
     for name, keys in KEYS.items():
         current[name] = first_per_key(clean[name], keys, ["load_date", "loaded_at"])
     return current
 
 
 def run(
-    spark: SparkSession, landing: str, warehouse: str, days: Sequence[str] | None = None
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    days: Sequence[str] | None = None,
+    expected_days: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Build the warehouse below ``warehouse`` and return its result tables.
 
-    With ``days`` only those days are taken from the landing zone; earlier ones are in bronze already.
+    With ``days`` only those days are taken from the landing zone, checked and written; earlier ones
+    are in bronze and in ``checked`` already and stay as they are. ``expected_days`` are the days that
+    should have landed by now, by default ``days``, and without both all from the first to the last.
 
     Every step that feeds several others is a written table, so a lost executor repeats a
     task and not the chain before it.
@@ -152,11 +181,18 @@ def run(
         df.write.mode("overwrite").parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
+    def stored_days(df: DataFrame, name: str) -> DataFrame:
+        """Rewrite the days that landed now and return all."""
+        touched = df if days is None else df.filter(F.col(LANDED_DAY).isin(*map(date.fromisoformat, days)))
+        writer = touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(LANDED_DAY).parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
     bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
-    checked = {t: stored(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
+    checked = {t: stored_days(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
     pieces = {t: Q.split_checked(df) for t, df in checked.items()}
-    clean = {t: good.drop(CORRUPT, "copy_count") for t, (good, _) in pieces.items()}
-    current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean).items()}
+    clean = {t: good.drop(CORRUPT, "copy_count", LANDED_DAY) for t, (good, _) in pieces.items()}
+    current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean, checked).items()}
     facts = stored(
         O.order_facts(
             clean["orders"], current["order_items"], current["payments"], current["refunds"]
@@ -165,20 +201,25 @@ def run(
     )
     prices = item_prices(current["order_items"], clean["products"])
     outcomes = shipment_outcome(with_delivery_delay(clean["shipments"]))
-    history = version_history(
-        clean["customers"], ["customer_id"], ["updated_at", "loaded_at"],
-        ["country_code", "city", "customer_status", "marketing_consent"], strategy="check",
-    )
+    history = {
+        table: version_history(clean[table], *VERSIONED[table], attributes, strategy="check")
+        for table, attributes in HISTORY.items()
+    }
     return {
         "column_report": stored(column_report(bronze), "column_report"),
-        "missing_days": stored(missing_days(bronze), "missing_days"),
-        "quality_report": stored(quality_report(checked, clean, current), "quality_report"),
+        "missing_days": stored(missing_days(bronze, expected_days or days), "missing_days"),
+        "quality_report": stored(quality_report(checked, clean), "quality_report"),
         "lateness_report": stored(lateness_report(clean), "lateness_report"),
         "order_facts": facts,
         "order_lifecycle": stored(O.lifecycle(clean["orders"]), "order_lifecycle"),
         "item_prices": stored(prices, "item_prices"),
         "shipment_outcome": stored(outcomes, "shipment_outcome"),
-        "customer_history": stored(history, "customer_history"),
-        "daily_totals": stored(O.daily_totals(facts, "order_date", "net_amount"), "daily_totals"),
+        "customer_history": stored(history["customers"], "customer_history"),
+        "product_history": stored(history["products"], "product_history"),
+        # Amounts are in the currency of the order's country: no sum over several of them.
+        "daily_totals": stored(
+            O.daily_totals(facts, "order_date", "net_amount", ["currency"]), "daily_totals"
+        ),
         **{f"quarantine_{t}": bad for t, (_, bad) in pieces.items()},
+        **{f"clean_{t}": good for t, good in clean.items()},
     }

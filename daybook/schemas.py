@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Fixed values of the data contract, in all of this module.
+
 _LOADED = "load_date date, loaded_at timestamp, source_event_at timestamp"
 
 TABLES = {
@@ -73,6 +75,7 @@ VERSIONED = {
 # Natural key of each table whose rows are written once.
 KEYS = {
     "marketing_campaigns": ["campaign_id"],
+    "calendar": ["date_day"],
     "exchange_rates": ["rate_date", "currency"],
     "order_items": ["order_item_id"],
     "payments": ["payment_id"],
@@ -80,7 +83,6 @@ KEYS = {
     "web_events": ["event_id"],
 }
 
-# Fixed values of the data contract.
 COUNTRIES = ["PL", "DE", "CZ", "SK", "LT"]
 CURRENCY_OF_COUNTRY = {"PL": "PLN", "DE": "EUR", "CZ": "CZK", "SK": "EUR", "LT": "EUR"}
 CITIES_OF_COUNTRY = {

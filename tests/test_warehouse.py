@@ -86,7 +86,7 @@ LANDED = {
         ],
         "order_items": [item(1), item(2), item(3, quantity=-1)],
         "payments": [payment("p1", 1), payment("p2", 2, "failed"), payment("p3", 3, amount="150.00"),
-                     payment("p5", 5)],  # of an order in quarantine
+                     payment("p5", 5, amount="90.00")],  # of an order in quarantine
     },
     D2: {
         "customers": [customer(1, "Praha", f"{D2} 09:00:00")],  # not a town of the list
@@ -129,7 +129,7 @@ def test_report_finds_every_fault(result):
         ("orders", "country_known"): 1,
         ("orders", "customer_id_exists"): 1,
         ("orders", "no_copies"): 1,
-        ("payments", "amount_of_order"): 1,
+        ("payments", "amount_of_order"): 2,
         ("refunds", "payment_id_exists"): 1,
     }
 
@@ -151,9 +151,13 @@ def test_order_facts(result):
 
 
 def test_other_tables(result):
-    assert [(str(r.order_date), r.order_count, str(r.daily_order_amount)) for r in result["daily_totals"].collect()] == [
-        (D1, 4, "400.00")
+    totals = [
+        (str(r.order_date), r.currency, r.order_count, str(r.daily_order_amount))
+        for r in result["daily_totals"].collect()
     ]
+    assert totals == [(D1, "CZK", 4, "400.00")]
+    prices = {(str(r.unit_price), r.is_current) for r in result["product_history"].collect()}
+    assert prices == {("17.00", False), ("20.00", True)}
     assert {r.order_item_id: str(r.list_price) for r in result["item_prices"].collect()} == {
         "o1_1": "17.00", "o2_1": "17.00",
     }
