@@ -178,6 +178,8 @@ LABELLED = (
     (12, 0.9, 60, 0.0, 10, 0.8, UNMARKED, 0),
     (25, 0.7, 10, 0.8, 4, 1.0, UNMARKED, 0),
     (6, 0.5, 70, 0.0, 3, 1.0, UNMARKED, 0),
+    (3, 1.0, 48, 0.0, 0, 0.0, UNMARKED, 0),
+    (5, 1.0, 70, 0.0, 30, 0.0, UNMARKED, 0),
     (5, 0.4, 4, 1.0, 0, 0.0, UNMARKED, 0),
     (4, 0.0, 3, 1.0, 2, 1.0, UNMARKED, 0),
     (7, 0.0, 2, 1.0, 1, 1.0, UNMARKED, 0),
