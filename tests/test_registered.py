@@ -39,3 +39,9 @@ def test_plan_has_no_pairs_of_everything_and_no_python(spark, small, name):
 
     plan = plan_of(registered.queries()[name](spark, small))
     assert [p for p in FORBIDDEN if p in plan] == []
+
+
+def test_orders_do_not_move_for_their_channel(spark, small):
+    from tests.conftest import plan_of
+
+    assert "hashpartitioning(campaign_id" not in plan_of(QUERIES["channel_fallback"](spark, small))
