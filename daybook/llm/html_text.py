@@ -186,11 +186,15 @@ LABELLED = (
     (5, 0.0, 2, 1.0, 0, 0.0, UNMARKED, 0),
     # pages without marks: headings and paragraphs
     (8, 0.0, 3, 1.0, 60, 0.0, UNMARKED, 1),
+    (3, 0.0, 2, 1.0, 48, 0.0, UNMARKED, 1),
+    (1, 0.0, 1, 1.0, 90, 0.0, UNMARKED, 1),
     (60, 0.0, 8, 0.0, 90, 0.02, UNMARKED, 1),
     (90, 0.02, 60, 0.0, 15, 0.0, UNMARKED, 1),
     (15, 0.0, 90, 0.02, 70, 0.1, UNMARKED, 1),
     (70, 0.1, 15, 0.0, 25, 0.7, UNMARKED, 1),
     (3, 0.0, 40, 0.0, 50, 0.0, UNMARKED, 1),
+    (48, 0.0, 48, 0.0, 3, 1.0, UNMARKED, 1),
+    (25, 0.0, 2, 1.0, 2, 1.0, UNMARKED, 1),
     (40, 0.3, 30, 0.0, 20, 0.0, UNMARKED, 1),
     (2, 0.0, 70, 0.0, 5, 0.4, UNMARKED, 1),
     (50, 0.0, 0, 0.0, 0, 0.0, UNMARKED, 1),
