@@ -10,31 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import langid, mixing, near_dups, packing, pii
 from daybook.llm.common import WORD_TOKENIZER
-from daybook.session import configure, shared_folder
+from daybook.llm.registry import prepared
+from daybook.session import shared_folder
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is neither unknown nor ambiguous."""
+    prepared(spark)
     return langid.accepted(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, by five words and a similarity of 0.8."""
+    prepared(spark)
     return near_dups.without_near_dups(docs, size=5, percent=80)
 
 
 def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
+    prepared(spark)
     return pii.redacted(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many tokens as there are, in the weights of the domain, language and source tree."""
+    prepared(spark)
     return mixing.mixed(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 4,096 tokens."""
+    prepared(spark)
     return packing.pack(docs, WORD_TOKENIZER)
 
 
@@ -52,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written as Parquet and read again."""
-    configure(spark)
+    prepared(spark)
     folder = shared_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:

@@ -129,7 +129,8 @@ def split(
 
 
 def _parent_keys(parent: DataFrame, parent_key: str, child_key: str) -> DataFrame:
-    return parent.select(F.col(parent_key).alias(child_key)).distinct()
+    """Keys that are only asked for, so several rows of one parent change nothing."""
+    return parent.select(F.col(parent_key).alias(child_key))
 
 
 def without_parent(

@@ -469,16 +469,21 @@ def bronze_orders(spark, folder):
 @query(
     "landing_manifest",
     """
-    SELECT 'bronze/landing/orders/load_date=' || strftime(date_trunc('month', o_orderdate), '%Y-%m-%d')
-               AS target_folder, TRUE AS has_files, TRUE AS has_bytes
-    FROM orders GROUP BY 1
+    WITH m AS (SELECT date_trunc('month', o_orderdate) AS month,
+                      octet_length(encode(o_orderkey || chr(10))) AS bytes FROM orders)
+    SELECT 'bronze/landing/orders/load_date=' || strftime(month, '%Y-%m-%d') AS target_folder,
+           COUNT(DISTINCT month) AS files, CAST(SUM(bytes) + length('o_orderkey') + 1 AS BIGINT) AS bytes
+    FROM m GROUP BY month
     """,
 )
 def landing_manifest(spark, folder):
-    root, _ = _landed_orders(spark, folder)
+    """Files and bytes per folder; each month is one file with a header and a key per line."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.trunc("o_orderdate", "MM").alias("load_date"))
+    root = shared_folder(spark, "landing")
+    orders.repartition("load_date").write.partitionBy("load_date").option("header", True).csv(f"{root}/orders")
     files = landing.manifest(spark, root, prefix="bronze/landing/")
     return files.groupBy(F.regexp_replace("target_path", "/[^/]*$", "").alias("target_folder")).agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("file_length") > 0).alias("has_bytes")
+        F.count(F.lit(1)).alias("files"), F.sum("file_length").alias("bytes")
     )
 
 

@@ -10,6 +10,7 @@ from daybook.operators import dims, orders, skew, state, tables
 from daybook.operators.events import checkout_gate, interval_pairs, next_in_interval
 from daybook.plans.daily import campaign_day
 from daybook.plans.registry import day_text, query, table, time_text
+from daybook.session import checkpointed
 
 # --- current state and history: the orders of a customer as versions of that customer ---
 
@@ -306,6 +307,8 @@ def currency_convert_daily(spark, folder):
             F.when(F.col("currency") == "PLN", base).otherwise(F.round(base * drift, 4)),
         )
     )
+    # Rates are a landed table; here they are computed, so they are written before they are counted and joined.
+    rates = checkpointed(rates)
     return orders.convert_from_pln(placed, ["net_amount"], rates=rates).select(
         "o_orderkey", "currency", F.col("net_amount").cast("double").alias("net_amount")
     )
@@ -410,7 +413,7 @@ def line_numbers_split(spark, folder):
     """
     WITH p AS (SELECT *, CASE event_type WHEN 'purchase' THEN 'captured' WHEN 'error' THEN 'failed'
                               WHEN 'click' THEN 'authorized' ELSE 'refunded' END AS payment_status
-               FROM events WHERE event_type <> 'signup')
+               FROM events)
     SELECT event_id, user_id, payment_status,
            CASE payment_status WHEN 'authorized' THEN 1 ELSE
                 CAST(SUM(CASE WHEN payment_status IN ('captured', 'failed') THEN 1 ELSE 0 END)
@@ -427,10 +430,8 @@ def attempt_numbers(spark, folder):
         .when(kind == "click", "authorized")
         .otherwise("refunded")
     )
-    payments = (
-        table(spark, folder, "events")
-        .filter(kind != "signup")
-        .select("event_id", "user_id", "ts", status.alias("payment_status"))
+    payments = table(spark, folder, "events").select(
+        "event_id", "user_id", "ts", status.alias("payment_status")
     )
     return orders.numbered_attempts(payments, "user_id", order=["ts", "event_id"]).drop("ts")
 
