@@ -30,8 +30,7 @@ SLOT_BITS = 16
 TRAIN_DOCS = 10_000  # of a language, for the n-gram counts
 CHECK_DOCS = 1_000  # of a language, for the reliability of the bits
 EVIDENCE = 0.15  # overlapping n-grams are no independent witnesses
-LARGEST = 30.0
-AMBIGUOUS = 0.6  # least share of the nearest codeword
+AMBIGUOUS = 0.5  # share of the nearest codeword up to which a text is not decided
 
 _HASH_RANGE = 1 << 30
 _MOST_LANGUAGES_HELD = 256
@@ -65,7 +64,7 @@ def evidence(text: str, weights: np.ndarray) -> np.ndarray:
         total = weights[here].sum(axis=0)
     else:
         total = np.bincount(here, minlength=len(weights)).astype(np.float32) @ weights
-    return np.clip(total * EVIDENCE, -LARGEST, LARGEST)
+    return total.astype(np.float64) * EVIDENCE
 
 
 def codewords(languages: int) -> np.ndarray:
@@ -108,7 +107,7 @@ class Model:
         share = np.exp(near - near.max())
         share /= share.sum()
         best = int(near.argmax())
-        return self.languages[best], float(share[best]), bool(share[best] < AMBIGUOUS)
+        return self.languages[best], float(share[best]), bool(share[best] <= AMBIGUOUS)
 
 
 def _per_language(rows: DataFrame, most: int) -> DataFrame:
