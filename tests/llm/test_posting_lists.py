@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from daybook.llm import posting_lists
 
 SCHEMA = "vec_id long, embedding array<float>, score string, shard int"
-IS_QUERY = F.col("vec_id") % 10 == 0
 
 
 def brute_force(vectors, k=10):
@@ -26,7 +25,7 @@ def brute_force(vectors, k=10):
 def search(spark, rows, k=10):
     table = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)
     found: dict = {}
-    got = posting_lists.nearest(table, IS_QUERY, k)
+    got = posting_lists.nearest(table, F.col("vec_id") % 10 == 0, k)
     assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "double")]
     for r in sorted(got.collect(), key=lambda r: (r.query_id, r.rank)):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
