@@ -35,6 +35,7 @@ CONTEXT_CHARS = 64  # in front of a token, where its two words are looked for
 LEAST_VALUES = 3  # distinct known identifiers that make a context a pattern
 LEAST_SCORE = 0.7  # of a pattern, and of a token that it makes known
 ROUNDS = 3
+COUNTED_FIRST = (64, 8)  # parts of the documents, in which occurrences are counted first
 BROADCAST_CONTEXTS = 200_000
 BROADCAST_SPANS = 20_000
 
@@ -170,13 +171,20 @@ def learned(docs: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]
     none = spark.createDataFrame([], "context string"), spark.createDataFrame([], "value string")
     edges = mentions.filter("context IS NOT NULL").groupBy("context", "value")
     edges = edges.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("known").cast("double")).alias("seed"))
-    usual = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values"))
-    usual = checkpointed(usual.filter(F.col("values") >= LEAST_VALUES).select("context"))
+    usual = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("mentions"))
+    usual = checkpointed(usual.filter(F.col("values") >= LEAST_VALUES).select("context", "mentions"))
+    # Where a part of the documents already has too many occurrences for a context to reach the least
+    # score, the rest cannot change that: common words go before all documents are counted.
+    for part in COUNTED_FIRST:
+        if usual.isEmpty():
+            return none
+        some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0)
+        seen = usual.join(_occurrences(some, usual.select("context")), "context", "left")
+        most = F.col("mentions") / (F.coalesce("total", F.lit(0)) + 1)
+        usual = checkpointed(seen.filter(most >= LEAST_SCORE).select("context", "mentions"))
     if usual.isEmpty():
         return none
-    total = _occurrences(docs, usual)
-    # A context that is rare among its words cannot reach the least score; leave its edges out early.
-    graph = edges.join(total, "context")
+    graph = edges.join(_occurrences(docs, usual.select("context")), "context")
     graph = checkpointed(graph.select("context", "value", "n", "total", "seed"))
     scored, before = graph.withColumn("score", F.col("seed")), None
     patterns = None
