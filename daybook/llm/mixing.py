@@ -20,9 +20,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.operators.skew import join_unique
 from daybook.session import checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
+BROADCAST_LEAVES = 200_000  # rows of about 100 bytes
 DIGITS = 4  # hex digits of the order key that are summed: 65,536 groups of a leaf
 
 _WIDE = "decimal(20,0)"
@@ -105,6 +107,16 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) ->
     return left.join(right, list(names), how)
 
 
+def _with_leaf(docs: DataFrame, leaves: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Documents with the row of their leaf, which is one of ``leaves`` that are written already.
+
+    Up to ``BROADCAST_LEAVES`` no document is moved; beyond that hot leaves are split.
+    """
+    if leaves.count() <= BROADCAST_LEAVES:
+        return docs.join(F.broadcast(leaves), list(names))
+    return join_unique(docs, leaves, names)
+
+
 def plan(
     docs: DataFrame, levels: Sequence[Level], total: int | None, max_epochs: int, seed: int
 ) -> DataFrame:
@@ -128,16 +140,15 @@ def plan(
     shared = shared.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * tokens)
     shared = checkpointed(shared)
 
-    # One leaf row per leaf, so this side does not grow with the documents of a leaf.
     open_leaves = shared.filter("rest > 0").select(*names, "epochs", "rest")
-    placed = docs.join(open_leaves, names).withColumn("place", order_key(seed))
+    placed = _with_leaf(docs, open_leaves, names).withColumn("place", order_key(seed))
     group = F.substring("place", 1, DIGITS)
     sums = placed.groupBy(*names, "rest", group.alias("digits")).agg(F.sum("n_tokens").alias("n"))
     running = Window.partitionBy(*names).orderBy("digits")
     sums = sums.withColumn("before", F.sum("n").over(running) - F.col("n"))
     hit = sums.filter("before < rest AND rest <= before + n")
     hit = checkpointed(hit.select(*names, "digits", (F.col("rest") - F.col("before")).alias("rest")))
-    near = placed.drop("rest").withColumn("digits", group).join(hit, [*names, "digits"])
+    near = _with_leaf(placed.drop("rest").withColumn("digits", group), hit, [*names, "digits"])
     blocks = near.groupBy(*names, "rest", "place").agg(F.sum("n_tokens").alias("n"))
     running = Window.partitionBy(*names).orderBy("place")
     blocks = blocks.withColumn("before", F.sum("n").over(running) - F.col("n"))
@@ -177,7 +188,7 @@ def mix(
     whole = ["row"] if "row" in docs.columns else []
     docs = docs.select("doc_id", *names, "n_tokens", *whole)
     leaves = plan(docs.drop("row"), levels, total, max_epochs, seed)
-    placed = docs.join(leaves.drop("documents"), names).withColumn("__place", order_key(seed))
+    placed = _with_leaf(docs, leaves.drop("documents"), names).withColumn("__place", order_key(seed))
     part = (
         F.when(F.col("cut").isNull(), 0)
         .when(F.col("__place") < F.col("cut"), F.col("n_tokens"))

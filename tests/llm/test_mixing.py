@@ -45,8 +45,9 @@ def test_budgets_add_up_and_never_exceed_a_leaf(spark):
         assert all(0 <= r.budget <= 3 * r.tokens for r in got)
 
 
-@pytest.mark.parametrize("total, epochs", [(None, 4), (37, 4), (5000, 4), (10**6, 2)])
-def test_each_leaf_gives_its_budget_to_the_token(spark, total, epochs):
+@pytest.mark.parametrize("total, epochs, most", [(None, 4, 9), (37, 4, 9), (5000, 4, 0), (10**6, 2, 9)])
+def test_each_leaf_gives_its_budget_to_the_token(spark, monkeypatch, total, epochs, most):
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", most)
     rng = random.Random(8)
     rows = [(k, rng.choice("ab"), rng.choice(["x", "x", "x", "y", "z"]), rng.randrange(0, 30)) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, domain string, lang string, n_tokens long")
