@@ -160,6 +160,12 @@ LABELLED = (
     (200, 0.05, 8, 0.0, 150, 0.0, BESIDE, 0),
     (30, 0.5, 120, 0.0, 5, 1.0, BESIDE, 0),
     (3, 0.0, 90, 0.0, 40, 0.0, BESIDE, 0),
+    (5, 0.0, 2, 1.0, 60, 0.0, BESIDE, 0),
+    (7, 0.0, 40, 0.0, 0, 0.0, BESIDE, 0),
+    (9, 0.0, 30, 0.0, 3, 1.0, BESIDE, 0),
+    (60, 0.0, 3, 1.0, 2, 1.0, BESIDE, 0),
+    (25, 0.1, 1, 1.0, 0, 0.0, BESIDE, 0),
+    (2, 0.0, 1, 1.0, 30, 0.0, BESIDE, 0),
     # headings and paragraphs of articles, long and short, with and without links
     (9, 0.0, 8, 0.0, 120, 0.0, ARTICLE, 1),
     (1, 0.0, 90, 0.0, 70, 0.0, ARTICLE, 1),
@@ -171,6 +177,31 @@ LABELLED = (
     (20, 0.6, 4, 0.0, 12, 0.3, ARTICLE, 1),
     (2, 0.0, 1, 1.0, 0, 0.0, ARTICLE, 1),
     (80, 0.0, 0, 0.0, 0, 0.0, ARTICLE, 1),
+    # the same right after a menu or a linked heading
+    (4, 0.0, 1, 1.0, 70, 0.0, ARTICLE, 1),
+    (5, 0.0, 3, 1.0, 48, 0.0, ARTICLE, 1),
+    (6, 0.0, 2, 1.0, 3, 0.0, ARTICLE, 1),
+    (7, 0.0, 1, 1.0, 90, 0.02, ARTICLE, 1),
+    (5, 0.2, 6, 1.0, 60, 0.0, ARTICLE, 1),
+    (4, 0.0, 3, 1.0, 2, 1.0, ARTICLE, 1),
+    (7, 0.0, 2, 1.0, 1, 1.0, ARTICLE, 1),
+    (5, 0.0, 2, 1.0, 0, 0.0, ARTICLE, 1),
+    (5, 0.4, 4, 1.0, 0, 0.0, ARTICLE, 1),
+    (12, 1.0, 40, 0.0, 30, 0.0, ARTICLE, 1),
+    (30, 0.9, 60, 0.0, 2, 1.0, ARTICLE, 1),
+    (8, 0.7, 3, 1.0, 0, 0.0, ARTICLE, 1),
+    (50, 0.0, 2, 1.0, 40, 0.0, ARTICLE, 1),
+    (60, 0.0, 5, 1.0, 3, 1.0, ARTICLE, 1),
+    (3, 0.6, 1, 1.0, 20, 0.0, ARTICLE, 1),
+    (90, 0.0, 30, 0.0, 40, 1.0, ARTICLE, 1),
+    (15, 0.5, 9, 0.5, 60, 0.6, ARTICLE, 1),
+    (5, 0.0, 40, 0.0, 8, 1.0, ARTICLE, 1),
+    (6, 0.0, 2, 1.0, 12, 1.0, ARTICLE, 1),
+    (4, 0.0, 3, 1.0, 7, 0.9, ARTICLE, 1),
+    (2, 0.0, 6, 1.0, 20, 0.8, ARTICLE, 1),
+    (6, 0.0, 4, 1.0, 20, 0.8, ARTICLE, 1),
+    (5, 0.0, 4, 1.0, 2, 1.0, ARTICLE, 1),
+    (3, 0.0, 50, 0.0, 6, 1.0, ARTICLE, 1),
     # pages without marks: menus and link lists
     (1, 1.0, 0, 0.0, 1, 1.0, UNMARKED, 0),
     (2, 1.0, 1, 1.0, 1, 1.0, UNMARKED, 0),
@@ -184,10 +215,63 @@ LABELLED = (
     (4, 0.0, 3, 1.0, 2, 1.0, UNMARKED, 0),
     (7, 0.0, 2, 1.0, 1, 1.0, UNMARKED, 0),
     (5, 0.0, 2, 1.0, 0, 0.0, UNMARKED, 0),
+    (6, 0.0, 1, 1.0, 0, 0.0, UNMARKED, 0),
+    (4, 0.0, 2, 1.0, 0, 0.0, UNMARKED, 0),
+    (7, 0.0, 1, 1.0, 0, 0.0, UNMARKED, 0),
+    (7, 0.1, 6, 1.0, 8, 1.0, UNMARKED, 0),
+    (4, 0.0, 8, 0.9, 3, 1.0, UNMARKED, 0),
+    (5, 0.0, 1, 1.0, 45, 0.6, UNMARKED, 0),
+    (6, 0.0, 3, 1.0, 60, 0.9, UNMARKED, 0),
+    (4, 0.0, 3, 1.0, 12, 1.0, UNMARKED, 0),
+    (5, 0.0, 2, 1.0, 6, 0.9, UNMARKED, 0),
+    (6, 0.0, 4, 1.0, 20, 0.8, UNMARKED, 0),
+    (8, 1.0, 2, 1.0, 60, 0.0, UNMARKED, 0),
+    (15, 0.8, 40, 0.0, 50, 0.0, UNMARKED, 0),
+    (30, 0.6, 70, 0.0, 45, 0.1, UNMARKED, 0),
+    (10, 0.5, 5, 0.0, 12, 0.0, UNMARKED, 0),
+    (40, 0.9, 30, 0.0, 0, 0.0, UNMARKED, 0),
     # pages without marks: headings and paragraphs
     (8, 0.0, 3, 1.0, 60, 0.0, UNMARKED, 1),
     (3, 0.0, 2, 1.0, 48, 0.0, UNMARKED, 1),
     (1, 0.0, 1, 1.0, 90, 0.0, UNMARKED, 1),
+    (4, 0.0, 1, 1.0, 70, 0.0, UNMARKED, 1),
+    (5, 0.0, 3, 1.0, 48, 0.0, UNMARKED, 1),
+    (6, 0.0, 2, 1.0, 3, 0.0, UNMARKED, 1),
+    (7, 0.0, 1, 1.0, 90, 0.02, UNMARKED, 1),
+    (5, 0.2, 6, 1.0, 60, 0.0, UNMARKED, 1),
+    (5, 0.0, 2, 1.0, 1, 0.0, UNMARKED, 1),
+    (7, 0.0, 1, 1.0, 2, 0.0, UNMARKED, 1),
+    (4, 0.0, 4, 1.0, 5, 0.1, UNMARKED, 1),
+    (6, 0.0, 2, 1.0, 8, 0.0, UNMARKED, 1),
+    (5, 0.0, 1, 1.0, 12, 0.2, UNMARKED, 1),
+    (7, 0.0, 3, 1.0, 20, 0.0, UNMARKED, 1),
+    # the last paragraphs of a text, with menus or nothing after them, and short ones between links
+    (4, 0.0, 60, 0.0, 2, 1.0, UNMARKED, 1),
+    (6, 0.0, 40, 0.0, 1, 1.0, UNMARKED, 1),
+    (12, 0.0, 8, 0.0, 3, 1.0, UNMARKED, 1),
+    (18, 0.1, 50, 0.1, 5, 0.9, UNMARKED, 1),
+    (5, 0.0, 70, 0.0, 0, 0.0, UNMARKED, 1),
+    (9, 0.0, 30, 0.2, 0, 0.0, UNMARKED, 1),
+    (30, 0.0, 45, 0.0, 0, 0.0, UNMARKED, 1),
+    (60, 0.1, 9, 0.0, 2, 1.0, UNMARKED, 1),
+    (2, 0.0, 1, 1.0, 2, 1.0, UNMARKED, 1),
+    (3, 0.0, 2, 1.0, 0, 0.0, UNMARKED, 1),
+    (8, 0.0, 2, 1.0, 3, 1.0, UNMARKED, 1),
+    (8, 0.0, 2, 1.0, 0, 0.0, UNMARKED, 1),
+    (10, 0.0, 1, 1.0, 0, 0.0, UNMARKED, 1),
+    (14, 0.0, 2, 1.0, 1, 1.0, UNMARKED, 1),
+    (40, 0.0, 3, 1.0, 0, 0.0, UNMARKED, 1),
+    (5, 0.0, 40, 0.0, 8, 1.0, UNMARKED, 1),
+    (7, 0.0, 12, 0.0, 20, 0.8, UNMARKED, 1),
+    (4, 0.0, 5, 0.1, 6, 1.0, UNMARKED, 1),
+    (3, 0.0, 50, 0.0, 6, 1.0, UNMARKED, 1),
+    (2, 0.0, 3, 1.0, 12, 1.0, UNMARKED, 1),
+    (3, 0.0, 5, 1.0, 7, 0.9, UNMARKED, 1),
+    (1, 0.0, 1, 1.0, 20, 0.8, UNMARKED, 1),
+    (6, 0.0, 4, 0.0, 2, 1.0, UNMARKED, 1),
+    (5, 0.0, 4, 0.0, 0, 0.0, UNMARKED, 1),
+    (7, 0.0, 2, 0.0, 1, 1.0, UNMARKED, 1),
+    (4, 0.0, 3, 0.1, 0, 0.0, UNMARKED, 1),
     (60, 0.0, 8, 0.0, 90, 0.02, UNMARKED, 1),
     (90, 0.02, 60, 0.0, 15, 0.0, UNMARKED, 1),
     (15, 0.0, 90, 0.02, 70, 0.1, UNMARKED, 1),
@@ -205,7 +289,7 @@ LABELLED = (
 Tree = tuple | int
 
 
-def grow(rows: Sequence[tuple], depth: int = 6) -> Tree:
+def grow(rows: Sequence[tuple], depth: int = 8) -> Tree:
     """Decision tree over rows of features and, at the end, 0 or 1, by least Gini impurity."""
     positive = sum(row[-1] for row in rows)
     answer = int(2 * positive >= len(rows))

@@ -50,6 +50,24 @@ def test_pages_without_marks():
     assert text(page) == f"Heading of it\n{want}\n{want}"
 
 
+def test_headings_right_after_a_menu():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    for words in range(1, 13):
+        head = " ".join(["word"] * words)
+        rest = f"<h1>{head}</h1><p>{body}</p><h2><a href=z>A linked heading</a></h2><p>{head}</p><p>{body}</p>"
+        marked = f"<nav><a href=x>Home</a></nav><article>{rest}<h2><a href=z>More</a></h2><p>{head}</p></article>"
+        assert text(marked) == "\n".join([head, body, "A linked heading", head, body, "More", head])
+        unmarked = f"<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul>{rest}"
+        assert text(unmarked) == "\n".join([head, body, head, body])
+
+
+def test_remains_of_menus_have_links_after_them():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    menu = "<p><a href=x>Home</a></p><p>You are reading this now</p><p><a href=y>About us</a></p>"
+    assert text(f"{menu}<h1>Five words make this title</h1><p>{body}</p>") == f"Five words make this title\n{body}"
+    assert text(f"<p>{body}</p><p>Last of the text.</p>{menu}") == f"{body}\nLast of the text."
+
+
 def test_marks():
     blocks = html_text.blocks('<main><p>a<nav><p>b</nav><p>c</main><p>d <a href=x>e</a>')
     assert [(b[0], b[1]) for b in blocks] == [("a", ARTICLE), ("b", BESIDE), ("c", ARTICLE), ("d e", UNMARKED)]
