@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names of HTML.
-RAW = frozenset("script style noscript template textarea title svg math iframe object select button".split())
+RAW = frozenset("script style textarea title".split())  # text up to the end tag
+SKIPPED = frozenset("noscript template svg math iframe object select button".split())  # elements that may nest
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
@@ -35,8 +37,16 @@ BESIDE_WORDS = frozenset(
     "toolbar topbar widget".split()
 )
 ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
+COMMENT_WORDS = frozenset("comment commentlist comments disqus replies reply respond".split())
+# Words that a name may have next to those above; any other word makes it another name (has-sidebar, share-of-market).
+PLAIN_WORDS = frozenset(
+    "area author bar block body bottom box button buttons center col column container cta group head header holder "
+    "icon icons inner item items js left link links list meta module outer page panel primary right row secondary "
+    "section site slot sticky text title top unit user wrap wrapper global".split()
+)
 
 ARTICLE, BESIDE, UNMARKED = 1, -1, 0
+OUTSIDE, FORM = -2, 2  # beside the article whatever is in it; in a form, which may hold the whole page
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -46,27 +56,48 @@ _MARKUP = re.compile(
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SKIPPED_TAGS = {name: re.compile(rf"<(/?){name}(?=[\s/>])([^>]*)>", re.I) for name in SKIPPED}
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
 def _mark(tag: str, attributes: str, inside_article: bool) -> int:
     """What an element says about the text in it."""
+    if tag in ("footer", "aside"):
+        return OUTSIDE
+    if tag == "form":
+        return BESIDE if inside_article else FORM
     if tag in BESIDE_TAGS or (tag == "header" and not inside_article):
         return BESIDE
-    if tag in ARTICLE_TAGS:
-        return ARTICLE
+    usual = ARTICLE if tag in ARTICLE_TAGS else UNMARKED
     if tag in ("html", "body") or not attributes:
-        return UNMARKED
+        return usual
     article = False
     for found in _NAMED.finditer(attributes):
+        if tag in HEADINGS and found[1].lower() == "id":
+            continue
         for name in (found[2] or found[3] or found[4] or "").split():
             words = [w.lower() for w in _WORDS.findall(name)]
             if words and (words[-1] in BESIDE_WORDS or words[0] in BESIDE_WORDS):
-                # Parts of an article often carry its name: article-header, post-header.
-                if not (words[-1] == "header" and inside_article):
-                    return BESIDE
+                if all(w in BESIDE_WORDS or w in ARTICLE_WORDS or w in PLAIN_WORDS for w in words):
+                    if words[0] in COMMENT_WORDS or words[-1] in COMMENT_WORDS:
+                        return OUTSIDE
+                    # Parts of an article often carry its name: article-header, post-header.
+                    if not usual and not (words[-1] == "header" and inside_article):
+                        return BESIDE
             article = article or bool(words and words[-1] in ARTICLE_WORDS)
-    return ARTICLE if article else UNMARKED
+    return ARTICLE if article else usual
+
+
+def _ends_of(page: str, tag: str) -> dict[int, int]:
+    """Where each element of a name that is closed ends, by where its start tag ends."""
+    ends, opened = {}, []
+    for found in _SKIPPED_TAGS[tag].finditer(page):
+        if not found[1]:
+            if not found[2].endswith("/"):
+                opened.append(found.end())
+        elif opened:
+            ends[opened.pop()] = found.end()
+    return ends
 
 
 def blocks(page: str) -> list[tuple[str, int, float]]:
@@ -78,6 +109,7 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
     around: list[tuple[str, int]] = []  # open block elements with the mark that holds inside them
     text: list[str] = []
     linked: list[str] = []
+    ends: dict[str, dict[int, int]] = {}
     in_link = False
 
     def close_block() -> None:
@@ -119,12 +151,18 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
             if not closing and not attributes.endswith("/"):
                 over = _RAW_END[tag].search(page, at)
                 at = over.end() if over else end
+        elif tag in SKIPPED:
+            if not closing:
+                if tag not in ends:
+                    ends[tag] = _ends_of(page, tag)
+                at = ends[tag].get(at, at)
         elif tag == "a":
             in_link = not closing
         elif tag in INLINE:
-            if not closing and attributes and _mark(tag, attributes, True) == BESIDE:
+            if not closing and attributes and _mark(tag, attributes, True) in (BESIDE, OUTSIDE):
                 close_block()
-                around.append((tag, BESIDE))
+                held = around[-1][1] if around else UNMARKED
+                around.append((tag, OUTSIDE if held == OUTSIDE else BESIDE))
             elif closing and around and around[-1][0] == tag:
                 close_block()
                 around.pop()
@@ -142,9 +180,14 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
                     around.pop()
                 held = around[-1][1] if around else UNMARKED
                 mark = _mark(tag, attributes, held == ARTICLE)
-                around.append((tag, mark or held))
+                around.append((tag, OUTSIDE if held == OUTSIDE else mark or held))
     close_block()
-    return found
+    # A form with most of the words of a page without an article is the page.
+    sizes = [(mark, text.count(" ") + 1) for text, mark, _ in found]
+    inside = sum(n for mark, n in sizes if mark == FORM)
+    whole = all(mark != ARTICLE for mark, _ in sizes) and 2 * inside > sum(n for _, n in sizes)
+    marks = {FORM: UNMARKED if whole else BESIDE, OUTSIDE: BESIDE}
+    return [(text, marks.get(mark, mark), density) for text, mark, density in found]
 
 
 # words, density, words before, density before, words after, density after, mark, is main text

@@ -68,6 +68,32 @@ def test_remains_of_menus_have_links_after_them():
     assert text(f"<p>{body}</p><p>Last of the text.</p>{menu}") == f"{body}\nLast of the text."
 
 
+def test_names_that_only_contain_a_word_mark_nothing():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    for name in ("has-sidebar", "no-sidebar", "layout has-sidebar", "share-of-market"):
+        assert text(f"<div class='{name}'><h1>Title</h1><p>{body}</p></div>") == f"Title\n{body}"
+    assert text(f"<article><h2 id='privacy'>Privacy</h2><p id=share-of-market>{body}</p></article>") == f"Privacy\n{body}"
+    assert text(f"<form id=aspnet><nav><a href=x>No</a></nav><h1>Title</h1><p>{body}</p></form>") == f"Title\n{body}"
+    assert text(f"<form><p>Search this site</p></form><p>{body}</p>") == body
+    assert text(f"<p>{body}</p><div class='site-footer'><p>{body}</p></div>") == body
+
+
+def test_articles_inside_comments_are_comments():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    for opened, closed in (("<div id=comments>", "</div>"), ("<footer>", "</footer>"), ("<aside>", "</aside>")):
+        page = f"<article><p>{body}</p></article>{opened}<article class='comment-body'><div class=content>No {body}</div>"
+        assert text(f"{page}</article>{closed}<main><p>More</p></main>") == f"{body}\nMore"
+    assert text(f"<article><p>{body}</p></article><article class='comment-body'><p>No</p></article>") == body
+
+
+def test_skipped_elements_nest_and_may_be_left_open():
+    assert text("<article><p>One<object>no<object>no</object>no</object> two</p></article>") == "One two"
+    for tag in ("button", "select", "object", "svg", "math", "template", "noscript"):
+        assert text(f"<article><p>One</p><{tag}><p>Two</p></article>") == "One\nTwo"
+        assert text(f"<article><p>One</p><{tag}>no</{tag}><p>Two</p></article>") == "One\nTwo"
+    assert text("<article><p>One " + "<button>x " * 20_000 + "</button></article>") == "One" + " x" * 19_999
+
+
 def test_marks():
     blocks = html_text.blocks('<main><p>a<nav><p>b</nav><p>c</main><p>d <a href=x>e</a>')
     assert [(b[0], b[1]) for b in blocks] == [("a", ARTICLE), ("b", BESIDE), ("c", ARTICLE), ("d e", UNMARKED)]
