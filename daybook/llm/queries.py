@@ -8,15 +8,18 @@ from daybook.llm import (
     html_text,
     langid,
     licenses,
+    merkle,
     mixing,
     near_dups,
     packing,
+    pieces,
     pii,
     posting_lists,
     quality,
+    term_stages,
     weighted_sampling,
 )
-from daybook.llm.common import WORD_TOKENIZER
+from daybook.llm.common import PIECE_MODEL, WORD_TOKENIZER
 from daybook.llm.registry import QUERIES, SQL, query  # noqa: F401
 from daybook.plans.registry import table
 from daybook.session import checkpointed
@@ -73,3 +76,18 @@ def op2_license_digests(spark, folder):
 def op7_site_quality(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality.rated(docs, labels, host=F.col("source"), path=F.col("lang"))
+
+
+@query("op11_term_stages", term_stages.ranked_sql())
+def op11_term_stages(spark, folder):
+    return term_stages.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_merkle_blocks", merkle.manifest_sql())
+def op12_merkle_blocks(spark, folder):
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+@query("op13_piece_agenda")
+def op13_piece_agenda(spark, folder):
+    return pieces.digests(table(spark, folder, "documents"), PIECE_MODEL)
