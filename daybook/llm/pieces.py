@@ -6,8 +6,8 @@ pair is merged, which puts its new neighbours on the agenda, until the agenda is
 that are no piece then become their bytes.
 
 No piece of such a vocabulary goes on past the end of a word, so a text falls into words that are merged on
-their own, and a task merges each distinct word once. Each Arrow batch is checked against the
-sentencepiece library, whole text by whole text; the library also decodes the ids.
+their own, and a task merges each distinct word once. The new words of an Arrow batch are checked
+against the sentencepiece library together; the library also decodes the ids of each whole text.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"  # stands for a space in pieces
 CACHED_CHARS = 5_000_000  # of words merged before, per task; about 150 MB
-LONGEST_CACHED = 200  # characters; longer words are merged each time they occur
-CHECKED_CHARS = 1 << 20  # of texts that go to the library in one call
+SHORT = 32  # characters; the agenda of a shorter word is a list, that of a longer one a heap
+PORTION_CHARS = 1 << 20  # of texts that are worked on together
 
 _COLUMNS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
@@ -42,29 +42,57 @@ class Agenda:
         special = (self.library.is_control, self.library.is_unknown, self.library.is_byte)
         ordinary = [k for k in numbers if not any(kind(k) for kind in special)]
         self.ids = {name[k]: k for k in ordinary}
-        self.scores = {name[k]: self.library.get_score(k) for k in ordinary}
+        scores = {name[k]: self.library.get_score(k) for k in ordinary}
+        # The place of a piece's score among all scores, best first; equal scores share a place.
+        place = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.places = {piece: place[score] for piece, score in scores.items()}
+        self.never = len(place)
         bytes_ = [k for k in numbers if self.library.is_byte(k)]
         self.bytes = {int(name[k][1:-1], 16): k for k in bytes_}
         self.unknown = self.library.unk_id()
-        longer = [piece for piece in self.ids if len(piece) > 1]
-        inner = any(SPACE in piece.lstrip(SPACE) for piece in longer)
-        lone = "" if any("\n" in piece for piece in longer) else "\n"
+        self.joined = {piece[k : k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         # Where a word may end: before a run of spaces, and around a character that never merges.
-        self.words = None if inner else re.compile(f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+|\n")
-        self.lone = lone
-        self.known: dict[str, tuple[int, ...]] = {}
+        inner = any(SPACE in pair[1:] and pair[0] != SPACE for pair in self.joined)
+        self.lone = "" if any("\n" in pair for pair in self.joined) else "\n"
+        words = f"{SPACE}+[^{SPACE}{self.lone}]*|[^{SPACE}{self.lone}]+|\n"
+        self.words = None if inner else re.compile(words)
+        self.line = self.library.encode("\n")
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, tuple[int, ...]] = {"": ()}
+        self.differing: set[str] = set()
         self.held = 0
 
     def merged(self, text: str) -> list[str]:
         """The symbols of a text that no further merge joins."""
-        symbols, scores = list(text), self.scores
+        return self.merged_short(text) if len(text) <= SHORT else self.merged_long(text)
+
+    def merged_short(self, text: str) -> list[str]:
+        symbols, get, never = list(text), self.places.get, self.never
+        agenda = [get(one + two, never) for one, two in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == never:
+                break
+            k = agenda.index(best)  # the first of equals
+            symbols[k] += symbols.pop(k + 1)
+            del agenda[k]
+            if k < len(agenda):
+                agenda[k] = get(symbols[k] + symbols[k + 1], never)
+            if k:
+                agenda[k - 1] = get(symbols[k - 1] + symbols[k], never)
+        return symbols
+
+    def merged_long(self, text: str) -> list[str]:
+        symbols, places = list(text), self.places
         last = len(symbols) - 1
         before, after = list(range(-1, last)), [*range(1, last + 1), -1]
         agenda = []
         for left in range(last):
             piece = symbols[left] + symbols[left + 1]
-            if piece in scores:
-                agenda.append((-scores[piece], left, left + 1, piece))
+            if piece in places:
+                agenda.append((places[piece], left, left + 1, piece))
         heapify(agenda)
         while agenda:
             _, left, right, piece = heappop(agenda)
@@ -79,14 +107,17 @@ class Agenda:
             for one, two in ((before[left], left), (left, following)):
                 if one >= 0 and two >= 0:
                     piece = symbols[one] + symbols[two]
-                    if piece in scores:
-                        heappush(agenda, (-scores[piece], one, two, piece))
+                    if piece in places:
+                        heappush(agenda, (places[piece], one, two, piece))
         return [symbol for symbol in symbols if symbol]
 
     def ids_of_word(self, word: str) -> tuple[int, ...]:
+        symbols = self.merged(word)
+        ids = tuple(map(self.ids.get, symbols))
+        if None not in ids:
+            return ids
         found: list[int] = []
-        for symbol in self.merged(word):
-            number = self.ids.get(symbol)
+        for symbol, number in zip(symbols, ids):
             if number is not None:
                 found.append(number)
             elif self.bytes:
@@ -95,8 +126,9 @@ class Agenda:
                 found.append(self.unknown)
         return tuple(found)
 
-    def split(self, normal: str) -> list[str]:
-        """The words of a normalised text; empty ones mean nothing."""
+    def split(self, text: str) -> list[str]:
+        """The words of a text once it is normalised; empty ones mean nothing."""
+        normal = self.library.normalize(text)
         if self.words is None:
             return [normal]
         if SPACE + SPACE in normal or " " in normal:
@@ -105,32 +137,50 @@ class Agenda:
             normal = normal.replace("\n", " \n ")
         return normal.replace(SPACE, " " + SPACE).split(" ")
 
-    def __call__(self, text: str) -> list[int]:
-        words = self.split(self.library.normalize(text))
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            for k, ids in enumerate(found):
-                if ids is None:
-                    word = words[k]
-                    ids = found[k] = known.get(word) or self.ids_of_word(word)
-                    if len(word) <= LONGEST_CACHED and word not in known:
-                        self.held += len(word)
-                        known[word] = ids
-            if self.held > CACHED_CHARS:
-                known.clear()
-                self.held = 0
-        return list(chain.from_iterable(found))
+    def learn(self, words: set[str]) -> None:
+        """Merge new words and note those that the library encodes otherwise."""
+        if self.held > CACHED_CHARS:
+            self.forget()
+        new = [word for word in words if word not in self.known]
+        for word in new:
+            # A last character that no piece joins to the one before, like a full stop, is a word of its own.
+            if len(word) > 1 and word[-2:] not in self.joined:
+                stem, end = word[:-1], word[-1]
+                for part in (stem, end):
+                    if part not in self.known:
+                        self.known[part] = self.ids_of_word(part)
+                        self.held += len(part)
+                self.known[word] = self.known[stem] + self.known[end]
+            else:
+                self.known[word] = self.ids_of_word(word)
+            self.held += len(word)
+        # The library puts a space before a text, so words stand after the end of a line here.
+        alone = [word[1:] if self.words is None else "\n" + word for word in new]
+        start = 0 if self.words is None else len(self.line)
+        for word, ids in zip(new, self.library.encode(alone, num_threads=1)):
+            if tuple(ids[start:]) != self.known[word]:
+                self.differing.add(word)
+
+    def __call__(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """The ids of texts, and for each whether all its words were encoded as the library does."""
+        split = [self.split(text) for text in texts]
+        self.learn(set().union(*split))
+        ids = [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in split]
+        agree = [self.differing.isdisjoint(words) for words in split]
+        for k, same in enumerate(agree):
+            if not same:
+                ids[k] = self.library.encode(texts[k])
+        return ids, agree
 
 
 def _portions(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in runs of about ``CHECKED_CHARS`` characters."""
+    """The texts in runs of about ``PORTION_CHARS`` characters."""
     run: list[str] = []
     chars = 0
     for text in texts:
         run.append(text)
         chars += len(text)
-        if chars >= CHECKED_CHARS:
+        if chars >= PORTION_CHARS:
             yield run
             run, chars = [], 0
     if run:
@@ -140,10 +190,10 @@ def _portions(texts: list[str]) -> Iterator[list[str]]:
 def encoded(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids of each whole text as an array, its decoded text, and whether the library agrees.
 
-    The ids are those of the sentencepiece library without begin and end ids. Where its ids of a text
-    are others, they stand and ``agrees`` is false; that is no case of a vocabulary of merges without
-    unused or user-defined pieces. NULL counts as empty and has no ids. Rows with equal or NULL
-    ids are rows of their own; columns other than doc_id and text are left out.
+    The ids are those of the sentencepiece library without begin and end ids. Where it encodes a word of a
+    text otherwise than the agenda, its ids of the whole text stand and ``agrees`` is false; a vocabulary of
+    merges without unused or user-defined pieces gives no such case. NULL counts as empty and has no
+    ids. Rows with equal or NULL ids are rows of their own; columns other than doc_id and text are left out.
     """
     schema = "doc_id long, ids array<int>, decoded string, agrees boolean"
     return _batches(docs, model_path, schema, lambda ids, decoded, agrees, names: (ids, decoded, agrees))
@@ -174,11 +224,10 @@ def _batches(docs: DataFrame, model_path: str, schema: str, row) -> DataFrame:
         for batch in batches:
             rows = []
             for run in _portions([text.as_py() or "" for text in batch.column(1)]):
-                found = [agenda(text) for text in run]
-                wanted = agenda.library.encode(run, num_threads=1)
-                decoded = agenda.library.decode(wanted, num_threads=1)
-                for own, theirs, text in zip(found, wanted, decoded):
-                    rows.append(row(theirs, text, own == theirs, names))
+                found, agree = agenda(run)
+                decoded = agenda.library.decode(found, num_threads=1)
+                for ids, text, same in zip(found, decoded, agree):
+                    rows.append(row(ids, text, same, names))
             columns = [
                 pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)
             ]
