@@ -12,6 +12,7 @@ against the sentencepiece library together; the library also decodes the ids of
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -221,16 +222,20 @@ def _batches(docs: DataFrame, model_path: str, schema: str, row) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         agenda = Agenda(model_path)
         names = [str(k) for k in range(agenda.library.get_piece_size())]
-        for batch in batches:
-            rows = []
-            for run in _portions([text.as_py() or "" for text in batch.column(1)]):
-                found, agree = agenda(run)
-                decoded = agenda.library.decode(found, num_threads=1)
-                for ids, text, same in zip(found, decoded, agree):
-                    rows.append(row(ids, text, same, names))
-            columns = [
-                pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *[n for n, _ in fields]])
+        # Nothing here refers to itself, and the collector would walk all words again and again.
+        gc.disable()
+        try:
+            for batch in batches:
+                rows = []
+                for run in _portions([text.as_py() or "" for text in batch.column(1)]):
+                    found, agree = agenda(run)
+                    decoded = agenda.library.decode(found, num_threads=1)
+                    for ids, text, same in zip(found, decoded, agree):
+                        rows.append(row(ids, text, same, names))
+                made = [pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)]
+                columns = ["doc_id", *[name for name, _ in fields]]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *made], columns)
+        finally:
+            gc.enable()
 
     return texts.mapInArrow(encode, schema)
