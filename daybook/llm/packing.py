@@ -9,6 +9,7 @@ bins per bucket, out of the thousands a bucket fills, and nothing is collected b
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -126,19 +127,24 @@ def token_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end, row = WordIds(tokenizer_path), end_id.to_bytes(4, "little"), 0
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(ids_of(text.as_py() or "") + end)
-                for piece, start in enumerate(range(0, len(ids) // 4, limit)):
-                    part = ids[start * 4 : (start + limit) * 4]
-                    values = (doc_id, piece, start, len(part) // 4, zlib.crc32(part), row)
-                    for column, value in zip(out, values):
-                        column.append(value)
-                    row += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "__row"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+        # Nothing here refers to itself, and the collector would walk all words again and again.
+        gc.disable()
+        try:
+            for batch in batches:
+                out: list[list] = [[], [], [], [], [], []]
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    ids = memoryview(ids_of(text.as_py() or "") + end)
+                    for piece, start in enumerate(range(0, len(ids) // 4, limit)):
+                        part = ids[start * 4 : (start + limit) * 4]
+                        values = (doc_id, piece, start, len(part) // 4, zlib.crc32(part), row)
+                        for column, value in zip(out, values):
+                            column.append(value)
+                        row += 1
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32", "__row"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+        finally:
+            gc.enable()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(pieces, _PIECES)
