@@ -88,27 +88,32 @@ def node_of(found: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node and band keys of each row; node is NULL where the set is empty."""
+    """doc_id, text_hash, n_shingles, node and band keys of each row; node is NULL where the set is empty."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         circulant = Circulant()
         for batch in batches:
             sizes, nodes, keys = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 found = shingles(text.as_py(), size)
                 sizes.append(len(found))
                 nodes.append(node_of(found) if len(found) else None)
                 keys.append(band_keys(circulant(found)) if len(found) else None)
             columns = [
                 batch.column(0),
+                batch.column(1),
                 pa.array(sizes, pa.int64()),
                 pa.array(nodes, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(sign, "doc_id long, n_shingles long, node long, bands array<long>")
+    texts = docs.select(F.col("doc_id").cast("long"), _text_hash(), F.col("text").cast("string"))
+    return texts.mapInArrow(sign, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string")).alias("text_hash")
 
 
 def _texts_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -276,15 +281,8 @@ def _joined_by_blocks(
     )
 
 
-def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of docs.
-
-    Documents are linked when their sets of ``size``-word shingles have a Jaccard similarity of
-    ``percent`` or more. ``component_id`` is the least doc_id that can be reached, ``kept`` whether it is
-    the row's own. A NULL, empty or wordless text is linked with nothing. A row without doc_id is
-    linked with nothing and kept, its component_id is NULL. Rows with the same text and doc_id give equal
-    rows. Columns other than doc_id and text are left out; an empty table gives no rows.
-    """
+def _nodes(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows of docs, and node, rep (the least doc_id that has it) and label of each node."""
     signed = checkpointed(signatures(docs, size))
     named = signed.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     reps = named.groupBy("node").agg(F.min("doc_id").alias("rep"))
@@ -319,6 +317,19 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     labels = components(ends.union(more))
 
     own = reps.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+    return signed, own
+
+
+def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of docs.
+
+    Documents are linked when their sets of ``size``-word shingles have a Jaccard similarity of
+    ``percent`` or more. ``component_id`` is the least doc_id that can be reached, ``kept`` whether it is
+    the row's own. A NULL, empty or wordless text is linked with nothing. A row without doc_id is
+    linked with nothing and kept, its component_id is NULL. Rows with the same text and doc_id give equal
+    rows. Columns other than doc_id and text are left out; an empty table gives no rows.
+    """
+    signed, own = _nodes(docs, size, percent)
     least = own.groupBy("label").agg(F.min("rep").alias("component"))
     component = own.join(least, "label").select("node", "component")
     result = signed.select("doc_id", "n_shingles", "node").join(component, "node", "left")
@@ -334,20 +345,28 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def without_near_dups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns as they are, that are kept: one document of each group.
 
-    Of rows with the same doc_id one stays. Rows without doc_id stay.
+    It is the one with the least doc_id. A doc_id that several rows share says nothing about their texts: each
+    row is judged by its own text, and of rows with the same doc_id and the same words one stays. Rows without
+    doc_id or without words stay.
     """
-    found = grouped(docs, size, percent)
-    ids = checkpointed(
-        found.filter("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-        .filter("NOT kept OR n > 1")
-    )
-    gone, repeated = ids.filter("NOT kept").select("doc_id"), ids.filter("kept")
-    if ids.count() <= BROADCAST_NODES:
-        gone = F.broadcast(gone)
-    left = docs.join(gone.withColumnRenamed("doc_id", "__gone"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    signed, own = _nodes(docs, size, percent)
+    own = checkpointed(own)
+    first = own.groupBy("label").agg(F.min(F.struct("rep", "node")).alias("first")).select("first.rep", "first.node")
+    first = first.select(F.col("rep").alias("doc_id"), "node", F.lit(True).alias("first"))
+    texts = signed.filter("doc_id IS NOT NULL AND node IS NOT NULL").groupBy("doc_id", "node", "text_hash")
+    texts = texts.agg(F.count(F.lit(1)).alias("n")).join(first, ["doc_id", "node"], "left")
+    # Of texts that differ in white space or case only, the one with the least hash.
+    chosen = texts.filter("first").groupBy("doc_id", "node").agg(F.min("text_hash").alias("chosen"))
+    texts = texts.join(chosen, ["doc_id", "node"], "left")
+    stays = F.coalesce(F.col("text_hash") == F.col("chosen"), F.lit(False))
+    texts = checkpointed(texts.select("doc_id", "text_hash", "n", stays.alias("stays")).filter("NOT stays OR n > 1"))
+    gone = texts.filter("NOT stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    repeated = texts.filter("stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    if texts.count() <= BROADCAST_NODES:
+        gone, repeated = F.broadcast(gone), F.broadcast(repeated)
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (_text_hash() == F.col("__hash"))
+    left = docs.join(gone, same, "left_anti")
     if repeated.isEmpty():
         return left
-    named = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.union(left.filter("doc_id IS NULL"))
+    one = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, same, "left_anti").unionByName(one)

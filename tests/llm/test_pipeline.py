@@ -76,7 +76,7 @@ def test_empty_documents(spark, tmp_path):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert QUERIES.keys() <= registered.queries().keys() and "pipeline" in registered.queries()
     assert SQL.keys() <= registered.oracle_sql().keys()
 
