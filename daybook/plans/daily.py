@@ -608,6 +608,130 @@ def stream_landing(spark, folder):
     )
 
 
+# Events landed 0 to 6 days after they happened; every tenth lands twice more, a day later each time.
+WAVES = 3
+LANDED_SQL = """
+    landed AS (
+      SELECT event_id, user_id, ts, CAST(ts AS DATE) AS order_date, CAST(value AS DECIMAL(18,2)) AS value,
+             CAST(ts AS DATE) + CAST(event_id % 7 + k AS INTEGER) AS load_date
+      FROM events, range(3) c(k) WHERE k = 0 OR event_id % 10 = 0),
+    on_time AS (SELECT * FROM landed WHERE load_date - order_date <= 4),
+    w AS (SELECT MAX(ts) - INTERVAL 4 DAY AS watermark FROM on_time)
+"""
+
+
+def _landed_in_waves(spark: SparkSession, folder: str, name: str, *runs) -> str:
+    """Land events in waves of load days, run each stream after each wave; returns the base folder.
+
+    ``runs`` take the stream, a target and a checkpoint, and return the started query.
+    """
+    base = shared_folder(spark, name)
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    copies = F.sequence(F.lit(0), F.when(F.col("event_id") % 10 == 0, 2).otherwise(0))
+    rows = events.select("event_id", "user_id", "ts", money(F.col("value")).alias("value"), F.explode(copies).alias("copy"))
+    delay = (F.col("event_id") % 7 + F.col("copy")).cast("int")
+    rows = rows.withColumn("load_date", F.date_add(F.to_date("ts"), delay)).drop("copy")
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    span = ((last - first).days + 9) // WAVES + 1 if first else 1
+    wave = F.floor(F.datediff("load_date", F.lit(first)) / span)
+    for number in range(WAVES):
+        rows.filter(wave == number).write.mode("append").parquet(f"{base}/landed")
+        for place, run in enumerate(runs):
+            stream = spark.readStream.schema(rows.schema).parquet(f"{base}/landed")
+            feeds.finished(run(stream, f"{base}/table{place}", f"{base}/checkpoint{place}"))
+    return base
+
+
+@query(
+    "stream_first_copies",
+    f"""
+    WITH {LANDED_SQL}
+    SELECT event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, strftime(MIN(load_date), '%Y-%m-%d') AS load_date
+    FROM on_time, w WHERE order_date + INTERVAL 1 DAY <= watermark GROUP BY event_id, user_id, ts
+    """,
+)
+def stream_first_copies(spark, folder):
+    """Copies land in other batches than the first; each closed day's events are there once."""
+    base = _landed_in_waves(
+        spark, folder, "stream-first", lambda stream, target, state: feeds.first_copies(stream, target, state, "ts", ["event_id"])
+    )
+    rows = spark.read.parquet(f"{base}/table0")
+    return rows.select(
+        "event_id", "user_id", time_text(F.col("ts")).alias("ts"), day_text(F.col("load_date")).alias("load_date")
+    )
+
+
+@query(
+    "stream_late_rows",
+    f"""
+    WITH {LANDED_SQL}
+    SELECT event_id, strftime(load_date, '%Y-%m-%d') AS load_date, 'late' AS reason,
+           CAST(load_date - order_date AS INTEGER) AS lag_days
+    FROM landed WHERE load_date - order_date > 4
+    """,
+)
+def stream_late_rows(spark, folder):
+    base = _landed_in_waves(
+        spark, folder, "stream-late", lambda stream, target, state: feeds.kept_aside(stream, target, state, "ts", key=["event_id"])
+    )
+    lag = F.datediff("load_date", F.to_date("ts"))
+    rows = spark.read.parquet(f"{base}/table0")
+    return rows.select("event_id", day_text(F.col("load_date")).alias("load_date"), "reason", lag.alias("lag_days"))
+
+
+@query(
+    "stream_late_counts",
+    f"""
+    WITH {LANDED_SQL}
+    SELECT strftime(order_date, '%Y-%m-%d') AS order_date, COUNT(*) FILTER (load_date - order_date <= 4) AS row_count,
+           CAST(SUM(value) FILTER (load_date - order_date <= 4) AS DOUBLE) AS total_amount,
+           COUNT(*) FILTER (load_date - order_date > 4) AS late_count
+    FROM landed GROUP BY 1
+    """,
+)
+def stream_late_counts(spark, folder):
+    """Totals by batch, with the late rows of each day counted apart."""
+    base = _landed_in_waves(
+        spark, folder, "stream-counts", lambda stream, target, state: feeds.daily_totals(stream, "ts", "value", target, state)
+    )
+    return feeds.totals(spark, f"{base}/table0").select(
+        day_text(F.col("order_date")).alias("order_date"),
+        "row_count",
+        F.col("total_amount").cast("double").alias("total_amount"),
+        "late_count",
+    )
+
+
+@query(
+    "stream_window_totals",
+    f"""
+    WITH {LANDED_SQL},
+    sums AS (SELECT order_date, COUNT(*) AS row_count, CAST(SUM(value) AS DOUBLE) AS total_amount FROM on_time GROUP BY 1)
+    SELECT 'complete' AS mode, strftime(order_date, '%Y-%m-%d') AS order_date, row_count, total_amount FROM sums
+    UNION ALL
+    SELECT 'append', strftime(order_date, '%Y-%m-%d'), row_count, total_amount
+    FROM sums, w WHERE order_date + INTERVAL 1 DAY <= watermark
+    """,
+)
+def stream_window_totals(spark, folder):
+    """Day windows of on-time rows: closed ones as appended once, and all of them as kept current."""
+    base = _landed_in_waves(
+        spark,
+        folder,
+        "stream-windows",
+        lambda stream, target, state: feeds.closed_totals(stream, target, state, "ts", "value"),
+        lambda stream, target, state: feeds.current_totals(stream, target, state, "ts", "value"),
+    )
+    closed = spark.read.parquet(f"{base}/table0").withColumn("mode", F.lit("append"))
+    current = feeds.latest(spark, f"{base}/table1").withColumn("mode", F.lit("complete"))
+    return tables.union_batches(closed, current).select(
+        "mode",
+        day_text(F.col("order_date")).alias("order_date"),
+        "row_count",
+        F.col("total_amount").cast("double").alias("total_amount"),
+    )
+
+
 @query(
     "landing_file_count",
     """

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from daybook.streaming import feeds
@@ -97,6 +99,93 @@ def test_totals_and_late_rows_for_any_batches(spark, tmp_path, files_per_batch):
     assert sorted(str(r.order_date) for r in closed) == ["2026-01-02", "2026-01-16"]
 
 
+def land_in_order(root):
+    """Days in load order; copies of p1 in three loads, one of them late; rows without a key or an event time."""
+    put_day(root, "2026-01-02", ["p1", "p1", "p2"])
+    put_day(root, "2026-01-03", ["p1", "p3"], event_day="2026-01-02")
+    put_day(root, "2026-01-06", ["p4", "p2"], event_day="2026-01-02")
+    put_day(root, "2026-01-07", ["p1", "p5"], event_day="2026-01-02")
+    put_day(root, "2026-01-08", ["p6", ""])
+    put_day(root, "2026-01-09", [])
+    folder = root / "payments" / "load_date=2026-01-10"
+    folder.mkdir(parents=True)
+    (folder / "payments.csv").write_text(HEADER + "p7,o1,1,card,captured,10.50,PLN,,,,2026-01-10,2026-01-10 01:00:00,\n")
+    put_day(root, "2026-01-12", ["p8"])
+    put_day(root, "2026-01-13", ["p9"])
+    for k, path in enumerate(sorted(root.rglob("*.csv"))):
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_by_event_time_for_any_batches(spark, tmp_path, files_per_batch):
+    raw = tmp_path / "raw"
+    land_in_order(raw)
+
+    def run(name, start, *args, **more):
+        stream = feeds.landing_stream(spark, str(raw), "payments", files_per_batch)
+        place = str(tmp_path / name)
+        for _ in range(2):  # the second run finds nothing new
+            feeds.finished(start(stream, f"{place}/t", f"{place}/c", "source_event_at", *args, **more))
+        return f"{place}/t"
+
+    first = spark.read.parquet(run("first", feeds.first_copies, ["payment_id"])).collect()
+    got = sorted((r.payment_id, str(r.load_date)) for r in first)
+    assert got == [("p1", "2026-01-02"), ("p2", "2026-01-02"), ("p3", "2026-01-03"), ("p4", "2026-01-06"), ("p6", "2026-01-08")]
+
+    aside = spark.read.parquet(run("aside", feeds.kept_aside, key=["payment_id"])).collect()
+    got = sorted((r.payment_id or "", str(r.load_date), r.reason) for r in aside)
+    assert got == [
+        ("", "2026-01-08", "no_key"),
+        ("p1", "2026-01-07", "late"),
+        ("p5", "2026-01-07", "late"),
+        ("p7", "2026-01-10", "no_time"),
+    ]
+
+    closed = spark.read.parquet(run("closed", feeds.closed_totals, "amount")).collect()
+    days = {("2026-01-02", 7, "73.50"), ("2026-01-08", 2, "21.00")}
+    assert {(str(r.order_date), r.row_count, str(r.total_amount)) for r in closed} == days and len(closed) == 2
+    current = feeds.latest(spark, run("current", feeds.current_totals, "amount")).collect()
+    days |= {("2026-01-12", 1, "10.50"), ("2026-01-13", 1, "10.50")}
+    assert {(str(r.order_date), r.row_count, str(r.total_amount)) for r in current} == days
+
+
+def test_a_day_landed_after_it_was_closed_is_no_silent_loss(spark, tmp_path):
+    raw, place = tmp_path / "raw", str(tmp_path / "out")
+
+    def run():
+        stream = feeds.landing_stream(spark, str(raw), "payments")
+        return feeds.closed_totals(stream, f"{place}/t", f"{place}/c", "source_event_at", "amount")
+
+    put_day(raw, "2026-01-02", ["p1"])
+    put_day(raw, "2026-01-20", ["p2"])
+    feeds.finished(run())
+    put_day(raw, "2026-01-03", ["p3"])
+    with pytest.raises(feeds.RowsBehindWatermark):
+        feeds.finished(run())
+
+
+def test_a_batch_by_event_time_reads_no_table(spark, tmp_path):
+    raw, place = tmp_path / "raw", str(tmp_path / "out")
+    land_in_order(raw)
+    stream = feeds.landing_stream(spark, str(raw), "payments", 1)
+    query = feeds.finished(feeds.first_copies(stream, f"{place}/t", f"{place}/c", "source_event_at", ["payment_id"]))
+    assert max(p["numInputRows"] for p in query.recentProgress) <= 3
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 5
+
+
+def test_of_copies_in_a_batch_the_least_content_stays(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "t")
+    put_day(raw, "2026-01-02", ["p1"])
+    for k, day in enumerate(("2026-01-03", "2026-01-04", "2026-01-05")):
+        put_day(raw, day, ["p1"])
+    got = set()
+    for run in range(3):
+        stream = feeds.landing_stream(spark, str(raw), "payments")
+        feeds.without_repeats(stream, f"{target}{run}", str(tmp_path / f"c{run}"), ["payment_id"]).awaitTermination()
+        got.add(str(spark.read.parquet(f"{target}{run}").first().load_date))
+    assert len(got) == 1
+
+
 def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
     target = str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
