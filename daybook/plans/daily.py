@@ -14,7 +14,7 @@ from daybook.functions.scalars import (
     product_name,
     surrogate_key,
 )
-from daybook.operators import dims, metadata, tables
+from daybook.operators import dims, maintained, metadata, tables
 from daybook.operators.orders import daily_totals
 from daybook.plans.registry import day_text, query, table, time_text
 from daybook.session import shared_folder
@@ -500,6 +500,40 @@ def landing_paths(spark, folder):
     )
 
 
+@query(
+    "deferred_by_runs",
+    f"""
+    WITH loaded AS ({LOADED_SQL}), runs(run, before) AS (
+      VALUES (DATE '2024-01-05', DATE '1900-01-01'), (DATE '2024-01-12', DATE '2024-01-05'), (DATE '2024-02-05', DATE '2024-01-12'))
+    SELECT event_id, strftime(run, '%Y-%m-%d') AS load_date, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS source_event_at
+    FROM loaded JOIN runs ON greatest(load_date, CASE WHEN ts >= '2024-01-12' THEN DATE '2024-01-12' + 1 ELSE load_date END) <= run
+         AND greatest(load_date, CASE WHEN ts >= '2024-01-12' THEN DATE '2024-01-12' + 1 ELSE load_date END) > before
+    """,
+)
+def deferred_by_runs(spark, folder):
+    """Events wait in a queue for their load day; three runs take them, the second one twice.
+
+    Events from 12 January on are put in between the two takes of the second run, and wait for the third.
+    """
+    queue = shared_folder(spark, "queue")
+    events = loaded_events(spark, folder)
+    later = F.col("ts") >= "2024-01-12"
+    taken = []
+    maintained.defer(events.filter(~later), queue, "first", F.col("load_date"))
+    for run in ("2024-01-05", "2024-01-12"):
+        taken.append((run, maintained.take_due(spark, queue, run)))
+    maintained.defer(events.filter(later), queue, "second", F.col("load_date"))
+    for run in ("2024-01-12", "2024-02-05"):
+        taken.append((run, maintained.take_due(spark, queue, run)))
+    # Of the run that took twice, what it took the second time.
+    rows = [metadata.land_deferred(due, F.lit(run)) for run, due in (taken[0], *taken[2:])]
+    return tables.union_batches(*rows).select(
+        "event_id",
+        day_text(F.col("load_date")).alias("load_date"),
+        time_text(F.col("source_event_at")).alias("source_event_at"),
+    )
+
+
 # --- streams: each reads the events table as a file stream until it is caught up ---
 
 

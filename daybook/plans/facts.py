@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import base_rate_to_pln, currency_of, money
-from daybook.operators import dims, orders, skew, state, tables
+from daybook.operators import dims, maintained, orders, skew, state, tables
 from daybook.operators.events import checkout_gate, interval_pairs, next_in_interval
 from daybook.plans.daily import campaign_day
 from daybook.plans.registry import day_text, query, table, time_text
-from daybook.session import checkpointed
+from daybook.session import checkpointed, shared_folder
 
 # --- current state and history: the orders of a customer as versions of that customer ---
 
@@ -83,6 +83,103 @@ def scd2_check_split(spark, folder):
     return _history(spark, folder, "check", hot_rows=8)
 
 
+# --- the same, load by load: orders come in three loads out of order of time, one of them twice ---
+
+LOADS = ["1", "0", "2", "0"]
+
+
+def _history_by_loads(spark, folder, strategy: str) -> DataFrame:
+    feed = table(spark, folder, "orders")
+    target = shared_folder(spark, "history")
+    keys, version, attributes = ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus"]
+    for load in LOADS:
+        rows = feed.filter(F.col("o_orderkey") % 3 == int(load))
+        maintained.merge_history(rows, target, keys, version, attributes)
+    history = maintained.history(spark, target, keys, version, attributes, strategy)
+    return history.select(
+        "o_custkey",
+        "o_orderstatus",
+        day_text(F.col("valid_from")).alias("valid_from"),
+        F.coalesce(day_text(F.col("valid_to")), F.lit("")).alias("valid_to"),
+        "is_current",
+    )
+
+
+@query("history_by_loads", TIMESTAMP_SQL)
+def history_by_loads(spark, folder):
+    return _history_by_loads(spark, folder, "timestamp")
+
+
+@query("history_by_loads_check", CHECK_SQL)
+def history_by_loads_check(spark, folder):
+    return _history_by_loads(spark, folder, "check")
+
+
+# Every order is landed as created; every fifth again with another amount, every seventh held back after that.
+VERSIONS_SQL = """
+    versions AS (
+      SELECT o_orderkey, o_orderdate, k AS number, (o_orderkey + k) % 3 AS load, k = 2 AS held_back,
+             CAST(o_totalprice AS DECIMAL(18,2)) + k AS amount
+      FROM orders, range(3) v(k)
+      WHERE k = 0 OR k = 1 AND o_orderkey % 5 = 0 OR k = 2 AND o_orderkey % 7 = 0),
+    latest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY number DESC) = 1)
+"""
+
+
+def _order_versions(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", money(F.col("o_totalprice")).alias("amount"))
+    key = F.col("o_orderkey")
+    numbers = F.array_compact(F.array(F.lit(0), F.when(key % 5 == 0, 1), F.when(key % 7 == 0, 2)))
+    rows = orders.withColumn("number", F.explode(numbers))
+    amount = (F.col("amount") + F.col("number")).cast("decimal(18,2)")
+    return rows.withColumns({"amount": amount, "held_back": F.col("number") == 2})
+
+
+def _merged_orders(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Merge the versions of all orders load by load; returns the folders of the state and of the totals."""
+    state_folder, totals_folder = shared_folder(spark, "current"), shared_folder(spark, "totals")
+    versions = _order_versions(spark, folder)
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int")
+    for load in LOADS:
+        rows = versions.filter((F.col("o_orderkey") + F.col("number")) % 3 == int(load))
+        images = maintained.merge_current(
+            rows, state_folder, load, ["o_orderkey"], ["number"], keep=~F.col("held_back"), bucket=month
+        )
+        maintained.merge_totals(images, totals_folder, load, ["o_orderdate"], "amount")
+    return state_folder, totals_folder
+
+
+@query(
+    "current_by_loads",
+    f"""
+    WITH {VERSIONS_SQL}
+    SELECT o_orderkey, number::INTEGER AS number, amount::DOUBLE AS amount FROM latest WHERE NOT held_back
+    """,
+)
+def current_by_loads(spark, folder):
+    state_folder, _ = _merged_orders(spark, folder)
+    rows = maintained.current(spark, state_folder, ~F.col("held_back"))
+    return rows.select("o_orderkey", "number", F.col("amount").cast("double").alias("amount"))
+
+
+@query(
+    "totals_by_loads",
+    f"""
+    WITH {VERSIONS_SQL}
+    SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, COUNT(*) AS row_count, SUM(amount)::DOUBLE AS total_amount
+    FROM latest WHERE NOT held_back GROUP BY 1
+    """,
+)
+def totals_by_loads(spark, folder):
+    """Daily totals from signed differences: changed orders are exchanged, those held back later are retracted."""
+    _, totals_folder = _merged_orders(spark, folder)
+    return maintained.totals(spark, totals_folder, ["o_orderdate"]).select(
+        day_text(F.col("o_orderdate")).alias("order_date"),
+        "row_count",
+        F.col("total_amount").cast("double").alias("total_amount"),
+    )
+
+
 POINT_SQL = """
     WITH v AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey,
                       max_by(o_orderstatus, o_orderkey) AS o_orderstatus
