@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from daybook.functions.scalars import count_of_share, joined_text
 from daybook.operators.skew import HOT_ROWS, PROBE, hot_keys, ordered_columns
+from daybook.session import checkpointed
+
+MOST_DAYS = 10_000  # days that a filter on folders names
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -125,3 +128,61 @@ def child_lists(
 def rows_per_load_date(df: DataFrame, load_date: str = "load_date") -> DataFrame:
     return df.groupBy(load_date).agg(F.count(F.lit(1)).alias("row_count"))
 
+
+
+def hash_tree(df: DataFrame, day: str, keys: Sequence[str], buckets: int = 256) -> DataFrame:
+    """Rows and sum of row hashes per day and hash bucket of the key; a day's are the sums of its buckets.
+
+    It is small beside the table; written with it, it is what ``differing_rows`` needs to know of it.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+    return df.groupBy(F.col(day).alias("day"), bucket).agg(F.count(F.lit(1)).alias("row_count"), _hash_sum(df))
+
+
+def _hash_sum(df: DataFrame) -> Column:
+    return F.sum(_content(df).cast("decimal(38,0)")).alias("hash_sum")
+
+
+def _content(df: DataFrame) -> Column:
+    return F.xxhash64(joined_text(*[F.col(c) for c in sorted(df.columns)]))
+
+
+def differing_rows(
+    left: DataFrame,
+    right: DataFrame,
+    day: str,
+    keys: Sequence[str],
+    left_tree: DataFrame | None = None,
+    right_tree: DataFrame | None = None,
+    buckets: int = 256,
+) -> DataFrame:
+    """Day, key and ``kind`` (changed, left, right) of what differs between two runs of a table.
+
+    The trees are compared first; only rows of days that differ, and of those only differing buckets, are
+    compared themselves. With trees of earlier runs and tables in folders by ``day``, days that are equal
+    are not read. Copies of one row count as often as they occur.
+    """
+    left_tree = hash_tree(left, day, keys, buckets) if left_tree is None else left_tree
+    right_tree = hash_tree(right, day, keys, buckets) if right_tree is None else right_tree
+    signed = left_tree.withColumn("side", F.lit(1)).unionByName(right_tree.withColumn("side", F.lit(-1)))
+    net = [F.sum(F.col(c) * F.col("side")).alias(c) for c in ("row_count", "hash_sum")]
+    branches = signed.groupBy("day", "bucket").agg(*net).filter("row_count <> 0 OR hash_sum <> 0")
+    branches = checkpointed(branches.select("day", "bucket"))
+    # A day per row; where many differ the join below reads them all anyway.
+    days = [row.day for row in branches.select("day").distinct().limit(MOST_DAYS + 1).collect()]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def rows(df: DataFrame) -> DataFrame:
+        content = _content(df).alias("content")
+        if len(days) <= MOST_DAYS:
+            known = F.col(day).isin([d for d in days if d is not None])
+            df = df.filter(known | F.col(day).isNull() if None in days else known)
+        chosen = df.select(*[F.col(k) for k in keys], F.col(day).alias("day"), bucket.alias("bucket"), content)
+        same = [F.col("day").eqNullSafe(F.col("__day")), F.col("bucket") == F.col("__bucket")]
+        return chosen.join(branches.withColumnsRenamed({"day": "__day", "bucket": "__bucket"}), same, "left_semi")
+
+    both = rows(left).withColumn("side", F.lit(1)).unionByName(rows(right).withColumn("side", F.lit(-1)))
+    contents = both.groupBy("day", *keys, "content").agg(F.sum("side").alias("n")).filter("n <> 0")
+    sides = contents.groupBy("day", *keys).agg(F.max("n").alias("most"), F.min("n").alias("least"))
+    kind = F.when(F.col("least") > 0, "left").when(F.col("most") < 0, "right").otherwise("changed")
+    return sides.select("day", *keys, kind.alias("kind"))

@@ -534,6 +534,35 @@ def deferred_by_runs(spark, folder):
     )
 
 
+@query(
+    "path_positions",
+    """
+    SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS load_date,
+           row_number() OVER (PARTITION BY date_trunc('month', o_orderdate) ORDER BY o_orderkey) AS line_number,
+           row_number() OVER (ORDER BY date_trunc('month', o_orderdate), o_orderkey) AS position
+    FROM orders
+    """,
+)
+def path_positions(spark, folder):
+    """Where each landed line stands: in its file, and in all files one after the other in path order."""
+    root = shared_folder(spark, "raw")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("source"), F.trunc("o_orderdate", "MM").alias("day")
+    )
+    cells = {name: F.lit(None).cast("string") for name in ("rate_date", "currency", "rate_to_pln")}
+    cells |= {"source": F.col("source"), "load_date": F.col("day").cast("string"), "loaded_at": cells["currency"]}
+    lines = orders.select(*[cell.alias(name) for name, cell in cells.items()], "day").repartition("day")
+    lines = lines.sortWithinPartitions("day", F.col("source").cast("bigint"))
+    lines.write.partitionBy("day").option("header", True).csv(f"{root}/exchange_rates")
+    rows = landing.with_positions(spark, root, "exchange_rates")
+    return rows.select(
+        F.col("source").cast("bigint").alias("o_orderkey"),
+        day_text(F.col("load_date")).alias("load_date"),
+        "line_number",
+        "position",
+    )
+
+
 # --- streams: each reads the events table as a file stream until it is caught up ---
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.scalars import base_rate_to_pln, currency_of, money
-from daybook.operators import dims, maintained, orders, skew, state, tables
+from daybook.functions.scalars import base_rate_to_pln, currency_of, money, padded_key
+from daybook.operators import dims, maintained, orders, ranges, skew, state, tables
 from daybook.operators.events import checkout_gate, interval_pairs, next_in_interval
 from daybook.plans.daily import campaign_day
 from daybook.plans.registry import day_text, query, table, time_text
@@ -851,3 +851,109 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
         "payment_outcome",
         "refund_class",
     )
+
+
+# --- ranges that are long or open: a campaign per supplier, for the customers of its nation ---
+
+RANGES_SQL = """
+    c AS (SELECT s_suppkey, s_nationkey, DATE '1991-06-01' + CAST(s_suppkey % 2000 AS INTEGER) AS start_date,
+                 CASE WHEN s_suppkey % 4 > 0 THEN DATE '1991-06-01' + CAST(s_suppkey % 2000 + s_suppkey % 3700 - 50 AS INTEGER)
+                 END AS end_date
+          FROM supplier)
+"""
+
+
+def _long_campaigns(spark: SparkSession, folder: str) -> DataFrame:
+    """Some last ten years, some never end, some end before they begin."""
+    key = F.col("s_suppkey")
+    start = F.date_add(F.lit("1991-06-01").cast("date"), (key % 2000).cast("int"))
+    end = F.when(key % 4 > 0, F.date_add(start, (key % 3700 - 50).cast("int")))
+    return table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", start.alias("start_date"), end.alias("end_date"))
+
+
+@query(
+    "orders_in_ranges",
+    f"""
+    WITH {RANGES_SQL}
+    SELECT o_orderkey, COUNT(*) AS campaigns, MIN(s_suppkey) AS first_campaign, MAX(s_suppkey) AS last_campaign
+    FROM orders JOIN customer ON c_custkey = o_custkey
+         JOIN c ON s_nationkey = c_nationkey AND o_orderdate >= start_date AND o_orderdate <= coalesce(end_date, DATE '9999-12-31')
+    GROUP BY o_orderkey
+    """,
+)
+def orders_in_ranges(spark, folder):
+    campaigns = _long_campaigns(spark, folder).withColumnRenamed("s_nationkey", "c_nationkey")
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    placed = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(customers, "o_custkey")
+    low, high = ranges.day_number(F.col("start_date")), ranges.day_number(F.col("end_date"))
+    found = ranges.in_ranges(placed, ranges.day_number(F.col("o_orderdate")), campaigns, low, high, ["c_nationkey"])
+    return found.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("campaigns"),
+        F.min("s_suppkey").alias("first_campaign"),
+        F.max("s_suppkey").alias("last_campaign"),
+    )
+
+
+@query(
+    "campaigns_active_on",
+    f"""
+    WITH {RANGES_SQL}
+    SELECT s_suppkey, strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date
+    FROM c WHERE DATE '1994-05-01' BETWEEN start_date AND end_date
+    """,
+)
+def campaigns_active_on(spark, folder):
+    running = dims.active_on(_long_campaigns(spark, folder), F.lit("1994-05-01").cast("date"))
+    return running.select(
+        "s_suppkey", day_text(F.col("start_date")).alias("start_date"), day_text(F.col("end_date")).alias("end_date")
+    )
+
+
+@query(
+    "active_products",
+    """
+    WITH feed AS (
+      SELECT p_partkey, v, CAST(p_retailprice AS DECIMAL(12,2)) + v AS unit_price, (p_partkey + v) % 3 <> 0 AS is_active
+      FROM part, range(4) t(v) WHERE v <= p_partkey % 4)
+    SELECT 'prod_' || CASE WHEN p_partkey < 100000 THEN lpad(p_partkey::VARCHAR, 5, '0') ELSE p_partkey::VARCHAR END AS product_id,
+           v::INTEGER AS version, unit_price::DOUBLE AS unit_price
+    FROM (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY v DESC) = 1) WHERE is_active
+    """,
+)
+def active_products(spark, folder):
+    """Products on sale after up to four versions each, which come in no order."""
+    parts = table(spark, folder, "part")
+    version = F.explode(F.sequence(F.lit(0), (F.col("p_partkey") % 4).cast("int"))).alias("version")
+    feed = parts.select("p_partkey", money(F.col("p_retailprice")).alias("price"), version)
+    updated = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("version"))
+    feed = feed.select(
+        padded_key("prod_", F.col("p_partkey")).alias("product_id"),
+        "version",
+        (F.col("price") + F.col("version")).alias("unit_price"),
+        ((F.col("p_partkey") + F.col("version")) % 3 != 0).alias("is_active"),
+        updated.alias("updated_at"),
+        F.timestamp_seconds(F.lit(1_800_000_000) - F.col("version")).alias("loaded_at"),
+    )
+    rows = state.active_products(feed)
+    return rows.select("product_id", "version", F.col("unit_price").cast("double").alias("unit_price"))
+
+
+@query(
+    "differing_rows",
+    """
+    WITH p AS (SELECT max(l_orderkey) AS last, min(l_orderkey) AS first FROM lineitem)
+    SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, l_orderkey, l_linenumber,
+           CASE WHEN l_orderkey = last THEN 'changed' ELSE 'left' END AS kind
+    FROM lineitem, p WHERE l_orderkey = last AND l_linenumber = 1 OR l_orderkey = first AND l_linenumber = 1
+    """,
+)
+def differing_rows(spark, folder):
+    """Two runs of a table that differ in one cell and one row, found by comparing hashes by day and key."""
+    lines = table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    first, last = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    one = F.col("l_linenumber") == 1
+    other = lines.filter(~((F.col("l_orderkey") == first) & one)).withColumn(
+        "l_quantity", F.when((F.col("l_orderkey") == last) & one, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    )
+    found = tables.differing_rows(lines, other, "l_shipdate", ["l_orderkey", "l_linenumber"])
+    return found.select(day_text(F.col("day")).alias("day"), "l_orderkey", "l_linenumber", "kind")

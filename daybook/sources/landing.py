@@ -10,13 +10,14 @@ from uuid import uuid4
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.scalars import landing_path
 from daybook.operators.metadata import without_internal
 from daybook.schemas import schema_of
+from daybook.session import checkpointed
 
 CORRUPT = "_corrupt_record"
 
@@ -55,11 +56,13 @@ def read_table(
     load_date_in_file: bool = True,
     days: Sequence[str] | None = None,
     with_landed_day: bool = False,
+    with_file: bool = False,
 ) -> DataFrame:
     """All landed files of a table; blank files have no rows, a missing table is empty.
 
     With ``days`` (ISO dates) only those days' folders are listed and read. ``with_landed_day`` adds the
-    day of the folder a file lies in, which the cell ``load_date`` of a broken line does not tell.
+    day of the folder a file lies in, which the cell ``load_date`` of a broken line does not tell;
+    ``with_file`` adds the path of the file and the byte its part begins at.
 
     Cells that do not parse are NULL and the line is kept in ``_corrupt_record``. Files written by
     ``write_table`` have load_date in the folder name only: read them with
@@ -77,7 +80,12 @@ def read_table(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], schema)
+        if with_file:
+            rows = rows.withColumns({"file_path": F.lit("x"), "file_part": F.lit(0).cast("bigint")})
         return rows.withColumn(LANDED_DAY, F.lit(None).cast("date")) if with_landed_day else rows
+    if with_file:
+        part = F.col("_metadata.file_block_start")
+        rows = rows.withColumns({"file_path": F.col("_metadata.file_path"), "file_part": part})
     if with_landed_day:
         folder = F.regexp_extract("_metadata.file_path", "=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]*$", 1)
         rows = rows.withColumn(LANDED_DAY, F.try_to_date(folder))
@@ -146,6 +154,35 @@ def in_path_order(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
 
 
+def with_positions(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Landed rows with file_path, line_number (from 1 in its file) and position (from 1 over all files in path order).
+
+    No row is sorted or moved. A task numbers the rows of the parts of files that it reads; the numbers of
+    rows in the parts before are running sums over one row per part, kept by range of path.
+    """
+    rows = read_table(spark, root, table, with_file=True)
+    # The same scan gives the same numbers: they are written before they are used twice.
+    rows = checkpointed(rows.withColumn("__at", F.monotonically_increasing_id()))
+    part = ["file_path", "file_part"]
+    parts = rows.groupBy(*part).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    ranged = parts.repartitionByRange(*part).sortWithinPartitions(*part)
+    ranged = checkpointed(ranged.withColumn("__range", F.spark_partition_id()))
+    within, file = Window.partitionBy("__range").orderBy(*part), Window.partitionBy("file_path").orderBy("file_part")
+    # A row per range, of which there are as many as shuffle partitions.
+    ranges = ranged.groupBy("__range").agg(F.sum("__n").alias("__rows"))
+    all_before = F.sum("__rows").over(Window.orderBy("__range")) - F.col("__rows")
+    ranges = ranges.select("__range", all_before.alias("__all_before"))
+    parts = ranged.join(F.broadcast(ranges), "__range").select(
+        *part,
+        "__first",
+        (F.sum("__n").over(file) - F.col("__n")).alias("__in_file"),
+        (F.col("__all_before") + F.sum("__n").over(within) - F.col("__n")).alias("__in_all"),
+    )
+    here = F.col("__at") - F.col("__first") + 1
+    numbered = {"line_number": F.col("__in_file") + here, "position": F.col("__in_all") + here}
+    return rows.join(parts, part).withColumns(numbered).drop("file_part", "__at", "__first", "__in_file", "__in_all")
+
+
 def land_files(
     spark: SparkSession, root: str, target: str, prefix: str = "bronze/landing"
 ) -> int:

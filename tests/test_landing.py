@@ -230,3 +230,25 @@ def test_all_tables_have_a_schema(spark):
     assert len(TABLES) == 11
     for name in TABLES:
         assert "load_date" in schema_of(name).fieldNames()
+
+
+def test_positions_over_parts_of_files(spark, tmp_path):
+    """Files of several parts, blank ones and one line: numbers follow path and line."""
+    header = "rate_date,currency,rate_to_pln,source,load_date,loaded_at\n"
+    want, position = [], 0
+    for day, lines in (("2026-01-01", 900), ("2026-01-02", 0), ("2026-01-03", 1), ("2026-01-04", 350)):
+        folder = tmp_path / "exchange_rates" / f"load_date={day}"
+        folder.mkdir(parents=True)
+        text = "".join(f"{day},EUR,4.32,{day}-{n},{day},{day} 01:00:00\n" for n in range(1, lines + 1))
+        (folder / "exchange_rates.csv").write_text(header + text if lines else "\n")
+        for n in range(1, lines + 1):
+            position += 1
+            want.append((f"{day}-{n}", n, position))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        rows = landing.with_positions(spark, str(tmp_path), "exchange_rates").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.source, r.line_number, r.position) for r in rows) == sorted(want)
+    assert landing.with_positions(spark, str(tmp_path), "payments").collect() == []
