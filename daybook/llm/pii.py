@@ -1,10 +1,12 @@
 """Personal data in texts: four base kinds by pattern, and further identifiers by bootstrapped context.
 
-Base spans are what the four base patterns find. They are the seeds of the second part: the two
-words in front of an identifier-like token are its context, a context that mostly precedes known
-identifiers becomes a pattern, a token that follows good patterns becomes a known identifier, and so on
-for a few rounds over the graph of contexts and tokens. Contexts are scored against all their
-occurrences in the corpus, so two words that also stand before ordinary words never become one.
+Base spans are what the four base patterns find. They are the seeds of the second part. What stands before
+an identifier in its line is its contexts: the word before it, and the two words before it or, where there is
+one only, that word as the beginning of the line. A context that mostly precedes known identifiers becomes a
+pattern, what follows good patterns becomes a known identifier, and so on over the graph of contexts and
+identifiers until nothing changes. Contexts are scored against all their occurrences in the corpus, so words
+that also stand before ordinary words never become a pattern. A candidate is a run of words that
+each have a digit or an @, such as a number that is written in groups.
 
 Only built-in expressions are used. Positions come from the lengths of what lies between the
 matches. Texts are scanned once for spans and mentions and once for the occurrences of contexts.
@@ -27,14 +29,14 @@ BASE = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# A word with a digit or an @ is identifier-like.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# A word with a digit or an @ is identifier-like; with nothing but blanks between them, several are one run.
+_WORD = r"[^\s0-9@]*+[0-9@]\S*+"
+RUN = rf"(?<!\S){_WORD}(?:(?<![,;:!?.])[ \t]++{_WORD})*+"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-CONTEXT_CHARS = 64  # in front of a token, where its two words are looked for
+LINE_START = "\n"  # stands for the word before the first of a line
 LEAST_VALUES = 3  # distinct known identifiers that make a context a pattern
 LEAST_SCORE = 0.7  # of a pattern, and of a token that it makes known
-ROUNDS = 3
 COUNTED_FIRST = (64, 8)  # parts of the documents, in which occurrences are counted first
 BROADCAST_CONTEXTS = 200_000
 BROADCAST_SPANS = 20_000
@@ -109,35 +111,55 @@ def base_spans(rows: DataFrame) -> DataFrame:
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
-    """rows with ``mentions``: the identifier-like tokens with their context.
+    """rows with ``mentions``: the runs of identifier-like words with their contexts.
 
-    A token stands without punctuation around it. ``known`` tells whether a base span touches it. Its
-    context is NULL unless two words stand in front of it, in its line, without another such token.
+    A run stands without punctuation around it. ``known`` tells whether a base span touches it; its value is
+    then that of the first such span, and it has contexts only if the span begins where the run does.
     """
     hits, gaps, ends = "__hits", "__gaps", "__ends"
-    rows = rows.withColumn(hits, F.regexp_extract_all("__text", F.lit(TOKEN), F.lit(0)))
+    rows = rows.withColumn(hits, F.regexp_extract_all("__text", F.lit(RUN), F.lit(0)))
     some = F.size(hits) > 0
-    rows = rows.withColumn(gaps, F.when(some, F.split("__text", TOKEN, -1)))
+    rows = rows.withColumn(gaps, F.when(some, F.split("__text", RUN, -1)))
     lengths = F.transform(hits, lambda hit, i: F.length(hit) + F.length(F.get(gaps, i)))
     rows = rows.withColumn(ends, F.when(some, lengths))
     rows = rows.withColumn(ends, F.when(some, F.expr(_running(ends))))
 
-    def mention(hit: Column, i: Column) -> Column:
-        opened = F.length(hit) - F.length(F.ltrim(hit, F.lit("([{<\"'")))
-        value = F.rtrim(F.ltrim(hit, F.lit("([{<\"'")), F.lit(".,;:!?)]}>\"'"))
-        start = F.get(ends, i) - F.length(hit) + opened
-        words = F.regexp_extract(F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)), r"(\S+[ \t]+\S+)[ \t]+$", 1)
+    # Step by step, because what a lambda names twice is computed twice.
+    def bare(hit: Column, i: Column) -> Column:
+        gap = F.get(gaps, i)
+        opened = F.ltrim(hit, F.lit("([{<\"'"))
+        line = F.regexp_replace(F.substring_index(gap, "\n", -1), "[ \t]+", " ")
         return F.struct(
-            start.alias("start"),
-            (start + F.length(value)).alias("end"),
-            F.lower(value).alias("value"),
-            F.nullif(F.regexp_replace(F.lower(words), r"[ \t]+", " "), F.lit("")).alias("context"),
+            hit.alias("hit"),
+            (F.get(ends, i) - F.length(opened)).alias("start"),
+            (F.get(ends, i) - F.length(hit)).alias("hit_start"),
+            F.rtrim(opened, F.lit(".,;:!?)]}>\"'")).alias("value"),
+            F.when(line.endswith(" "), F.nullif(F.lower(F.trim(line)), F.lit(""))).alias("words"),
+            ((i == 0) | gap.contains("\n")).alias("opens_line"),
         )
 
-    def touched(m: Column) -> Column:
-        return F.exists("base", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
+    def seeded(m: Column) -> Column:
+        end = m["start"] + F.length(m["value"])
+        one, two = F.substring_index(m["words"], " ", -1), F.substring_index(m["words"], " ", -2)
+        longer = F.when(m["words"].contains(" "), two).when(m["opens_line"], F.concat(F.lit(f"{LINE_START} "), one))
+        touches = F.filter("base", lambda s: (s["start"] < end) & (s["end"] > m["start"]))
+        return F.struct(
+            m.alias("m"), end.alias("end"), F.get(touches, F.lit(0)).alias("seed"), F.array_compact(F.array(one, longer)).alias("c")
+        )
+
+    def mention(x: Column) -> Column:
+        m, seed = x["m"], x["seed"]
+        begins, known = seed["start"] <= m["start"], seed.isNotNull()
+        own = F.substr(m["hit"], seed["start"] - m["hit_start"] + 1, seed["end"] - seed["start"])
+        return F.struct(
+            m["start"].alias("start"),
+            x["end"].alias("end"),
+            F.lower(F.when(known & begins, own).otherwise(m["value"])).alias("value"),
+            F.when(m["words"].isNotNull() & (~known | begins), x["c"]).alias("contexts"),
+            known.alias("known"),
+        )
 
-    found = F.transform(F.transform(hits, mention), lambda m: m.withField("known", touched(m)))
+    found = F.transform(F.transform(F.transform(hits, bare), seeded), mention)
     return rows.withColumn("mentions", F.when(some, found)).drop(hits, gaps, ends)
 
 
@@ -151,19 +173,20 @@ def _scanned(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """context and ``total``, how often its two words follow each other in a line of any text."""
+    """context and ``total``, how often its words stand in a line of any text."""
     if contexts.count() <= BROADCAST_CONTEXTS:
         contexts = F.broadcast(contexts)
     lines = docs.select(F.explode(F.split(F.lower(F.col("text").cast("string")), "\n")).alias("line"))
     words = lines.select(F.split(F.trim(F.col("line"), F.lit(" \t")), "[ \t]+").alias("w"))
-    pairs = words.select(F.inline(F.arrays_zip(F.col("w").alias("one"), F.expr("slice(w, 2, size(w))").alias("two"))))
-    pairs = pairs.filter(F.col("two").isNotNull())
-    found = pairs.select(F.concat_ws(" ", "one", "two").alias("context")).join(contexts, "context", "left_semi")
-    return found.groupBy("context").agg(F.count(F.lit(1)).alias("total"))
+    before = F.expr(f"concat(array('{LINE_START}'), w)")
+    words = words.select(F.inline(F.arrays_zip(before.alias("before"), F.col("w").alias("word"))))
+    words = words.filter("word IS NOT NULL")
+    both = F.explode(F.array(F.col("word"), F.concat_ws(" ", "before", "word"))).alias("context")
+    return words.select(both).join(contexts, "context", "left_semi").groupBy("context").agg(F.count(F.lit(1)).alias("total"))
 
 
 def learned(docs: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Patterns (context) and identifiers (value) that the seeds lead to, after at most ``ROUNDS``.
+    """Patterns (context) and identifiers (value) that the seeds lead to.
 
     ``mentions`` has a row per mention: context, value and known.
     """
@@ -188,7 +211,8 @@ def learned(docs: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]
     graph = checkpointed(graph.select("context", "value", "n", "total", "seed"))
     scored, before = graph.withColumn("score", F.col("seed")), None
     patterns = None
-    for _ in range(ROUNDS):
+    # What is known stays known, so the rounds come to an end.
+    while True:
         support = F.count(F.when(F.col("score") >= LEAST_SCORE, 1))
         patterns = (
             scored.groupBy("context")
@@ -201,11 +225,11 @@ def learned(docs: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]
         patterns = checkpointed(patterns.select("context", "p"))
         doubt = F.exp(F.sum(F.log(1 - F.least("p", F.lit(0.999)))))
         likely = graph.join(patterns, "context").groupBy("value").agg((1 - doubt).alias("likely"))
-        score = F.greatest("seed", F.coalesce("likely", F.lit(0.0)))
+        score = F.greatest("seed", (F.coalesce("likely", F.lit(0.0)) >= LEAST_SCORE).cast("double"))
         scored = checkpointed(
             graph.join(likely, "value", "left").select("context", "value", "n", "total", "seed", score.alias("score"))
         )
-        now = scored.filter(F.col("score") >= LEAST_SCORE).count()
+        now = scored.agg(F.sum("score")).first()[0]
         if now == before:
             break
         before = now
@@ -218,6 +242,7 @@ def learned(docs: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]
 def _further(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """Spans by context that touch no base span, as ``further``, per doc_id and text_hash."""
     rows = scanned.select("doc_id", "text_hash", F.inline("mentions"))
+    rows = rows.withColumn("context", F.explode_outer("contexts")).drop("contexts")
     patterns, values = learned(docs, rows)
     rows = rows.filter("NOT known AND length(value) > 0")
     found = rows.join(patterns, "context", "left_semi").select("doc_id", "text_hash", "start", "end")
