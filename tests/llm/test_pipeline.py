@@ -88,14 +88,15 @@ def test_query_equals_sql(spark, small, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op2_license_digests", "op7_site_quality"}))
 def test_a_row_for_each_document(spark, small, name):
-    """What reads documents returns a row of each, what reads pages or vectors one of each of theirs."""
-    table = {"op3_posting_lists": "embeddings", "op8_block_tree_html": "pages"}.get(name, "documents")
+    """What reads documents returns a row of each, what reads pages, vectors or items rows of each of theirs."""
+    tables = {"op3_posting_lists": "embeddings", "op8_block_tree_html": "pages", "op11_term_stages": "benchmark"}
+    table = tables.get(name, "documents")
     rows = spark.read.parquet(f"{small}/{table}.parquet")
     found = QUERIES[name](spark, small)
     if table == "embeddings":
         assert found.count() == 10 * rows.filter("vec_id % 100 = 0").count()
     else:
-        key = "page_id" if table == "pages" else "doc_id"
+        key = {"pages": "page_id", "benchmark": "item_id"}.get(table, "doc_id")
         assert {r[0] for r in found.select(key).collect()} == {r[0] for r in rows.select(key).collect()}
 
 
