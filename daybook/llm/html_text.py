@@ -1,8 +1,8 @@
 """Main text of web pages: flat text blocks, judged by a small decision tree.
 
 A page is cut into blocks at block-level tags. A block is described by its word count and link
-density, those of the blocks before and after it, and the nearest element around it that marks an
-article or something beside it. The tree is trained on ``LABELLED``, a table of such descriptions.
+density, those of the blocks before and after it under the same mark, and the nearest element around it
+that marks an article or something beside it. The tree is trained on ``LABELLED``, a table of such descriptions.
 Each page is a row of its own: nothing is shuffled and no page is cut short.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -38,10 +39,16 @@ BESIDE_WORDS = frozenset(
 )
 ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
 COMMENT_WORDS = frozenset("comment commentlist comments disqus replies reply respond".split())
+# Words that say what a name is about whatever stands before them (reader-comments), but for those of states and layouts.
+SURE_WORDS = frozenset(
+    "adbox advert adverts advertisement advertising breadcrumb breadcrumbs commentlist comments disqus gdpr navbar "
+    "newsletter pagination promo replies sidebar signup sponsored".split()
+)
+STATE_WORDS = frozenset("can disable enable has have hide is no non not of off on show with without".split())
 # Words that a name may have next to those above; any other word makes it another name (has-sidebar, share-of-market).
 PLAIN_WORDS = frozenset(
     "area author bar block body bottom box button buttons center col column container cta group head header holder "
-    "icon icons inner item items js left link links list meta module outer page panel primary right row secondary "
+    "icon icons inline inner item items js left link links list meta module outer page panel primary right row secondary "
     "section site slot sticky text title top unit user wrap wrapper global".split()
 )
 
@@ -77,6 +84,14 @@ def _mark(tag: str, attributes: str, inside_article: bool) -> int:
             continue
         for name in (found[2] or found[3] or found[4] or "").split():
             words = [w.lower() for w in _WORDS.findall(name)]
+            said = list(words)
+            while said and said[-1] in PLAIN_WORDS:
+                said.pop()
+            if said and said[-1] in SURE_WORDS and STATE_WORDS.isdisjoint(words):
+                if said[-1] in COMMENT_WORDS:
+                    return OUTSIDE
+                if not usual:
+                    return BESIDE
             if words and (words[-1] in BESIDE_WORDS or words[0] in BESIDE_WORDS):
                 if all(w in BESIDE_WORDS or w in ARTICLE_WORDS or w in PLAIN_WORDS for w in words):
                     if words[0] in COMMENT_WORDS or words[-1] in COMMENT_WORDS:
@@ -107,6 +122,7 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
     """
     found: list[tuple[str, int, float]] = []
     around: list[tuple[str, int]] = []  # open block elements with the mark that holds inside them
+    opened: Counter[str] = Counter()  # how many elements of a name are in around
     text: list[str] = []
     linked: list[str] = []
     ends: dict[str, dict[int, int]] = {}
@@ -122,6 +138,15 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
             text.clear()
             linked.clear()
 
+    def enter(tag: str, mark: int) -> None:
+        around.append((tag, mark))
+        opened[tag] += 1
+
+    def leave() -> str:
+        tag, _ = around.pop()
+        opened[tag] -= 1
+        return tag
+
     def put(piece: str) -> None:
         text.append(piece)
         if in_link:
@@ -162,25 +187,24 @@ def blocks(page: str) -> list[tuple[str, int, float]]:
             if not closing and attributes and _mark(tag, attributes, True) in (BESIDE, OUTSIDE):
                 close_block()
                 held = around[-1][1] if around else UNMARKED
-                around.append((tag, OUTSIDE if held == OUTSIDE else BESIDE))
+                enter(tag, OUTSIDE if held == OUTSIDE else BESIDE)
             elif closing and around and around[-1][0] == tag:
                 close_block()
-                around.pop()
+                leave()
         else:
             close_block()
             if tag in VOID:
                 continue
             if closing:
-                for depth in range(len(around) - 1, -1, -1):
-                    if around[depth][0] == tag:
-                        del around[depth:]
-                        break
+                # Each element is left once, so tags that close nothing or too much cost no walk of their own.
+                while opened[tag] and leave() != tag:
+                    pass
             elif not attributes.endswith("/"):
                 if around and around[-1][0] == "p" or around and around[-1][0] == tag == "li":
-                    around.pop()
+                    leave()
                 held = around[-1][1] if around else UNMARKED
                 mark = _mark(tag, attributes, held == ARTICLE)
-                around.append((tag, OUTSIDE if held == OUTSIDE else mark or held))
+                enter(tag, OUTSIDE if held == OUTSIDE else mark or held)
     close_block()
     # A form with most of the words of a page without an article is the page.
     sizes = [(mark, text.count(" ") + 1) for text, mark, _ in found]
@@ -216,11 +240,33 @@ LABELLED = (
     (45, 0.1, 120, 0.0, 1, 0.0, ARTICLE, 1),
     (300, 0.02, 45, 0.1, 14, 0.2, ARTICLE, 1),
     (6, 1.0, 50, 0.0, 80, 0.0, ARTICLE, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, ARTICLE, 1),
     (20, 0.6, 4, 0.0, 12, 0.3, ARTICLE, 1),
     (2, 0.0, 1, 1.0, 0, 0.0, ARTICLE, 1),
     (80, 0.0, 0, 0.0, 0, 0.0, ARTICLE, 1),
-    # the same right after a menu or a linked heading
+    # menus and lists of links inside an article, also at its end and before its text goes on
+    (1, 1.0, 1, 1.0, 1, 1.0, ARTICLE, 0),
+    (2, 1.0, 60, 0.0, 1, 1.0, ARTICLE, 0),
+    (4, 1.0, 45, 0.1, 5, 1.0, ARTICLE, 0),
+    (5, 1.0, 3, 0.0, 6, 1.0, ARTICLE, 0),
+    (3, 1.0, 0, 0.0, 2, 1.0, ARTICLE, 0),
+    (2, 1.0, 2, 1.0, 3, 1.0, ARTICLE, 0),
+    (6, 1.0, 5, 1.0, 4, 1.0, ARTICLE, 0),
+    (9, 1.0, 7, 1.0, 12, 1.0, ARTICLE, 0),
+    (3, 1.0, 4, 1.0, 0, 0.0, ARTICLE, 0),
+    (7, 1.0, 6, 1.0, 0, 0.0, ARTICLE, 0),
+    (2, 1.0, 3, 1.0, 70, 0.0, ARTICLE, 0),
+    (4, 1.0, 5, 1.0, 9, 0.0, ARTICLE, 0),
+    # a linked heading or paragraph between text, and one linked line alone
+    (4, 1.0, 0, 0.0, 60, 0.0, ARTICLE, 1),
+    (3, 1.0, 70, 0.0, 1, 0.0, ARTICLE, 1),
+    (2, 1.0, 40, 0.0, 0, 0.0, ARTICLE, 1),
+    (5, 1.0, 0, 0.0, 0, 0.0, ARTICLE, 1),
+    (1, 1.0, 3, 0.0, 30, 0.4, ARTICLE, 1),
+    # paragraphs with many links next to a list of links
+    (8, 0.6, 40, 0.0, 5, 1.0, ARTICLE, 1),
+    (15, 0.5, 30, 0.0, 3, 1.0, ARTICLE, 1),
+    (6, 0.7, 3, 1.0, 4, 1.0, ARTICLE, 1),
+    # headings and paragraphs right after a linked one
     (4, 0.0, 1, 1.0, 70, 0.0, ARTICLE, 1),
     (5, 0.0, 3, 1.0, 48, 0.0, ARTICLE, 1),
     (6, 0.0, 2, 1.0, 3, 0.0, ARTICLE, 1),
@@ -368,14 +414,16 @@ def answer_of(tree: Tree, features: Sequence[float]) -> int:
 
 def main_text(page: str | None, tree: Tree) -> str:
     """The blocks that the tree takes for main text, one per line; empty if there are none."""
-    cut = blocks(page or "")
-    sizes = [(0, 0.0), *((b[0].count(" ") + 1, b[2]) for b in cut), (0, 0.0)]
-    kept = [
-        text
-        for k, (text, mark, _) in enumerate(cut, 1)
-        if answer_of(tree, (*sizes[k], *sizes[k - 1], *sizes[k + 1], mark))
-    ]
-    return "\n".join(kept)
+    cut = [(text, mark, (text.count(" ") + 1, density)) for text, mark, density in blocks(page or "")]
+    none = ("", None, (0, 0.0))
+
+    def described(place: int) -> tuple:
+        # A block under another mark is no neighbour: a menu says nothing of the title below it.
+        _, mark, size = cut[place]
+        around = (cut[place - 1] if place else none, cut[place + 1] if place + 1 < len(cut) else none)
+        return (*size, *(n for b in around for n in (b[2] if b[1] == mark else none[2])), mark)
+
+    return "\n".join(text for k, (text, _, _) in enumerate(cut) if answer_of(tree, described(k)))
 
 
 def extract(pages: DataFrame, labelled: Sequence[tuple] = LABELLED) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from daybook.llm import html_text
 from daybook.llm.html_text import ARTICLE, BESIDE, LABELLED, UNMARKED
 
@@ -94,6 +96,38 @@ def test_skipped_elements_nest_and_may_be_left_open():
     assert text("<article><p>One " + "<button>x " * 20_000 + "</button></article>") == "One" + " x" * 19_999
 
 
+def test_comments_and_notices_under_any_name():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    for name in ("reader-comments", "user-comments-section", "article__comments", "newsletter-signup-inline", "top-story-promo", "mobileAdvertBox"):
+        for tag in ("section", "div", "p"):
+            page = f"<article><h1>Title</h1><p>{body}</p><{tag} class='{name}'>No {body}</{tag}><p>More</p></article>"
+            assert text(page) == f"Title\n{body}\nMore", (name, tag)
+    for name in ("has-comments", "no-sidebar", "with-newsletter", "comments-off", "show-promo"):
+        assert text(f"<article class='{name}'><p>{body}</p></article>") == body
+    assert text(f"<article><p>{body}</p><pre><code><span class='hljs-comment'># note</span> x</code></pre></article>") == f"{body}\n# note x"
+
+
+def test_lists_of_links_inside_an_article():
+    body = " ".join(["a long paragraph of many words"] * 8)
+    links = "".join(f"<li><a href=/{k}>{' '.join(['Other'] * (1 + k % 6))}</a></li>" for k in range(8))
+    linked = "<h2><a href=z>A linked heading</a></h2>"
+    page = f"<nav><a href=x>Home</a></nav><article>{linked}<p>{body}</p>{linked}<p>{body}</p><ul>{links}</ul></article><footer><a href=y>Us</a></footer>"
+    assert text(page) == f"A linked heading\n{body}\nA linked heading\n{body}"
+    assert text(f"<article><h1>Title</h1><ul>{links}</ul><p>{body}</p></article>") == f"Title\n{body}"
+
+
+def test_deep_and_unbalanced_pages_take_linear_time():
+    def seconds(page, want):
+        begin = time.process_time()
+        assert text(page) == want
+        return time.process_time() - begin
+
+    for tags in ("<div>", "</section>", "<div></section>", "<section></div></p>", "<b class=ad>"):
+        assert seconds(f"<article><p>One</p></article>{tags * 100_000}", "One") < 10
+    page = "<div>" * 100_000 + "</section>" * 100_000 + "<article><p>One</p></article>" + "</div>" * 150_000
+    assert seconds(page, "One") < 10
+
+
 def test_marks():
     blocks = html_text.blocks('<main><p>a<nav><p>b</nav><p>c</main><p>d <a href=x>e</a>')
     assert [(b[0], b[1]) for b in blocks] == [("a", ARTICLE), ("b", BESIDE), ("c", ARTICLE), ("d e", UNMARKED)]
