@@ -262,6 +262,9 @@ LABELLED = (
     (2, 1.0, 40, 0.0, 0, 0.0, ARTICLE, 1),
     (5, 1.0, 0, 0.0, 0, 0.0, ARTICLE, 1),
     (1, 1.0, 3, 0.0, 30, 0.4, ARTICLE, 1),
+    (4, 1.0, 60, 0.1, 50, 0.0, ARTICLE, 1),
+    (2, 1.0, 25, 0.4, 40, 0.1, ARTICLE, 1),
+    (6, 1.0, 30, 0.3, 0, 0.0, ARTICLE, 1),
     # paragraphs with many links next to a list of links
     (8, 0.6, 40, 0.0, 5, 1.0, ARTICLE, 1),
     (15, 0.5, 30, 0.0, 3, 1.0, ARTICLE, 1),
@@ -378,7 +381,7 @@ LABELLED = (
 Tree = tuple | int
 
 
-def grow(rows: Sequence[tuple], depth: int = 8) -> Tree:
+def grow(rows: Sequence[tuple], depth: int = 12) -> Tree:
     """Decision tree over rows of features and, at the end, 0 or 1, by least Gini impurity."""
     positive = sum(row[-1] for row in rows)
     answer = int(2 * positive >= len(rows))

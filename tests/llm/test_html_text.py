@@ -113,6 +113,11 @@ def test_lists_of_links_inside_an_article():
     linked = "<h2><a href=z>A linked heading</a></h2>"
     page = f"<nav><a href=x>Home</a></nav><article>{linked}<p>{body}</p>{linked}<p>{body}</p><ul>{links}</ul></article><footer><a href=y>Us</a></footer>"
     assert text(page) == f"A linked heading\n{body}\nA linked heading\n{body}"
+    for some in range(0, 20, 3):
+        cited = f"{body} <a href=q>{' '.join(['cited'] * some)}</a>"
+        want = f"{body} {' '.join(['cited'] * some)}".strip()
+        assert text(f"<article><p>{cited}</p>{linked}<p>{cited}</p></article>") == f"{want}\nA linked heading\n{want}"
+        assert text(f"<article><p>{cited}</p>{linked}</article>") == f"{want}\nA linked heading"
     assert text(f"<article><h1>Title</h1><ul>{links}</ul><p>{body}</p></article>") == f"Title\n{body}"
 
 
