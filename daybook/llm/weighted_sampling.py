@@ -5,9 +5,12 @@ depend on the word and the number of the sample only, and keeps the word, with t
 falls on, that has the least value. Two texts keep the same one with a probability equal to their
 generalised Jaccard similarity, so the share of equal samples estimates it.
 
-The next document of each one is found in chunks of the order of ids: borders are taken from the
-ids themselves, a chunk is ordered in one task, and only the first document of each chunk crosses a
-border. Texts are shuffled once, by chunk, and everything up to the fingerprint follows in that layout.
+The next document of each one is found in chunks of the order of ids and texts: borders are pairs of
+an id and a text's hash, so an id that many rows share is divided too, and copies of one row that
+would fill a chunk are counted before the shuffle. A chunk is ordered in one task, and only the first
+document of each chunk crosses a border. Texts are shuffled once, by chunk, and everything up to the
+fingerprint follows in that layout. A word that stands as often in a text as in its edited form is
+sampled once for both.
 """
 
 from __future__ import annotations
@@ -17,9 +20,15 @@ from pyspark.sql import functions as F
 
 from daybook.session import checkpointed
 
-SAMPLES = 32
+SAMPLES = 64
 CHUNK_ROWS = 2048
+# Beyond it chunks grow, but there are always several to a shuffle partition.
 MOST_CHUNKS = 16_384
+CHUNKS_OF_PARTITION = 4
+# Copies of one row that a task writes.
+COPIES = 65_536
+# Hex digits that name a sample: unlike ones look alike once in 65,536 cases.
+DIGITS = 4
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _LOW = 0xFFFFFFFF
@@ -31,27 +40,32 @@ def _sample(k: int) -> Column:
     The high half orders by the value a of the word, the low half names the word and its step t:
     r, c ~ Gamma(2, 1) and b ~ U(0, 1) by hash, t = floor(ln n / r + b), ln a = ln c - r (t - b + 1).
     """
-    bits = [f"xxhash64(h, {3 * k + j}L)" for j in range(3)]
+    one, two = (f"xxhash64(h, {2 * k + j}L)" for j in range(2))
 
-    def uniform(word: str, shift: int) -> str:
-        return f"((shiftrightunsigned({word}, {shift}) & {_LOW}L) + 0.5D) * {2.0**-32!r}D"
+    def uniform(word: str, shift: int, bits: int) -> str:
+        part = f"(shiftrightunsigned({word}, {shift}) & {(1 << bits) - 1}L)"
+        return f"(({part} + 0.5D) * {2.0**-bits!r}D)"
 
-    r = f"(-ln({uniform(bits[0], 0)} * ({uniform(bits[0], 32)})))"
-    ln_c = f"ln(-ln({uniform(bits[1], 0)} * ({uniform(bits[1], 32)})))"
-    b = f"({uniform(bits[2], 16)})"
+    r = f"(-ln({uniform(one, 0, 21)} * {uniform(one, 21, 21)}))"
+    b = uniform(one, 42, 22)
+    ln_c = f"ln(-ln({uniform(two, 0, 32)} * {uniform(two, 32, 32)}))"
     t = f"floor(ln_n / {r} + {b})"
     value = f"shiftleft(cast(({ln_c} - {r} * ({t} - {b} + 1D)) * {2.0**24!r}D as bigint), 32)"
     return F.expr(f"{value} | ((h ^ shiftleft({t}, 7)) & {_LOW}L)")
 
 
-def _counted(text: Column) -> Column:
-    """The words of a text as structs of h, a hash, and n, how often it stands there; NULL if none."""
-    hashed = F.transform(F.filter(F.split(text, _SPACE), lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.sort_array(hashed)
+def _words(text: str, side: int) -> Column:
+    """A hash of each word of a text, whose last bit tells the side."""
+    words = F.filter(F.split(F.lower(F.col(text)), _SPACE), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(side)))
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """rows with a sorted array ``a``, and a row per distinct value h with ln_n; one of NULLs if none."""
+    """rows with a sorted array ``a``, and a row per distinct word with h, ln_n and ``side``.
+
+    A word that both sides have equally often is one row of side 2. Without words there is one row of
+    NULLs.
+    """
     last = F.size("a") - 1
     starts = F.filter(
         F.when(last >= 0, F.sequence(F.lit(0), last)),
@@ -61,70 +75,152 @@ def _runs(rows: DataFrame) -> DataFrame:
     run = F.transform(
         "starts",
         lambda s, j: F.struct(
-            F.get("a", s).alias("h"),
+            F.get("a", s).alias("v"),
             (F.coalesce(F.get("starts", j + 1), F.size("a")) - s).alias("n"),
         ),
     )
     rows = rows.withColumn("runs", run).drop("a", "starts")
+
+    def partner(run: Column, other: Column) -> Column:
+        same_word = run["v"].bitwiseXOR(other["v"]) == 1
+        return F.coalesce(same_word & (run["n"] == other["n"]), F.lit(False))
+
+    def placed(run: Column, j: Column) -> Column:
+        own = run["v"].bitwiseAND(F.lit(1)).cast("int")
+        side = (
+            F.when((own == 0) & partner(run, F.get("runs", j + 1)), 2)
+            .when((own == 1) & partner(run, F.get("runs", j - 1)), -1)
+            .otherwise(own)
+        )
+        return F.struct(run["v"].bitwiseAND(F.lit(-2)).alias("h"), run["n"].alias("n"), side.alias("side"))
+
+    placed_runs = F.filter(F.transform("runs", placed), lambda x: x["side"] >= 0)
+    rows = rows.withColumn("runs", placed_runs)
     kept = [F.col(c) for c in rows.columns if c != "runs"]
     rows = rows.select(*kept, F.inline_outer("runs"))
     return rows.withColumn("ln_n", F.log(F.col("n").cast("double"))).drop("n")
 
 
-def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``fingerprint`` of each row of ``keys``, which identify a row; empty for a text without words.
+def fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
+    """Fingerprints of one or two texts of each row of ``keys``, which identify a row.
 
-    Where rows already lie together by one of the keys, nothing is shuffled.
+    ``texts`` maps the name of a fingerprint to the column of its text. It is empty for a text without
+    words. Where rows already lie together by one of the keys, nothing is shuffled.
     """
-    words = rows.select(*keys, _counted(F.lower(F.col(text))).alias("a"))
+    none = F.array().cast("array<bigint>")
+    words = F.concat(*[F.coalesce(_words(text, side), none) for side, text in enumerate(texts.values())])
     samples = [F.min(_sample(k)).alias(f"s{k}") for k in range(SAMPLES)]
-    signed = _runs(words).groupBy(*keys).agg(*samples)
-    parts = [F.lpad(F.hex(F.col(f"s{k}").bitwiseAND(F.lit(_LOW))), 8, "0") for k in range(SAMPLES)]
-    return signed.select(*keys, F.coalesce(F.concat(*parts), F.lit("")).alias("fingerprint"))
+    runs = _runs(rows.select(*keys, F.sort_array(words).alias("a")))
+    signed = runs.groupBy(*keys, "side").agg(*samples)
+    # At most three rows of a key: a word of both sides counts for each.
+    least = [
+        F.min(F.when(F.col("side") != 1 - side, F.col(f"s{k}"))).alias(f"s{side}_{k}")
+        for side in range(len(texts))
+        for k in range(SAMPLES)
+    ]
+    signed = signed.groupBy(*keys).agg(*least)
+    names = F.lit((1 << 4 * DIGITS) - 1)
+
+    def joined(side: int) -> Column:
+        parts = [F.lpad(F.hex(F.col(f"s{side}_{k}").bitwiseAND(names)), DIGITS, "0") for k in range(SAMPLES)]
+        return F.coalesce(F.concat(*parts), F.lit(""))
+
+    return signed.select(*keys, *[joined(side).alias(name) for side, name in enumerate(texts)])
 
 
 def likeness(one: str, other: str) -> Column:
     """Share of equal samples; two empty fingerprints are alike, an empty and another one are not."""
     equal = sum(
-        (F.substring(one, 8 * k + 1, 8) == F.substring(other, 8 * k + 1, 8)).cast("int")
+        (F.substring(one, DIGITS * k + 1, DIGITS) == F.substring(other, DIGITS * k + 1, DIGITS)).cast("int")
         for k in range(SAMPLES)
     )
     either_empty = (F.col(one) == "") | (F.col(other) == "")
     return F.when(either_empty, (F.col(one) == F.col(other)).cast("double")).otherwise(equal / F.lit(float(SAMPLES)))
 
 
-def _chunk(doc_id: Column, borders: list[int]) -> Column:
-    """Number of borders at or below the id, looked up by blocks; 0 for NULL, which comes first."""
+def _key() -> Column:
+    """What rows are ordered by: the id, rows without one first, then the text."""
+    return F.struct(
+        F.col("doc_id").isNotNull().alias("known"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("hash"),
+    )
+
+
+def _chunk(key: Column, borders: list[tuple]) -> Column:
+    """Number of borders at or below the key, looked up by blocks."""
     if not borders:
         return F.lit(0)
     block = max(1, int(len(borders) ** 0.5))
-    ends = F.array(*[F.lit(b) for b in borders[block - 1 :: block]]) if len(borders) >= block else F.array()
-    all_borders = F.lit(borders)
-    full = F.size(F.filter(ends, lambda e: e <= doc_id)) * block
-    rest = F.size(F.filter(F.slice(all_borders, full + 1, block), lambda e: e <= doc_id))
-    return F.when(doc_id.isNull(), 0).otherwise(full + rest)
+
+    def listed(some: list[tuple]) -> Column:
+        # All literals, so the optimizer makes one of them.
+        keys = (f"named_struct('known', {bool(k)}, 'id', {i}L, 'hash', {h}L)" for k, i, h in some)
+        return F.expr(f"array({', '.join(keys)})")
+
+    full = F.lit(0)
+    ends = borders[block - 1 :: block]
+    if ends:
+        full = F.size(F.filter(listed(ends), lambda e: e <= key)) * block
+    rest = F.size(F.filter(F.slice(listed(borders), full + 1, block), lambda e: e <= key))
+    return full + rest
 
 
-def in_chunks(docs: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """doc_id and text with ``chunk`` and ``rn``, the place in it, and the chunk that follows each one.
+def _borders(rows: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """Borders that divide rows into about even chunks, and keys with enough copies to fill one.
 
-    The order is by id, rows without one first; rows with equal ids are ordered by their text. The
-    last chunk is followed by the first.
+    Both are at most as many as chunks.
+    """
+    count = rows.count()
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = min(max(MOST_CHUNKS, CHUNKS_OF_PARTITION * partitions), -(-count // CHUNK_ROWS))
+    if chunks < 2:
+        return [], []
+    keys = rows.select(F.inline(F.array(_key()))).repartitionByRange(chunks, "known", "id", "hash")
+    # Ranges keep equal keys together: nothing is shuffled to count them.
+    counted = keys.groupBy("known", "id", "hash").agg(F.count(F.lit(1)).alias("n"))
+    key = F.struct("known", "id", "hash")
+    copies = F.col("n") > F.lit(max(CHUNK_ROWS, -(-count // chunks)))
+    ranges = counted.groupBy(F.spark_partition_id().alias("range")).agg(
+        F.min(key).alias("first"), F.collect_list(F.when(copies, key)).alias("hot")
+    )
+    found = ranges.collect()
+    borders = sorted(tuple(row["first"]) for row in found)[1:]
+    return borders, sorted(tuple(h) for row in found for h in row["hot"])
+
+
+def in_chunks(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """doc_id and text with ``chunk`` and ``copies``, and whether any row stands for several.
+
+    The order is by id, rows without one first; rows with equal ids are ordered by their text. A row of
+    which there is more than a chunk stands twice: once for all copies but the last, once for the last.
     """
     rows = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    count = rows.count()
-    chunks = min(MOST_CHUNKS, max(1, -(-count // CHUNK_ROWS)))
-    shares = [k / chunks for k in range(1, chunks)]
-    borders: list[int] = []
-    if shares:
-        found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * chunks))).first()[0]
-        borders = sorted(set(found or []))
-    rows = rows.withColumn("chunk", _chunk(F.col("doc_id"), borders).cast("int"))
-    used = sorted(row[0] for row in rows.select("chunk").distinct().collect())
-    after = dict(zip(used, used[1:] + used[:1]))
-    return rows, after
+    borders, hot = _borders(rows)
+    one = F.lit(1).cast("long").alias("copies")
+    if hot:
+        keys = F.broadcast(rows.sparkSession.createDataFrame(hot, "known boolean, id long, hash long"))
+        keyed = rows.select("*", F.inline(F.array(_key())))
+        on = ["known", "id", "hash"]
+        counted = keyed.join(keys, on, "left_semi").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+        parts = F.when(F.col("copies") > 1, F.array(F.col("copies") - 1, one)).otherwise(F.array(one))
+        counted = counted.select("doc_id", "text", F.explode(parts).alias("copies"))
+        rows = keyed.join(keys, on, "left_anti").select("doc_id", "text", one).unionByName(counted)
+    else:
+        rows = rows.select("*", one)
+    return rows.withColumn("chunk", _chunk(_key(), borders).cast("int")), bool(hot)
+
+
+def _all_copies(result: DataFrame) -> DataFrame:
+    """Each row as often as ``copies`` says, no more than ``COPIES`` of one in a task."""
+    parts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))
+    several = result.filter("copies > 1").withColumn("part", F.explode(parts))
+    several = several.repartition("doc_id", "edited_sha256", "part")
+    here = F.least(F.col("copies") - F.col("part"), F.lit(COPIES)).cast("int")
+    several = several.withColumn("part", F.explode(F.sequence(F.lit(1), here))).drop("part")
+    return result.filter("copies = 1").unionByName(several).drop("copies")
 
 
 def compared(docs: DataFrame) -> DataFrame:
@@ -134,47 +230,42 @@ def compared(docs: DataFrame) -> DataFrame:
     edited text ends with the beginning of the next document's. A NULL text counts as empty; repeated
     rows follow each other; an empty table gives no rows; further columns are left out.
     """
-    rows, after = in_chunks(docs)
+    rows, hot = in_chunks(docs)
     spark = docs.sparkSession
-    # One row per chunk: at most MOST_CHUNKS + 1.
-    following = spark.createDataFrame(list(after.items()), "before int, chunk int")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("copies").desc()]
     first = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
-    opening = rows.groupBy("chunk").agg(F.min_by(F.struct("text"), first).alias("opening"))
-    opening = opening.join(F.broadcast(following), "chunk").select(
-        F.col("before").alias("chunk"), F.col("opening.text").alias("opening")
-    )
-    inside = Window.partitionBy("chunk").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    opening = checkpointed(rows.groupBy("chunk").agg(F.min_by("text", first).alias("opening")))
+    # One row per chunk: as many as borders, and one.
+    used = sorted(row[0] for row in opening.select("chunk").collect())
+    following = spark.createDataFrame(list(zip(used, used[1:] + used[:1])), "before int, chunk int")
+    opening = opening.join(F.broadcast(following), "chunk").select(F.col("before").alias("chunk"), "opening")
+    inside = Window.partitionBy("chunk").orderBy(*order)
     rows = rows.withColumns({"rn": F.row_number().over(inside), "next": F.lead("text").over(inside)})
     rows = rows.join(opening, "chunk").withColumn("next", F.coalesce("next", "opening"))
     size = F.length("text")
     tail = F.floor(size / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), size - tail), F.substr("next", F.lit(1), tail))
-    both = F.array(
-        F.struct(F.lit(0).alias("which"), F.col("text"), F.lit(None).cast("binary").alias("sha")),
-        F.struct(F.lit(1).alias("which"), F.col("edited").alias("text"), F.unhex(F.sha2("edited", 256)).alias("sha")),
-    )
     rows = rows.withColumn("edited", edited)
-    rows = rows.select("chunk", "rn", "doc_id", size.cast("long").alias("n_chars"), F.inline(both))
-    signed = checkpointed(
-        fingerprints(rows, ["chunk", "rn", "doc_id", "n_chars", "which", "sha"], "text")
-    )
+    sha = F.unhex(F.sha2("edited", 256)).alias("sha")
+    rows = rows.select("chunk", "rn", "doc_id", "copies", size.cast("long").alias("n_chars"), sha, "text", "edited")
+    keys = ["chunk", "rn", "doc_id", "copies", "n_chars", "sha"]
+    names = {"fingerprint": "text", "edited_fingerprint": "edited"}
+    own = checkpointed(fingerprints(rows, keys, names))
 
-    own = signed.filter("which = 0").select("chunk", "rn", "doc_id", "n_chars", "fingerprint")
-    edited = signed.filter("which = 1").select(
-        "chunk", "rn", F.lower(F.hex("sha")).alias("edited_sha256"), F.col("fingerprint").alias("edited_fingerprint")
-    )
     openings = own.filter("rn = 1").select("chunk", F.col("fingerprint").alias("opening"))
     openings = openings.join(F.broadcast(following), "chunk").select(F.col("before").alias("chunk"), "opening")
     inside = Window.partitionBy("chunk").orderBy("rn")
     own = own.withColumn("next_fingerprint", F.lead("fingerprint").over(inside))
-    all_rows = own.join(edited, ["chunk", "rn"]).join(openings, "chunk")
+    all_rows = own.join(F.broadcast(openings), "chunk")
     all_rows = all_rows.withColumn("next_fingerprint", F.coalesce("next_fingerprint", "opening"))
-    return all_rows.select(
+    result = all_rows.select(
         "doc_id",
+        "copies",
         "n_chars",
-        "edited_sha256",
+        F.lower(F.hex("sha")).alias("edited_sha256"),
         "fingerprint",
         "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
+    return _all_copies(result) if hot else result.drop("copies")
