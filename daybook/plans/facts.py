@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import base_rate_to_pln, currency_of, money, padded_key
-from daybook.operators import dims, maintained, orders, ranges, skew, state, tables
+from daybook.operators import bucketed, dims, maintained, orders, ranges, skew, state, tables
 from daybook.operators.events import checkout_gate, interval_pairs, next_in_interval
 from daybook.plans.daily import campaign_day
 from daybook.plans.registry import day_text, query, table, time_text
@@ -957,3 +957,49 @@ def differing_rows(spark, folder):
     )
     found = tables.differing_rows(lines, other, "l_shipdate", ["l_orderkey", "l_linenumber"])
     return found.select(day_text(F.col("day")).alias("day"), "l_orderkey", "l_linenumber", "kind")
+
+
+# --- tables kept in buckets of the order: two loads, then items with their order and totals by order ---
+
+
+@query(
+    "order_shares_bucketed",
+    """
+    WITH i AS (SELECT l_orderkey AS order_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
+                      l_returnflag = 'R' AS returned, l_shipdate FROM lineitem)
+    SELECT o_orderkey AS order_id, o_orderstatus AS order_status, COUNT(order_id) AS items,
+           CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS amount, COUNT(*) FILTER (returned) AS returned,
+           COUNT(*) FILTER (CAST(l_shipdate AS DATE) > CAST(o_orderdate AS DATE) + 30) AS shipped_late
+    FROM orders LEFT JOIN i ON order_id = o_orderkey GROUP BY ALL
+    """,
+)
+def order_shares_bucketed(spark, folder):
+    """Items and orders land in two loads each; what follows reads bucket by bucket and moves no rows."""
+    base, buckets = shared_folder(spark, "buckets"), bucketed.bucket_count(table(spark, folder, "lineitem").count())
+    placed = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("order_status"), "o_orderdate"
+    )
+    items = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        money(F.col("l_extendedprice")).alias("amount"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        "l_shipdate",
+    )
+
+    def landed(rows: DataFrame, kind: str) -> DataFrame:
+        name = f"{kind}_{base.rsplit('-', 1)[-1]}"
+        early = F.coalesce(F.col("order_id") % 2 == 0, F.lit(True))
+        bucketed.store(rows.filter(early), name, f"{base}/{kind}", "order_id", buckets)
+        return bucketed.store(rows.filter(~early), name, f"{base}/{kind}", "order_id", buckets, append=True)
+
+    placed, items = landed(placed, "orders"), landed(items, "items")
+    late = F.to_date("l_shipdate") > F.date_add(F.to_date("o_orderdate"), 30)
+    of_order = orders.with_order(items, placed, ["o_orderdate"], hot=None)
+    sums = of_order.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("amount").cast("double").alias("amount"),
+        F.count_if("returned").alias("returned"),
+        F.count_if(late).alias("shipped_late"),
+    )
+    counted = ["items", "amount", "returned", "shipped_late"]
+    return placed.join(sums, "order_id", "left").select("order_id", "order_status", *counted).fillna(0, counted)
