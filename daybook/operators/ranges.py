@@ -4,6 +4,9 @@ Every range is the union of few nodes, aligned blocks of ``FAN`` to some power o
 2 * FAN per level, however long the range is. A point lies in one node per level. So the look-up
 is an equi-join on level and node, ranges may be open or centuries long at minute grain, and no
 range is ever expanded to its days or minutes.
+
+Where only totals over the ranges of a point are asked for, the ranges are totalled per node first.
+A point then meets one row per level, however many ranges hold it, and no pair of the two is made.
 """
 
 from __future__ import annotations
@@ -69,8 +72,42 @@ def in_ranges(
     those in ``on`` should differ. Points are repeated for the levels that occur in the ranges, at most
     ``LEVELS`` times. Up to ``BROADCAST_NODES`` nodes are sent to the points, which do not move then.
     """
+    return _at_nodes(points, point, _with_nodes(ranges, low, high), on)
+
+
+def totals_in_ranges(
+    points: DataFrame,
+    keys: Sequence[str],
+    point: Column,
+    ranges: DataFrame,
+    low: Column,
+    high: Column,
+    on: Sequence[str],
+    value: str,
+) -> DataFrame:
+    """``keys`` with the number of ranges that hold a point of theirs and the least and greatest ``value`` of them.
+
+    The totals are those of grouping ``in_ranges`` by ``keys``, without its rows: the work grows with points and
+    ranges, and not with their product. Keys whose points are in no range are left out.
+    """
+    per_node = _with_nodes(ranges, low, high).groupBy(*on, "__level", "__node")
+    nodes = per_node.agg(
+        F.count(F.lit(1)).alias("__count"), F.min(value).alias("__least"), F.max(value).alias("__greatest")
+    )
+    found = _at_nodes(points.withColumn("__point", point).select(*dict.fromkeys([*keys, *on]), "__point"), F.col("__point"), nodes, on)
+    return found.groupBy(*keys).agg(
+        F.sum("__count").alias("count"), F.min("__least").alias("least"), F.max("__greatest").alias("greatest")
+    )
+
+
+def _with_nodes(ranges: DataFrame, low: Column, high: Column) -> DataFrame:
+    """A row per range and node of it."""
     nodes = ranges.withColumn("__node", F.explode(cover(low, high))).select("*", "__node.level", "__node.node")
-    nodes = nodes.drop("__node").withColumnsRenamed({"level": "__level", "node": "__node"})
+    return nodes.drop("__node").withColumnsRenamed({"level": "__level", "node": "__node"})
+
+
+def _at_nodes(points: DataFrame, point: Column, nodes: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Points joined with the rows of the nodes they lie in."""
     count, levels = nodes.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("__level"))).first()
     if count <= BROADCAST_NODES:
         nodes = F.broadcast(nodes)

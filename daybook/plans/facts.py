@@ -886,12 +886,9 @@ def orders_in_ranges(spark, folder):
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     placed = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(customers, "o_custkey")
     low, high = ranges.day_number(F.col("start_date")), ranges.day_number(F.col("end_date"))
-    found = ranges.in_ranges(placed, ranges.day_number(F.col("o_orderdate")), campaigns, low, high, ["c_nationkey"])
-    return found.groupBy("o_orderkey").agg(
-        F.count(F.lit(1)).alias("campaigns"),
-        F.min("s_suppkey").alias("first_campaign"),
-        F.max("s_suppkey").alias("last_campaign"),
-    )
+    placed_on = ranges.day_number(F.col("o_orderdate"))
+    found = ranges.totals_in_ranges(placed, ["o_orderkey"], placed_on, campaigns, low, high, ["c_nationkey"], "s_suppkey")
+    return found.withColumnsRenamed({"count": "campaigns", "least": "first_campaign", "greatest": "last_campaign"})
 
 
 @query(

@@ -52,6 +52,40 @@ def test_look_up_equals_brute_force(spark, monkeypatch, bound):
     assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
 
 
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_totals_equal_those_of_the_pairs(spark, monkeypatch, bound):
+    monkeypatch.setattr(ranges, "BROADCAST_NODES", bound)
+    rng = random.Random(8)
+    held = [(k, rng.choice([None, k % 40]), rng.choice([None, k % 90]), rng.choice(["a", "b", None])) for k in range(200)]
+    points = [(k // 2, rng.choice([None, rng.randrange(-5, 100)]), rng.choice(["a", "b", None])) for k in range(200)]
+    there = spark.createDataFrame(points, "p int, at bigint, g string"), F.col("at")
+    of = spark.createDataFrame(held, "k int, low bigint, high bigint, g string"), F.col("low"), F.col("high")
+    pairs = ranges.in_ranges(*there, *of, ["g"]).groupBy("p")
+    want = sorted(pairs.agg(F.count(F.lit(1)), F.min("k"), F.max("k")).collect())
+    found = ranges.totals_in_ranges(there[0], ["p"], there[1], *of, ["g"], "k")
+    assert sorted(found.collect()) == want and want
+
+
+def test_totals_make_no_pairs(spark):
+    points = spark.range(500).select("id", F.lit(70).cast("bigint").alias("at"), F.lit("a").alias("g"))
+    held = spark.range(400).select("id", F.lit(0).cast("bigint").alias("low"), F.lit(99).cast("bigint").alias("high"), F.lit("a").alias("g"))
+    held = held.withColumnRenamed("id", "k")
+    found = ranges.totals_in_ranges(points, ["id"], F.col("at"), held, F.col("low"), F.col("high"), ["g"], "k")
+    assert {tuple(r)[1:] for r in found.collect()} == {(400, 0, 399)}
+    plan = found._jdf.queryExecution().executedPlan()
+    # Rows out of each join, as the metrics of the finished run count them.
+    made, steps = [], [plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan]
+    while steps:
+        step = steps.pop()
+        if "Join" in step.nodeName():
+            made.append(step.metrics().apply("numOutputRows").value())
+        inner = step.plan() if "QueryStage" in step.nodeName() else None
+        steps += [inner] if inner is not None else []
+        children = step.children()
+        steps += [children.apply(k) for k in range(children.size())]
+    assert made and max(made) <= 500 * ranges.LEVELS
+
+
 def test_minutes(spark):
     moments = spark.sql("SELECT timestamp'2026-03-01 10:00:59' AS at UNION ALL SELECT timestamp'2026-03-01 10:01:00'")
     span = spark.sql("SELECT timestamp'2016-01-01 00:00:00' AS a, timestamp'2026-03-01 10:00:00' AS b")
