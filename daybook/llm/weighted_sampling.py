@@ -1,15 +1,17 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is its words with their counts. Each of ``SAMPLES`` samples draws from gamma variables that
-depend on the word and the number of the sample only, and keeps the word, with the step its count
-falls on, that has the least value. Two texts keep the same one with a probability equal to their
-generalised Jaccard similarity, so the share of equal samples estimates it.
+A text is its words with their counts. Counts are whole numbers, so the weight of a word is divided
+into steps, one for each time it occurs: step 1, step 2 and so on up to its count. Each of ``SAMPLES``
+samples orders all words and steps there can be by a hash and keeps the least one of a text. That is
+uniform over the weight of the text, and consistent: a text that gains or loses other weight keeps it.
+Two texts keep the same one with a probability equal to their generalised Jaccard similarity, so the
+share of equal samples estimates it.
 
 The next document of each one is found in chunks of the order of ids and texts: borders are pairs of
 an id and a text's hash, so an id that many rows share is divided too, and copies of one row that
 would fill a chunk are counted before the shuffle. A chunk is ordered in one task, and only the first
 document of each chunk crosses a border. Texts are shuffled once, by chunk, and everything up to the
-fingerprint follows in that layout. A word that stands as often in a text as in its edited form is
+fingerprint follows in that layout. The steps of a word that a text and its edited form share are
 sampled once for both.
 """
 
@@ -31,27 +33,14 @@ COPIES = 65_536
 DIGITS = 4
 
 _SPACE = r"[\x20\x09-\x0D]+"
-_LOW = 0xFFFFFFFF
+# Odd, so its multiples are different for each sample.
+_STRIDE = 0x9E3779B97F4A7C15
 
 
 def _sample(k: int) -> Column:
-    """Sample k of a word ``h`` whose count has the logarithm ``ln_n``, as one number.
-
-    The high half orders by the value a of the word, the low half names the word and its step t:
-    r, c ~ Gamma(2, 1) and b ~ U(0, 1) by hash, t = floor(ln n / r + b), ln a = ln c - r (t - b + 1).
-    """
-    one, two = (f"xxhash64(h, {2 * k + j}L)" for j in range(2))
-
-    def uniform(word: str, shift: int, bits: int) -> str:
-        part = f"(shiftrightunsigned({word}, {shift}) & {(1 << bits) - 1}L)"
-        return f"(({part} + 0.5D) * {2.0**-bits!r}D)"
-
-    r = f"(-ln({uniform(one, 0, 21)} * {uniform(one, 21, 21)}))"
-    b = uniform(one, 42, 22)
-    ln_c = f"ln(-ln({uniform(two, 0, 32)} * {uniform(two, 32, 32)}))"
-    t = f"floor(ln_n / {r} + {b})"
-    value = f"shiftleft(cast(({ln_c} - {r} * ({t} - {b} + 1D)) * {2.0**24!r}D as bigint), 32)"
-    return F.expr(f"{value} | ((h ^ shiftleft({t}, 7)) & {_LOW}L)")
+    """Sample k of a word's step ``e``: the whole number orders, its last bits name the word and the step."""
+    salt = (k + 1) * _STRIDE % (1 << 64)
+    return F.xxhash64(F.col("e").bitwiseXOR(F.lit(salt - (1 << 64) if salt >> 63 else salt)))
 
 
 def _words(text: str, side: int) -> Column:
@@ -60,11 +49,10 @@ def _words(text: str, side: int) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(side)))
 
 
-def _runs(rows: DataFrame) -> DataFrame:
-    """rows with a sorted array ``a``, and a row per distinct word with h, ln_n and ``side``.
+def _steps(rows: DataFrame) -> DataFrame:
+    """rows with a sorted array ``a``, and a row per word and step with a hash ``e`` of both and ``side``.
 
-    A word that both sides have equally often is one row of side 2. Without words there is one row of
-    NULLs.
+    Steps that both sides have are rows of side 2. Without words there is one row of NULLs.
     """
     last = F.size("a") - 1
     starts = F.filter(
@@ -81,24 +69,28 @@ def _runs(rows: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("runs", run).drop("a", "starts")
 
-    def partner(run: Column, other: Column) -> Column:
-        same_word = run["v"].bitwiseXOR(other["v"]) == 1
-        return F.coalesce(same_word & (run["n"] == other["n"]), F.lit(False))
+    def count_of(word: Column, run: Column) -> Column:
+        """The count of the neighbouring run where it is the other side of the same word, else 0."""
+        return F.when(run["v"].bitwiseXOR(word) == 1, run["n"]).otherwise(0)
 
     def placed(run: Column, j: Column) -> Column:
-        own = run["v"].bitwiseAND(F.lit(1)).cast("int")
-        side = (
-            F.when((own == 0) & partner(run, F.get("runs", j + 1)), 2)
-            .when((own == 1) & partner(run, F.get("runs", j - 1)), -1)
-            .otherwise(own)
-        )
-        return F.struct(run["v"].bitwiseAND(F.lit(-2)).alias("h"), run["n"].alias("n"), side.alias("side"))
-
-    placed_runs = F.filter(F.transform("runs", placed), lambda x: x["side"] >= 0)
-    rows = rows.withColumn("runs", placed_runs)
+        side = run["v"].bitwiseAND(F.lit(1)).cast("int")
+        before, after = count_of(run["v"], F.get("runs", j - 1)), count_of(run["v"], F.get("runs", j + 1))
+        shared = F.least(run["n"], F.when(side == 0, after).otherwise(before))
+        word = run["v"].bitwiseAND(F.lit(-2)).alias("h")
+
+        def part(low: Column, high: Column, side: Column) -> Column:
+            return F.struct(word, low.alias("low"), high.alias("high"), side.alias("side"))
+
+        # The first side writes the shared steps as well.
+        shared_part = part(F.lit(1), F.when(side == 0, shared).otherwise(0), F.lit(2))
+        return F.array(shared_part, part(shared + 1, run["n"], side))
+
+    parts = F.filter(F.flatten(F.transform("runs", placed)), lambda x: x["low"] <= x["high"])
     kept = [F.col(c) for c in rows.columns if c != "runs"]
-    rows = rows.select(*kept, F.inline_outer("runs"))
-    return rows.withColumn("ln_n", F.log(F.col("n").cast("double"))).drop("n")
+    rows = rows.select(*kept, F.inline_outer(parts))
+    rows = rows.withColumn("step", F.explode_outer(F.sequence("low", "high")))
+    return rows.withColumn("e", F.xxhash64("h", "step")).drop("h", "low", "high", "step")
 
 
 def fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
@@ -110,9 +102,9 @@ def fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> Dat
     none = F.array().cast("array<bigint>")
     words = F.concat(*[F.coalesce(_words(text, side), none) for side, text in enumerate(texts.values())])
     samples = [F.min(_sample(k)).alias(f"s{k}") for k in range(SAMPLES)]
-    runs = _runs(rows.select(*keys, F.sort_array(words).alias("a")))
-    signed = runs.groupBy(*keys, "side").agg(*samples)
-    # At most three rows of a key: a word of both sides counts for each.
+    steps = _steps(rows.select(*keys, F.sort_array(words).alias("a")))
+    signed = steps.groupBy(*keys, "side").agg(*samples)
+    # At most three rows of a key: a step of both sides counts for each. Without words the side is NULL.
     least = [
         F.min(F.when(F.col("side") != 1 - side, F.col(f"s{k}"))).alias(f"s{side}_{k}")
         for side in range(len(texts))

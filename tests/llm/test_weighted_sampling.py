@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -133,3 +134,18 @@ def test_a_word_of_both_sides_is_sampled_once_to_the_same_effect(documents):
     }
     for r in both.collect():
         assert (r.one, r.other) == (alone["text"][r.doc_id], alone["edited"][r.doc_id])
+
+
+def test_a_sample_costs_one_hash_a_step(documents):
+    rows = weighted_sampling._steps(documents([(1, "a")]).select("doc_id", F.array(F.lit(2).cast("long")).alias("a")))
+    sampled = rows.agg(*[F.min(weighted_sampling._sample(k)) for k in range(weighted_sampling.SAMPLES)])
+    plan = sampled._jdf.queryExecution().optimizedPlan().toString()
+    assert "LOG" not in plan.upper() and len(re.findall(r"min\(xxhash64\(", plan)) == weighted_sampling.SAMPLES
+
+
+def test_likeness_of_counts(documents):
+    rng = random.Random(4)
+    texts = [" ".join(w for w in "abcdefghij" for _ in range(rng.randrange(8))) for _ in range(80)]
+    got = sorted(weighted_sampling.compared(documents(list(enumerate(texts)))).collect())
+    errors = [r.near_next - jaccard(texts[k], texts[(k + 1) % 80]) for k, r in enumerate(got)]
+    assert (sum(e * e for e in errors) / 80) ** 0.5 < 0.075 and abs(sum(errors) / 80) < 0.03
