@@ -39,9 +39,8 @@ MAX_PARTS = 4_096
 MAX_ALL_PARTS = 200_000
 PROBE = "probe"
 
-_BLOCK = 64
 _HASH_RANGE = 1 << 40
-_ROWS, _PARTS, _CHUNK, _DEAL, _SALT = "__rows", "__parts", "__chunk", "__deal", "__salt"
+_ROWS, _PARTS, _CHUNK, _DEAL, _SALT, _SPLIT = "__rows", "__parts", "__chunk", "__deal", "__salt", "__split"
 
 
 def hot_keys(
@@ -113,19 +112,24 @@ def _with_chunks(
     borders = (
         picked.groupBy(*keys)
         .agg(F.array_sort(F.collect_set(F.struct(*order))).alias("__borders"))
+        # A row is compared with the ends of blocks and with one block: least work at the root of the borders.
+        .withColumn("__step", F.ceil(F.sqrt(F.size("__borders"))).cast("int"))
         .withColumn(
-            "__block_ends", F.filter("__borders", lambda _, i: i % _BLOCK == _BLOCK - 1)
+            "__block_ends", F.filter("__borders", lambda _, i: i % F.col("__step") == F.col("__step") - 1)
         )
     )
     here = F.struct(*order)
     block = F.size(F.filter("__block_ends", lambda end: end <= here))
-    rest = F.slice("__borders", F.col("__block") * _BLOCK + 1, _BLOCK)
-    chunk = F.col("__block") * _BLOCK + F.size(F.filter(rest, lambda border: border <= here))
+    before = F.col("__block") * F.col("__step")
+    rest = F.slice("__borders", before + 1, F.col("__step"))
+    chunk = before + F.size(F.filter(rest, lambda border: border <= here))
     chunked = (
         _attach(df, borders, keys, "left")
         .withColumn("__block", F.when(F.col("__borders").isNotNull(), block))
         .withColumn(_CHUNK, F.when(F.col("__borders").isNotNull(), chunk))
-        .drop("__borders", "__block_ends", "__block")
+        # A filter on the number itself would find the chunk of each row once more.
+        .withColumn(_SPLIT, F.col("__borders").isNotNull())
+        .drop("__borders", "__block_ends", "__block", "__step")
     )
     if ties is None:
         return chunked.withColumn(_DEAL, F.lit(0))
@@ -202,7 +206,7 @@ def ordered_columns(
     carried += [F.last(f"__l_{n}", ignorenulls=True).over(earlier).alias(f"__l_{n}") for n in latest]
     carried += [F.sum(f"__r_{n}").over(earlier).alias(f"__r_{n}") for n in running]
     carry = (
-        chunked.filter(F.col(_CHUNK).isNotNull())
+        chunked.filter(_SPLIT)
         .groupBy(*parts)
         .agg(*per_chunk)
         .select(*parts, *carried)

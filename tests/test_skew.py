@@ -227,3 +227,13 @@ def test_latest_per_key_limits_before_the_shuffle(spark, small):
     # read bottom-up: the partial limit stands below the exchange
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_rows_of_hot_keys_are_filtered_without_finding_their_chunk(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    hot = skew.hot_keys(df, ["k"], 100, sample=1.0)
+    numbered = skew.ordered_columns(df, ["k"], ["t"], latest={"seen": F.col("t")}, hot=hot, ties=None)
+    assert numbered.filter("seen <> t").count() == 0
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert "lambda" in plan and not any("lambda" in line for line in filters)
