@@ -21,7 +21,12 @@ def money(amount: Column, scale: int = 2) -> Column:
 
 def padded_key(prefix: str, number: Column, width: int = 5) -> Column:
     """``prod_00042``-style key; a number wider than ``width`` keeps all its digits."""
-    return F.format_string(f"{prefix}%0{width}d", number)
+    digits = number.cast("string")
+    return (
+        F.when(number >= 10**width, F.concat(F.lit(prefix), digits))
+        .when(number >= 0, F.concat(F.lit(prefix), F.lpad(digits, width, "0")))
+        .otherwise(F.format_string(f"{prefix}%0{width}d", number))
+    )
 
 
 def joined_text(*values: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import base_rate_to_pln, from_pln
-from daybook.operators.skew import PROBE, join_unique, latest_per_key, ordered_columns
+from daybook.operators.skew import PROBE, apart, join_unique, latest_per_key, ordered_columns
 from daybook.schemas import ORDER_STATUSES, ORDER_TRANSITIONS
 
 # Campaign days and daily rates, narrow rows both, are broadcast up to these numbers.
@@ -217,9 +217,10 @@ def shipment_outcome(
     key: str = "shipment_id",
     version: Sequence[str] = ("source_event_at", "loaded_at"),
     status: str = "shipment_status",
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Latest state of each shipment as in_transit, lost, delivered or returned."""
-    return latest_per_key(shipments, [key], version).withColumn(
+    return latest_per_key(shipments, [key], version, repeated).withColumn(
         "shipment_outcome",
         F.when(F.col(status) == "shipped", "in_transit").otherwise(F.col(status)),
     )
@@ -275,18 +276,27 @@ def lifecycle(
     statuses: Sequence[str] = tuple(ORDER_STATUSES),
     closed: Sequence[str] = ("cancelled", "refunded", "partially_refunded"),
     tie: Sequence[str] = ("loaded_at",),
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """First time per status, current status and whether the order is closed.
 
-    One aggregation with map-side combining; a status an order never reached is NULL.
+    One aggregation with map-side combining; a status an order never reached is NULL. With ``repeated`` keys only
+    their rows are aggregated.
     """
-    firsts = [F.min(F.when(F.col(status) == s, F.col(at))).alias(f"{s}_at") for s in statuses]
-    current = F.max_by(status, F.struct(at, *tie)).alias("current_status")
-    return (
-        feed.groupBy(key)
-        .agg(*firsts, current)
-        .withColumn("is_closed", F.col("current_status").isin(*closed))
-    )
+    reached = {f"{s}_at": F.when(F.col(status) == s, F.col(at)) for s in statuses}
+
+    def in_groups(rows: DataFrame) -> DataFrame:
+        current = F.max_by(status, F.struct(at, *tie)).alias("current_status")
+        return rows.groupBy(key).agg(*[F.min(first).alias(name) for name, first in reached.items()], current)
+
+    if repeated is None:
+        orders = in_groups(feed)
+    else:
+        single, several = apart(feed, [key], repeated)
+        firsts = [first.alias(name) for name, first in reached.items()]
+        alone = single.select(key, *firsts, F.col(status).alias("current_status"))
+        orders = alone.unionByName(in_groups(several))
+    return orders.withColumn("is_closed", F.col("current_status").isin(*closed))
 
 
 def status_transitions(
@@ -320,13 +330,14 @@ def order_facts(
     payments: DataFrame,
     refunds: DataFrame,
     extra: Mapping[str, Column] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order: current state, item totals, payment outcome and refund class.
 
     ``orders`` is the raw order feed. The children are reduced to one row per order before they are
     joined, so each join is one row to one row.
     """
-    current = latest_per_key(orders, ["order_id"], ["order_updated_at", "loaded_at"])
+    current = latest_per_key(orders, ["order_id"], ["order_updated_at", "loaded_at"], repeated)
     totals = order_totals(items).withColumnsRenamed(
         {
             "gross_amount": "items_gross_pln",

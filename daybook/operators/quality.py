@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import blank, city_in_country, currency_of, line_total
-from daybook.operators.skew import PROBE, join_unique
+from daybook.operators.skew import PROBE, hashed_side, join_unique
 from daybook.schemas import COUNTRIES
 
 # --- row rules: a Column that is true where the row breaks the rule ---
@@ -167,11 +167,29 @@ def wrong_payment_amount(
 
     Refunded rows may be partial and are not checked. ``orders`` has one row per order.
     """
-    due = payments.filter(F.col("payment_status").isin("failed", "authorized", "captured"))
+    due = payments.filter(is_due())
     joined = join_unique(due, orders.select("order_id", "net_amount"), ["order_id"], "inner", hot)
     return joined.filter(differs(F.col("amount"), F.col("net_amount"), tolerance))
 
 
+def is_due() -> Column:
+    """Whether a payment row is over the whole amount of its order."""
+    return F.col("payment_status").isin("failed", "authorized", "captured")
+
+
+def against_order(
+    children: DataFrame, orders: DataFrame, broken: Column, hot: DataFrame | str | None = PROBE
+) -> DataFrame:
+    """One row: the children without an order (``without``), and those whose order has them ``broken``.
+
+    ``orders`` has one row per order; its net_amount is what the child is compared with.
+    """
+    known = orders.select("order_id", "net_amount", F.lit(True).alias("__known"))
+    joined = join_unique(children, hashed_side(known), ["order_id"], "left", hot)
+    found = F.col("__known").isNotNull()
+    return joined.agg(F.count_if(~found).alias("without"), F.count_if(found & broken).alias("broken"))
+
+
 def excessive_refund(
     refunds: DataFrame, orders: DataFrame, hot: DataFrame | str | None = PROBE
 ) -> DataFrame:

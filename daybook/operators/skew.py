@@ -37,10 +37,13 @@ HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
 MAX_PARTS = 4_096
 MAX_ALL_PARTS = 200_000
+MAX_REPEATED = 1_000_000
+HASHED_PER_TASK = 500_000
 PROBE = "probe"
 
 _HASH_RANGE = 1 << 40
 _ROWS, _PARTS, _CHUNK, _DEAL, _SALT, _SPLIT = "__rows", "__parts", "__chunk", "__deal", "__salt", "__split"
+_HASH = "__hash"
 
 
 def hot_keys(
@@ -263,11 +266,50 @@ def join_unique(
     return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Hashes of the keys that several rows have, or None where these are more than ``MAX_REPEATED``.
+
+    Only hashes are shuffled. Keys that share a hash are taken for repeated, which ``apart`` allows.
+    """
+    hashed = df.groupBy(F.xxhash64(*keys).alias(_HASH)).agg(F.count(F.lit(1)).alias(_ROWS))
+    found = checkpointed(hashed.filter(F.col(_ROWS) > 1).select(_HASH))
+    rows = found.count()
+    if rows > MAX_REPEATED:
+        return None
+    # Of a relation known to be empty the optimizer drops all work.
+    return found if rows else found.limit(0)
+
+
+def hashed_side(df: DataFrame) -> DataFrame:
+    """The narrow right side of a join as a hash table per task, so that the wide left side is not sorted.
+
+    Beyond ``HASHED_PER_TASK`` rows per shuffle partition Spark sorts; it decides as well below ``MAX_REPEATED`` rows,
+    which it may broadcast.
+    """
+    rows, tasks = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash") if MAX_REPEATED < rows <= HASHED_PER_TASK * tasks else df
+
+
+def apart(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are certainly the only ones of their key, and all others. No row is moved for it.
+
+    ``repeated`` is that of a table that has all rows of ``df``, or more.
+    """
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    single, several = (hashed.join(F.broadcast(repeated), _HASH, how) for how in ("left_anti", "left_semi"))
+    return single.drop(_HASH), several.drop(_HASH)
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], repeated: DataFrame | None = None
+) -> DataFrame:
     """The last row of each key in ``order``.
 
     Spark turns rank 1 into a limit per key before the shuffle, so a task receives at most one
-    row per key and map task, however many rows the key has.
+    row per key and map task, however many rows the key has. With ``repeated`` keys only their rows are shuffled.
     """
+    if repeated is not None:
+        single, several = apart(df, keys, repeated)
+        return single.unionByName(latest_per_key(several, keys, order))
     w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
     return df.withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.skew import PROBE, hot_keys, latest_per_key, ordered_columns
+from daybook.operators.skew import PROBE, apart, hashed_side, hot_keys, join_unique, latest_per_key, ordered_columns
 
 
 def current_state(
@@ -73,6 +73,7 @@ def at_point_in_time(
     version_tie: Sequence[str] = (),
     fact_tie: Sequence[str] = (),
     hot: DataFrame | str | None = PROBE,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Add to each fact the ``values`` of the latest version at or before the fact's time.
 
@@ -80,7 +81,22 @@ def at_point_in_time(
     a fact and a wrong version is ever formed. Facts without a version get NULLs, and so do facts
     without a time; a version without a time is never valid. Of versions at the same time the last
     in ``version_tie`` order counts; ``fact_tie`` identifies a fact among those of the same key and time.
+
+    With the ``repeated`` keys of the versions only their facts are merged; all other keys have one version, which
+    is joined.
     """
+    if repeated is not None:
+        one, more = apart(versions, keys, repeated)
+        of_one, of_more = apart(facts, keys, repeated)
+        one = one.dropna(subset=[*keys, version_time])
+        one = one.select(*keys, F.col(version_time).alias("__at"), F.struct(*values).alias("__found"))
+        joined = join_unique(of_one, hashed_side(one), keys, "left", hot)
+        valid = F.col("__at") <= F.col(fact_time)
+        found = [F.when(valid, F.col(f"__found.{c}")).alias(c) for c in values]
+        merged = at_point_in_time(
+            of_more, more, keys, fact_time, version_time, values, version_tie, fact_tie, hot
+        )
+        return joined.select(*facts.columns, *found).unionByName(merged)
     tie = F.struct(*version_tie) if version_tie else F.lit(0)
     # A NULL key matches nothing, as in a join.
     known = (
@@ -102,15 +118,18 @@ def at_point_in_time(
 
 
 def item_prices(
-    items: DataFrame, products: DataFrame, hot: DataFrame | str | None = PROBE
+    items: DataFrame,
+    products: DataFrame,
+    hot: DataFrame | str | None = PROBE,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Order items with the list price that applied on their load date.
 
     Product changes of a day come before the orders of that day, whatever their time stamp, so
-    the look-up is by load date and not by event time.
+    the look-up is by load date and not by event time. ``repeated`` are products with several rows.
     """
     listed = products.withColumnRenamed("unit_price", "list_price")
     return at_point_in_time(
         items, listed, ["product_id"], "load_date", "load_date", ["list_price"],
-        version_tie=["updated_at"], fact_tie=["order_item_id"], hot=hot,
+        version_tie=["updated_at"], fact_tie=["order_item_id"], hot=hot, repeated=repeated,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.scalars import count_of_share, joined_text
-from daybook.operators.skew import HOT_ROWS, PROBE, hot_keys, ordered_columns
+from daybook.operators.skew import HOT_ROWS, PROBE, apart, hot_keys, ordered_columns
 from daybook.session import checkpointed
 
 MOST_DAYS = 10_000  # days that a filter on folders names
@@ -25,13 +25,29 @@ def drop_copies(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def count_copies(df: DataFrame, name: str = "copy_count") -> DataFrame:
-    """Distinct rows with how often each occurs, at the cost of ``drop_copies``."""
+def count_copies(
+    df: DataFrame, name: str = "copy_count", keys: Sequence[str] = (), repeated: DataFrame | None = None
+) -> DataFrame:
+    """Distinct rows with how often each occurs, at the cost of ``drop_copies``.
+
+    With the ``repeated`` ones of some keys only their rows are compared: copies have the same key.
+    """
+    if repeated is not None:
+        single, several = apart(df, keys, repeated)
+        return single.withColumn(name, F.lit(1).cast("bigint")).unionByName(count_copies(several, name))
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row of each key in ``order`` (limited per key before the shuffle)."""
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], repeated: DataFrame | None = None
+) -> DataFrame:
+    """Keep the first row of each key in ``order`` (limited per key before the shuffle).
+
+    With ``repeated`` keys only their rows are shuffled.
+    """
+    if repeated is not None:
+        single, several = apart(df, keys, repeated)
+        return single.unionByName(first_per_key(several, keys, order))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")
 

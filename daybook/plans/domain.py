@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from daybook.operators import state
 from daybook.operators.tables import union_batches
 from daybook.plans import warehouse
 from daybook.plans.registry import day_text, query, table
-from daybook.session import shared_folder
+from daybook.session import shared_folder, side_by_side
 from daybook.sources import landing
 
 _COUNTRY = ("PL", "DE", "CZ")
@@ -28,6 +30,8 @@ def _land_domain(spark: SparkSession, folder: str) -> str:
     order_id = F.concat(F.lit("ord_"), key.cast("string"))
     nothing = F.lit(None).cast("string")
 
+    landed = {}
+
     def land(name: str, rows: DataFrame, cells: dict) -> None:
         cells = cells | {"load_date": cells["load_date"], "loaded_at": F.concat(cells["load_date"], F.lit(" 01:00:00"))}
         if "source_event_at" in landing.landed_schema(name).fieldNames():
@@ -35,7 +39,8 @@ def _land_domain(spark: SparkSession, folder: str) -> str:
         names = [n for n in landing.landed_schema(name).fieldNames() if n != landing.CORRUPT]
         lines = rows.select(*[cells[n].cast("string").alias(n) for n in names], cells["load_date"].alias("day"))
         # The folder's name ends in the day; the file has load_date itself.
-        lines.write.partitionBy("day").option("header", True).csv(f"{root}/{name}")
+        written = lines.write.partitionBy("day").option("header", True)
+        landed[name] = partial(written.csv, f"{root}/{name}")
 
     first = F.lit("2026-01-02")
     # Each fifth customer withdraws consent on the second day.
@@ -177,6 +182,7 @@ def _land_domain(spark: SparkSession, folder: str) -> str:
             "load_date": day,
         },
     )
+    side_by_side(spark, landed)
     return root
 
 

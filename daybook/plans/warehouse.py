@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,11 @@ from daybook.operators import quality as Q
 from daybook.operators.dims import days_spanned
 from daybook.operators.metadata import lateness_by_day, usual_grace, with_lateness
 from daybook.operators.orders import shipment_outcome, with_delivery_delay
-from daybook.operators.skew import latest_per_key
+from daybook.operators.skew import apart, hashed_side, latest_per_key, repeated_keys
 from daybook.operators.state import item_prices, version_history
 from daybook.operators.tables import count_copies, duplicate_keys, first_per_key, union_batches
 from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
+from daybook.session import side_by_side
 from daybook.sources.bronze import load_bronze
 from daybook.sources.landing import CORRUPT, LANDED_DAY
 
@@ -37,6 +39,7 @@ FACTS = ["orders", "order_items", "payments", "shipments", "refunds", "web_event
 # Campaigns come with the first load only.
 DAILY = [t for t in TABLES if t != "marketing_campaigns"]
 AUDIT = ["_ingested_at", "_source_system", "_source_layer"]
+NATURAL_KEYS = KEYS | {t: keys for t, (keys, _) in VERSIONED.items()}
 # Attributes whose changes open a new version.
 HISTORY = {
     "customers": ["country_code", "city", "customer_status", "marketing_consent"],
@@ -53,7 +56,12 @@ ROW_RULES = {
 def bronze_tables(
     spark: SparkSession, landing: str, bronze: str, days: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    return {t: load_bronze(spark, landing, bronze, t, days=days) for t in TABLES}
+    return side_by_side(spark, {t: partial(load_bronze, spark, landing, bronze, t, days=days) for t in TABLES})
+
+
+def repeated(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame | None]:
+    """Natural keys that several rows of a table have, by their hashes; None where they are many."""
+    return side_by_side(spark, {t: partial(repeated_keys, df, NATURAL_KEYS[t]) for t, df in tables.items()})
 
 
 def row_rules(table: str) -> dict[str, Column]:
@@ -63,12 +71,17 @@ def row_rules(table: str) -> dict[str, Column]:
     return rules | {"line_readable": F.col(CORRUPT).isNotNull(), "load_date_of_folder": other_day}
 
 
-def checked_table(bronze: DataFrame, table: str) -> DataFrame:
+def checked_table(bronze: DataFrame, table: str, repeated: DataFrame | None = None) -> DataFrame:
     """Distinct bronze rows with copy_count and the rules each one breaks."""
-    return Q.check_rows(count_copies(bronze.drop(*AUDIT)), row_rules(table))
+    rows = count_copies(bronze.drop(*AUDIT), keys=NATURAL_KEYS[table], repeated=repeated)
+    return Q.check_rows(rows, row_rules(table))
 
 
-def quality_report(checked: dict[str, DataFrame], clean: dict[str, DataFrame]) -> DataFrame:
+def quality_report(
+    checked: dict[str, DataFrame],
+    clean: dict[str, DataFrame],
+    repeated: dict[str, DataFrame | None] | None = None,
+) -> DataFrame:
     """table_name, rule, checked, failed over row rules, copies, keys, references and amounts.
 
     Payments and refunds are compared with the latest version of their order, be it in quarantine or
@@ -81,24 +94,40 @@ def quality_report(checked: dict[str, DataFrame], clean: dict[str, DataFrame]) -
         )
         for t, rows in checked.items()
     ]
-    # A parent in quarantine is still a parent.
+    repeated = repeated or {}
+    count = F.count(F.lit(1))
+    # A parent in quarantine is still a parent. Payments meet their orders below.
     failures = {
-        (child, f"{key}_exists"): Q.without_parent(clean[child], checked[parent], key, parent_key)
+        (child, f"{key}_exists"): Q.without_parent(
+            clean[child], hashed_side(checked[parent].select(parent_key)), key, parent_key
+        )
         for child, key, parent, parent_key in REFERENCES
+        if (child, parent) != ("payments", "orders")
     }
-    landed_orders = latest_per_key(checked["orders"], *VERSIONED["orders"])
-    failures["payments", "amount_of_order"] = Q.wrong_payment_amount(clean["payments"], landed_orders)
-    failures["refunds", "within_order"] = Q.excessive_refund(clean["refunds"], landed_orders)
-    for t in ("payments", "refunds"):
-        failures[t, "order_comparable"] = Q.without_parent(clean[t], landed_orders, "order_id", "order_id")
-
-    count = F.count(F.lit(1))
     counted = {key: rows.agg(count.alias("failed")) for key, rows in failures.items()}
+    landed_orders = latest_per_key(
+        checked["orders"].select("order_id", "order_updated_at", "loaded_at", "net_amount"),
+        *VERSIONED["orders"],
+        repeated.get("orders"),
+    )
+    wrong_amount = Q.is_due() & Q.differs(F.col("amount"), F.col("net_amount"))
+    excessive = F.col("refund_amount") > F.col("net_amount")
+    # An order without any row is missing for either rule, so each table is joined once.
+    for t, rule, broken, missing in (
+        ("payments", "amount_of_order", wrong_amount, ["order_id_exists", "order_comparable"]),
+        ("refunds", "within_order", excessive, ["order_comparable"]),
+    ):
+        compared = Q.against_order(clean[t], landed_orders, broken)
+        named = {rule: "broken"} | {name: "without" for name in missing}
+        lines = [F.struct(F.lit(r).alias("rule"), F.col(c).alias("failed")) for r, c in named.items()]
+        counted[t, None] = compared.select(F.inline(F.array(*lines)))
     for t, keys in UNIQUE.items():
         rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("failed")
-        counted[t, "unique_key"] = duplicate_keys(clean[t], keys).agg(rows)
+        # Rows of one of these keys have one natural key as well.
+        several = clean[t] if repeated.get(t) is None else apart(clean[t], NATURAL_KEYS[t], repeated[t])[1]
+        counted[t, "unique_key"] = duplicate_keys(several, keys).agg(rows)
     failed = [
-        rows.select(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), "failed")
+        rows.select(F.lit(t).alias("table_name"), (F.lit(rule) if rule else F.col("rule")).alias("rule"), "failed")
         for (t, rule), rows in counted.items()
     ]
     sizes = [
@@ -144,18 +173,30 @@ def missing_days(bronze: dict[str, DataFrame], expected: Sequence[str] | None =
     return Q.missing_days(found, days, DAILY, "table_name", "load_date")
 
 
-def current_tables(clean: dict[str, DataFrame], checked: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def current_tables(
+    clean: dict[str, DataFrame],
+    checked: dict[str, DataFrame],
+    repeated: dict[str, DataFrame | None] | None = None,
+) -> dict[str, DataFrame]:
     """One row per natural key: the latest version, or the first landing of a single-version row.
 
     ``newer_in_quarantine`` tells of a versioned row that a later version of its key was held back.
     """
+    repeated = repeated or {}
     current = dict(clean)
     for name, (keys, version) in VERSIONED.items():
-        landed = latest_per_key(checked[name].select(*keys, *version, "failed_rules"), keys, version)
+        landed, rows = checked[name].select(*keys, *version, "failed_rules"), clean[name]
+        if (known := repeated.get(name)) is not None:
+            landed, (single, rows) = apart(landed, keys, known)[1], apart(rows, keys, known)
+        landed = latest_per_key(landed, keys, version)
         held_back = landed.select(*keys, (F.size("failed_rules") > 0).alias("newer_in_quarantine"))
-        current[name] = latest_per_key(clean[name], keys, version).join(held_back, keys)
+        current[name] = latest_per_key(rows, keys, version).join(held_back, keys)
+        if known is not None:
+            # The only row of its key is in quarantine or current.
+            single = single.dropna(subset=keys).withColumn("newer_in_quarantine", F.lit(False))
+            current[name] = single.select(*current[name].columns).unionByName(current[name])
     for name, keys in KEYS.items():
-        current[name] = first_per_key(clean[name], keys, ["load_date", "loaded_at"])
+        current[name] = first_per_key(clean[name], keys, ["load_date", "loaded_at"], repeated.get(name))
     return current
 
 
@@ -189,37 +230,51 @@ def run(
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
-    checked = {t: stored_days(checked_table(df, t), f"checked/{t}") for t, df in bronze.items()}
+    several = repeated(spark, bronze)
+    checked = side_by_side(
+        spark, {t: partial(stored_days, checked_table(df, t, several[t]), f"checked/{t}") for t, df in bronze.items()}
+    )
+    if days is not None:
+        # Checked rows of earlier days need not be those of bronze.
+        several = repeated(spark, checked)
     pieces = {t: Q.split_checked(df) for t, df in checked.items()}
     clean = {t: good.drop(CORRUPT, "copy_count", LANDED_DAY) for t, (good, _) in pieces.items()}
-    current = {t: stored(df, f"current/{t}") for t, df in current_tables(clean, checked).items()}
+    current = side_by_side(
+        spark, {t: partial(stored, df, f"current/{t}") for t, df in current_tables(clean, checked, several).items()}
+    )
     facts = stored(
         O.order_facts(
-            clean["orders"], current["order_items"], current["payments"], current["refunds"]
+            clean["orders"], current["order_items"], current["payments"], current["refunds"],
+            repeated=several["orders"],
         ).withColumn("order_date", F.to_date("order_created_at")),
         "order_facts",
     )
-    prices = item_prices(current["order_items"], clean["products"])
-    outcomes = shipment_outcome(with_delivery_delay(clean["shipments"]))
-    history = {
-        table: version_history(clean[table], *VERSIONED[table], attributes, strategy="check")
-        for table, attributes in HISTORY.items()
+
+    def history(table: str) -> DataFrame:
+        return version_history(clean[table], *VERSIONED[table], HISTORY[table], strategy="check")
+
+    # Building some of them runs jobs of its own.
+    results = {
+        "item_prices": lambda: item_prices(
+            current["order_items"], clean["products"], repeated=several["products"]
+        ),
+        "quality_report": lambda: quality_report(checked, clean, several),
+        "shipment_outcome": lambda: shipment_outcome(
+            with_delivery_delay(clean["shipments"]), repeated=several["shipments"]
+        ),
+        "order_lifecycle": lambda: O.lifecycle(clean["orders"], repeated=several["orders"]),
+        "column_report": lambda: column_report(bronze),
+        "missing_days": lambda: missing_days(bronze, expected_days or days),
+        "lateness_report": lambda: lateness_report(clean),
+        "customer_history": lambda: history("customers"),
+        "product_history": lambda: history("products"),
+        # Amounts are in the currency of the order's country: no sum over several of them.
+        "daily_totals": lambda: O.daily_totals(facts, "order_date", "net_amount", ["currency"]),
     }
+    written = side_by_side(spark, {name: lambda n=name, df=df: stored(df(), n) for name, df in results.items()})
     return {
-        "column_report": stored(column_report(bronze), "column_report"),
-        "missing_days": stored(missing_days(bronze, expected_days or days), "missing_days"),
-        "quality_report": stored(quality_report(checked, clean), "quality_report"),
-        "lateness_report": stored(lateness_report(clean), "lateness_report"),
+        **written,
         "order_facts": facts,
-        "order_lifecycle": stored(O.lifecycle(clean["orders"]), "order_lifecycle"),
-        "item_prices": stored(prices, "item_prices"),
-        "shipment_outcome": stored(outcomes, "shipment_outcome"),
-        "customer_history": stored(history["customers"], "customer_history"),
-        "product_history": stored(history["products"], "product_history"),
-        # Amounts are in the currency of the order's country: no sum over several of them.
-        "daily_totals": stored(
-            O.daily_totals(facts, "order_date", "net_amount", ["currency"]), "daily_totals"
-        ),
         **{f"quarantine_{t}": bad for t, (_, bad) in pieces.items()},
         **{f"clean_{t}": good for t, good in clean.items()},
     }

@@ -87,8 +87,11 @@ def read_table(
         part = F.col("_metadata.file_block_start")
         rows = rows.withColumns({"file_path": F.col("_metadata.file_path"), "file_part": part})
     if with_landed_day:
-        folder = F.regexp_extract("_metadata.file_path", "=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]*$", 1)
-        rows = rows.withColumn(LANDED_DAY, F.try_to_date(folder))
+        # ``=YYYY-MM-DD`` at the end of the folder's name; a pattern costs more.
+        folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+        end = F.substring(folder, -11, 11)
+        day = F.substring(end, 2, 10).try_cast("date")
+        rows = rows.withColumn(LANDED_DAY, F.when(F.concat(F.lit("="), day.cast("string")) == end, day))
     return rows
 
 
