@@ -12,10 +12,13 @@ from daybook.operators import state
 from daybook.operators.tables import union_batches
 from daybook.plans import warehouse
 from daybook.plans.registry import day_text, query, table
-from daybook.session import shared_folder, side_by_side
+from daybook.session import remove_folder, shared_folder, side_by_side
 from daybook.sources import landing
 
 _COUNTRY = ("PL", "DE", "CZ")
+# Landed lines are long beside what they hold. A compressed file is read by one task, so its lines are limited.
+_LANDED = {"header": True, "compression": "lz4", "maxRecordsPerFile": 1_000_000}
+_FILES = "*.csv.lz4"
 
 
 def _land_domain(spark: SparkSession, folder: str) -> str:
@@ -39,7 +42,7 @@ def _land_domain(spark: SparkSession, folder: str) -> str:
         names = [n for n in landing.landed_schema(name).fieldNames() if n != landing.CORRUPT]
         lines = rows.select(*[cells[n].cast("string").alias(n) for n in names], cells["load_date"].alias("day"))
         # The folder's name ends in the day; the file has load_date itself.
-        written = lines.write.partitionBy("day").option("header", True)
+        written = lines.write.partitionBy("day").options(**_LANDED)
         landed[name] = partial(written.csv, f"{root}/{name}")
 
     first = F.lit("2026-01-02")
@@ -249,8 +252,14 @@ def _land_domain(spark: SparkSession, folder: str) -> str:
 def warehouse_domain(spark, folder):
     """Totals, reports, quarantine, facts, prices, outcomes, histories and missing days of one warehouse run."""
     days = ["2026-01-02", "2026-01-03"]
+    landed = _land_domain(spark, folder)
     result = warehouse.run(
-        spark, _land_domain(spark, folder), shared_folder(spark, "warehouse"), expected_days=[*days, "2026-01-04"]
+        spark,
+        landed,
+        shared_folder(spark, "warehouse"),
+        expected_days=[*days, "2026-01-04"],
+        files=_FILES,
+        loaded=partial(remove_folder, spark, landed),
     )
     count, none = F.count(F.lit(1)).alias("n"), F.lit(0).alias("amount")
 

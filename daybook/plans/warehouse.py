@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date
 from functools import partial
 
@@ -14,13 +14,13 @@ from daybook.operators import quality as Q
 from daybook.operators.dims import days_spanned
 from daybook.operators.metadata import lateness_by_day, usual_grace, with_lateness
 from daybook.operators.orders import shipment_outcome, with_delivery_delay
-from daybook.operators.skew import apart, hashed_side, latest_per_key, repeated_keys
+from daybook.operators.skew import apart, hashed_side, hot_keys, latest_per_key, repeated_keys
 from daybook.operators.state import item_prices, version_history
 from daybook.operators.tables import count_copies, duplicate_keys, first_per_key, union_batches
 from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
-from daybook.session import side_by_side
+from daybook.session import STORED, shuffles_removed, side_by_side
 from daybook.sources.bronze import load_bronze
-from daybook.sources.landing import CORRUPT, LANDED_DAY
+from daybook.sources.landing import CORRUPT, FILES, LANDED_DAY
 
 # child, its key, parent, the parent's key
 REFERENCES = [
@@ -45,6 +45,9 @@ HISTORY = {
     "customers": ["country_code", "city", "customer_status", "marketing_consent"],
     "products": ["product_name", "category", "brand", "unit_price", "currency", "is_active"],
 }
+# Prices of twice as many items and more are found in several runs, each with a share of them.
+ITEMS_AT_ONCE = 25_000_000
+MOST_RUNS = 4
 ROW_RULES = {
     "order_items": Q.item_rules,
     "orders": Q.order_rules,
@@ -54,9 +57,10 @@ ROW_RULES = {
 
 
 def bronze_tables(
-    spark: SparkSession, landing: str, bronze: str, days: Sequence[str] | None = None
+    spark: SparkSession, landing: str, bronze: str, days: Sequence[str] | None = None, files: str = FILES
 ) -> dict[str, DataFrame]:
-    return side_by_side(spark, {t: partial(load_bronze, spark, landing, bronze, t, days=days) for t in TABLES})
+    load = partial(load_bronze, spark, landing, bronze, days=days, files=files)
+    return side_by_side(spark, {t: partial(load, t) for t in TABLES})
 
 
 def repeated(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame | None]:
@@ -200,36 +204,72 @@ def current_tables(
     return current
 
 
+def prices_in_runs(
+    items: DataFrame, products: DataFrame, repeated: DataFrame | None = None
+) -> Iterator[DataFrame]:
+    """``item_prices`` of shares of the stored items, which together are all of them.
+
+    Items are wide and go to their products by a shuffle. Run one after the other, only one share of them is in
+    shuffle files at a time. A share is a number of files, so each is read once; the products are read in each run,
+    of which there are at most ``MOST_RUNS``.
+    """
+    runs = min(MOST_RUNS, max(1, items.count() // ITEMS_AT_ONCE))
+    hot = hot_keys(items, ["product_id"])
+    for number in range(runs):
+        run_of = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(runs))
+        share = items.filter(run_of == number) if runs > 1 else items
+        yield item_prices(share, products, hot, repeated)
+
+
 def run(
     spark: SparkSession,
     landing: str,
     warehouse: str,
     days: Sequence[str] | None = None,
     expected_days: Sequence[str] | None = None,
+    files: str = FILES,
+    loaded: Callable[[], None] | None = None,
 ) -> dict[str, DataFrame]:
     """Build the warehouse below ``warehouse`` and return its result tables.
 
     With ``days`` only those days are taken from the landing zone, checked and written; earlier ones
     are in bronze and in ``checked`` already and stay as they are. ``expected_days`` are the days that
     should have landed by now, by default ``days``, and without both all from the first to the last.
+    ``files`` is the pattern of the landed files' names. ``loaded`` is called once bronze is written; from then on
+    nothing is read from the landing zone.
 
     Every step that feeds several others is a written table, so a lost executor repeats a
-    task and not the chain before it.
+    task and not the chain before it. Shuffle files go with the query that made them.
     """
+    with shuffles_removed(spark):
+        return _run(spark, landing, warehouse, days, expected_days, files, loaded)
+
+
+def _run(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    days: Sequence[str] | None,
+    expected_days: Sequence[str] | None,
+    files: str,
+    loaded: Callable[[], None] | None,
+) -> dict[str, DataFrame]:
     base = warehouse.rstrip("/")
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
+    def stored(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
+        df.write.mode(mode).options(**STORED).parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     def stored_days(df: DataFrame, name: str) -> DataFrame:
         """Rewrite the days that landed now and return all."""
         touched = df if days is None else df.filter(F.col(LANDED_DAY).isin(*map(date.fromisoformat, days)))
-        writer = touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = touched.write.mode("overwrite").options(**STORED).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(LANDED_DAY).parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
-    bronze = bronze_tables(spark, landing, f"{base}/bronze", days)
+    bronze = bronze_tables(spark, landing, f"{base}/bronze", days, files)
+    if loaded is not None:
+        loaded()
     several = repeated(spark, bronze)
     checked = side_by_side(
         spark, {t: partial(stored_days, checked_table(df, t, several[t]), f"checked/{t}") for t, df in bronze.items()}
@@ -250,14 +290,15 @@ def run(
         "order_facts",
     )
 
+    def stored_prices() -> DataFrame:
+        runs = prices_in_runs(current["order_items"], clean["products"], several["products"])
+        return [stored(df, "item_prices", "append" if n else "overwrite") for n, df in enumerate(runs)][-1]
+
     def history(table: str) -> DataFrame:
         return version_history(clean[table], *VERSIONED[table], HISTORY[table], strategy="check")
 
     # Building some of them runs jobs of its own.
     results = {
-        "item_prices": lambda: item_prices(
-            current["order_items"], clean["products"], repeated=several["products"]
-        ),
         "quality_report": lambda: quality_report(checked, clean, several),
         "shipment_outcome": lambda: shipment_outcome(
             with_delivery_delay(clean["shipments"]), repeated=several["shipments"]
@@ -271,7 +312,8 @@ def run(
         # Amounts are in the currency of the order's country: no sum over several of them.
         "daily_totals": lambda: O.daily_totals(facts, "order_date", "net_amount", ["currency"]),
     }
-    written = side_by_side(spark, {name: lambda n=name, df=df: stored(df(), n) for name, df in results.items()})
+    steps = {name: lambda n=name, df=df: stored(df(), n) for name, df in results.items()}
+    written = side_by_side(spark, {"item_prices": stored_prices} | steps)
     return {
         **written,
         "order_facts": facts,

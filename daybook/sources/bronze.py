@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.metadata import with_audit
-from daybook.sources.landing import LANDED_DAY, read_table
+from daybook.session import STORED
+from daybook.sources.landing import FILES, LANDED_DAY, read_table
 
 
 def load_bronze(
@@ -17,19 +18,21 @@ def load_bronze(
     table: str,
     source_system: str = "landing",
     days: Sequence[str] | None = None,
+    files: str = FILES,
 ) -> DataFrame:
     """Rewrite a landed table as Parquet by ``landed_day`` and return all of it.
 
-    With ``days`` only those days are read. A day is the folder a file lies in; the cell ``load_date``
+    With ``days`` only those days are read; ``files`` is the pattern of the landed files' names. A day is the folder a file lies in; the cell ``load_date``
     stays a column, so a broken or stray line is replaced with its own file and never with another
     day's. Only days found are replaced, others stay. A landed file holds one day, so a task writes
     the days of the files it read and nothing is shuffled. Later readers skip days and columns, which
     the raw files do not allow.
     """
     path = f"{bronze.rstrip('/')}/{table}"
-    rows = with_audit(read_table(spark, landing, table, days=days, with_landed_day=True), source_system)
+    rows = with_audit(read_table(spark, landing, table, days=days, with_landed_day=True, files=files), source_system)
     (
         rows.write.mode("overwrite")
+        .options(**STORED)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LANDED_DAY)
         .parquet(path)

@@ -20,6 +20,7 @@ from daybook.schemas import schema_of
 from daybook.session import checkpointed
 
 CORRUPT = "_corrupt_record"
+FILES = "*.csv"  # names of landed files
 
 # The folder name carries load_date and so does the file. Looking files up recursively keeps Spark
 # from taking the column out of the file's schema, which would shift all columns after it;
@@ -27,7 +28,7 @@ CORRUPT = "_corrupt_record"
 READ_OPTIONS = {
     "header": "true",
     "recursiveFileLookup": "true",
-    "pathGlobFilter": "*.csv",
+    "pathGlobFilter": FILES,
     "enforceSchema": "false",
     "escape": '"',
     "columnNameOfCorruptRecord": CORRUPT,
@@ -57,19 +58,22 @@ def read_table(
     days: Sequence[str] | None = None,
     with_landed_day: bool = False,
     with_file: bool = False,
+    files: str = FILES,
 ) -> DataFrame:
     """All landed files of a table; blank files have no rows, a missing table is empty.
 
     With ``days`` (ISO dates) only those days' folders are listed and read. ``with_landed_day`` adds the
     day of the folder a file lies in, which the cell ``load_date`` of a broken line does not tell;
-    ``with_file`` adds the path of the file and the byte its part begins at.
+    ``with_file`` adds the path of the file and the byte its part begins at. ``files`` is the pattern of
+    the files' names: ``*.csv.gz`` or that of another codec of Spark's where they are compressed. Such a
+    file is read by one task.
 
     Cells that do not parse are NULL and the line is kept in ``_corrupt_record``. Files written by
     ``write_table`` have load_date in the folder name only: read them with
     ``load_date_in_file=False``, which also lets a filter on load_date skip folders.
     """
     schema = schema or landed_schema(table)
-    options = READ_OPTIONS | {"recursiveFileLookup": str(load_date_in_file).lower()}
+    options = READ_OPTIONS | {"recursiveFileLookup": str(load_date_in_file).lower(), "pathGlobFilter": files}
     path = f"{root.rstrip('/')}/{table}"
     if days is not None:
         path += f"/load_date={{{','.join(days)}}}"
@@ -137,7 +141,7 @@ def manifest(spark: SparkSession, root: str, prefix: str = "bronze/landing") ->
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILES)
         .load(root)
     )
     relative = _below(F.col("path"), root)

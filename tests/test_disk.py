@@ -1,0 +1,137 @@
+"""What the warehouse run leaves on disk, and for how long."""
+
+from __future__ import annotations
+
+import gzip
+import time
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.operators.state import item_prices
+from daybook.plans import domain, warehouse
+from daybook.session import SHUFFLE_CLEANUP, remove_folder, shuffles_removed
+from daybook.sources import landing
+from tests.conftest import day
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(n).getName() for n in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def gone(spark, before):
+    """Files are deleted a moment after the query."""
+    end = time.monotonic() + 20
+    while (left := shuffle_files(spark) - before) and time.monotonic() < end:
+        time.sleep(0.2)
+    return not left
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Eight orders of two customers with two items each."""
+    of = {
+        "customer": spark.range(1, 3).selectExpr("id AS c_custkey"),
+        "part": spark.range(1, 5).selectExpr("id AS p_partkey", "'b' AS p_brand", "id * 1.5D AS p_retailprice"),
+        "orders": spark.range(1, 9).selectExpr("id AS o_orderkey", "id % 2 + 1 AS o_custkey", "id * 10.0D AS o_totalprice"),
+        "lineitem": spark.range(16).selectExpr(
+            "id % 8 + 1 AS l_orderkey", "id % 4 + 1 AS l_partkey", "CAST(id DIV 8 AS INT) AS l_linenumber",
+            "id * 1.0D AS l_extendedprice",
+        ),
+    }
+    for name, rows in of.items():
+        rows.write.parquet(str(tmp_path / "tables" / f"{name}.parquet"))
+    return str(tmp_path / "tables")
+
+
+def test_landed_lines_are_compressed_and_go_once_they_are_loaded(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(domain, "shared_folder", lambda spark, name: str(tmp_path / name))
+    seen, load = set(), warehouse.bronze_tables
+
+    def watched(*args):
+        seen.update(f.name for f in (tmp_path / "domain").rglob("part-*"))
+        return load(*args)
+
+    monkeypatch.setattr(warehouse, "bronze_tables", watched)
+    rows = {(r.kind, r["name"], r.detail): r.n for r in domain.warehouse_domain(spark, tables).collect()}
+    assert seen and all(name.endswith(".csv.lz4") for name in seen)
+    assert not (tmp_path / "domain").exists()
+    assert rows["priced", "order_items", ""] == 16 and rows["facts", "first_try", ""] == 8
+    assert rows["lifecycle", "created", ""] == 8 and rows["versions", "products", "current"] == 4
+    stored = [pq.ParquetFile(f).metadata for f in (tmp_path / "warehouse").rglob("*.parquet")]
+    assert {m.row_group(0).column(0).compression for m in stored if m.num_rows} == {"ZSTD"}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(domain, "shared_folder", lambda spark, name: str(tmp_path / name))
+    root = domain._land_domain(spark, tables)
+    before = shuffle_files(spark)
+    warehouse.run(spark, root, str(tmp_path / "warehouse"), files=domain._FILES)
+    assert gone(spark, before)
+    assert (tmp_path / "domain").exists()
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    before = shuffle_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with shuffles_removed(spark):
+        assert counts.filter("count > 0").count() == 7
+        counts.write.format("noop").mode("overwrite").save()
+        assert gone(spark, before)
+        assert sorted(counts.collect()) == sorted(counts.collect())
+
+
+def test_the_setting_is_put_back(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        1 // 0
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def test_prices_in_runs_are_those_of_one_run(spark, tmp_path, monkeypatch):
+    items = spark.range(40).selectExpr(
+        "concat('i', id % 30) AS order_item_id", "CASE WHEN id % 5 > 0 THEN concat('p', id % 5) END AS product_id",
+        "date_add(DATE '2026-01-01', CAST(id % 9 AS INT)) AS load_date",
+    )
+    items.repartition(9).write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    products = spark.createDataFrame(
+        [("p1", day("2026-01-01"), 1, 10), ("p1", day("2026-01-05"), 2, 20), ("p2", day("2026-01-03"), 1, 30)],
+        "product_id string, load_date date, updated_at int, unit_price int",
+    )
+    monkeypatch.setattr(warehouse, "ITEMS_AT_ONCE", 10)
+    runs = list(warehouse.prices_in_runs(items, products))
+    assert len(runs) == 4
+    found = [sorted(map(str, df.collect())) for df in runs]
+    assert sorted(sum(found, [])) == sorted(map(str, item_prices(items, products).collect()))
+    assert sum(map(bool, found)) > 1
+    monkeypatch.setattr(warehouse, "ITEMS_AT_ONCE", 41)
+    assert len(list(warehouse.prices_in_runs(items, products))) == 1
+
+
+def test_compressed_files_are_read_where_they_are_named(spark, tmp_path):
+    header = ",".join(landing.landed_schema("exchange_rates").fieldNames()[:-1])
+    folder = tmp_path / "exchange_rates" / "load_date=2026-01-02"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(f"{header}\n2026-01-02,EUR,4.3,s,2026-01-02,\n")
+    (folder / "b.csv.gz").write_bytes(gzip.compress(f"{header}\n2026-01-02,CZK,0.2,s,2026-01-02,\nx\n".encode()))
+
+    def currencies(**files):
+        rows = landing.read_table(spark, str(tmp_path), "exchange_rates", with_landed_day=True, **files)
+        return [(r.currency, r[landing.LANDED_DAY]) for r in rows.orderBy("currency").collect()]
+
+    d = day("2026-01-02")
+    assert currencies() == [("EUR", d)]
+    assert currencies(files="*.csv.gz") == [(None, d), ("CZK", d)]
+
+
+def test_a_folder_is_removed_with_all_in_it(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "c").write_text("x")
+    remove_folder(spark, str(tmp_path / "a"))
+    assert not (tmp_path / "a").exists()
+    remove_folder(spark, str(tmp_path / "a"))
