@@ -18,7 +18,7 @@ from daybook.operators.skew import apart, hashed_side, hot_keys, latest_per_key,
 from daybook.operators.state import item_prices, version_history
 from daybook.operators.tables import count_copies, duplicate_keys, first_per_key, union_batches
 from daybook.schemas import KEYS, REQUIRED, TABLES, VERSIONED
-from daybook.session import STORED, shuffles_removed, side_by_side
+from daybook.session import STEPWISE, STORED, held, side_by_side
 from daybook.sources.bronze import load_bronze
 from daybook.sources.landing import CORRUPT, FILES, LANDED_DAY
 
@@ -241,7 +241,7 @@ def run(
     Every step that feeds several others is a written table, so a lost executor repeats a
     task and not the chain before it. Shuffle files go with the query that made them.
     """
-    with shuffles_removed(spark):
+    with held(spark, STEPWISE):
         return _run(spark, landing, warehouse, days, expected_days, files, loaded)
 
 

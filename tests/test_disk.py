@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from daybook.operators.state import item_prices
 from daybook.plans import domain, warehouse
-from daybook.session import SHUFFLE_CLEANUP, remove_folder, shuffles_removed
+from daybook.session import STEPWISE, STORED, held, remove_folder
 from daybook.sources import landing
-from tests.conftest import day
+from tests.conftest import day, plan_of
 
 
 def shuffle_files(spark):
@@ -77,19 +77,31 @@ def test_a_run_leaves_no_shuffle_files(spark, tables, tmp_path, monkeypatch):
 def test_shuffle_files_go_with_their_query(spark):
     before = shuffle_files(spark)
     counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
-    with shuffles_removed(spark):
+    with held(spark, STEPWISE):
         assert counts.filter("count > 0").count() == 7
         counts.write.format("noop").mode("overwrite").save()
         assert gone(spark, before)
         assert sorted(counts.collect()) == sorted(counts.collect())
 
 
-def test_the_setting_is_put_back(spark):
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
-        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+def test_settings_are_put_back(spark):
+    before = {name: spark.conf.get(name, None) for name in STEPWISE}
+    with pytest.raises(ZeroDivisionError), held(spark, STEPWISE):
+        assert {name: spark.conf.get(name) for name in STEPWISE} == STEPWISE
         1 // 0
-    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert {name: spark.conf.get(name, None) for name in STEPWISE} == before
+
+
+def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path):
+    rows = spark.range(50_000).selectExpr("concat('key_', lpad(id, 9, '0')) AS k", "id % 3 AS v")
+    rows.coalesce(1).write.options(**STORED).parquet(str(tmp_path / "rows"))
+    size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    limit = {"spark.sql.autoBroadcastJoinThreshold": str(2 * size)}
+    with held(spark, limit):
+        assert "BroadcastHashJoin" in plan_of(rows.join(stored, "k", "left"))
+        with held(spark, STEPWISE):
+            assert "BroadcastHashJoin" not in plan_of(rows.join(stored, "k", "left"))
 
 
 def test_prices_in_runs_are_those_of_one_run(spark, tmp_path, monkeypatch):
